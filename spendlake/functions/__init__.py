@@ -1,17 +1,28 @@
 """Column expressions shared by the operators. All run inside the JVM."""
 
 from spendlake.functions.dates import month_label, month_start, normalize_month, parse_timestamp
-from spendlake.functions.money import cents, display_amount, exact, in_bounds, parse_money
+from spendlake.functions.money import (
+    cents,
+    cents_from_units,
+    display_amount,
+    exact,
+    from_units,
+    in_bounds,
+    parse_money,
+    to_units,
+)
 from spendlake.functions.scores import credit_risk_budget, risk_tolerance
 from spendlake.functions.text import clean_category, clean_merchant
 
 __all__ = [
     "cents",
+    "cents_from_units",
     "clean_category",
     "clean_merchant",
     "credit_risk_budget",
     "display_amount",
     "exact",
+    "from_units",
     "in_bounds",
     "month_label",
     "month_start",
@@ -19,4 +30,5 @@ __all__ = [
     "parse_money",
     "parse_timestamp",
     "risk_tolerance",
+    "to_units",
 ]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from spendlake.schemas import AMOUNT_BOUND, MONEY
+from spendlake.schemas import AMOUNT_BOUND, MONEY, UNITS
 
 
 def parse_money(column: Column) -> Column:
@@ -19,10 +19,33 @@ def in_bounds(column: Column, bound: float = AMOUNT_BOUND) -> Column:
 
 
 def exact(column: Column) -> Column:
-    """Money as a decimal, for sums and means that must not depend on row order."""
+    """Money as a decimal, for totals over so many rows that a 64-bit integer could overflow."""
     return column.cast(MONEY)
 
 
+def to_units(column: Column) -> Column:
+    """Money as whole ten-thousandths, for sums that must not depend on row order.
+
+    As exact as a decimal for amounts of up to four places, and several times faster to sum. One
+    group can hold 900 trillion; beyond that the sum fails instead of wrapping around.
+    """
+    return F.floor(column * F.lit(float(UNITS)) + F.lit(0.5))
+
+
+def from_units(column: Column) -> Column:
+    """Money as double again."""
+    return column / F.lit(float(UNITS))
+
+
+def cents_from_units(column: Column) -> Column:
+    """Units, or a mean of them, as money rounded half-up to cents.
+
+    Whole cents differ by whole numbers here and halves are exact in binary, so this rounding has
+    no noise to fear.
+    """
+    return F.round(column / F.lit(UNITS / 100.0)) / F.lit(100.0)
+
+
 def cents(column: Column) -> Column:
     """Half-up to two decimals on the decimal value.
 

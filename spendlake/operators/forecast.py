@@ -19,15 +19,11 @@ from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spendlake.functions import exact
+from spendlake.functions import cents_from_units, to_units
+from spendlake.operators.monthly import LAGS
 from spendlake.sources.lake import DEFAULT_FORMAT, table_exists, write_table
 
-LAG_COLUMNS = (
-    "spend_1_month_ago",
-    "spend_2_months_ago",
-    "spend_3_months_ago",
-    "avg_spend_last_3_months",
-)
+LAG_COLUMNS = (*LAGS, "avg_spend_last_3_months")
 # Smallest divisor of the percentage error: the float64 machine epsilon.
 EPSILON = 2.220446049250313e-16
 HOLDOUT_MONTHS = 2
@@ -67,16 +63,14 @@ def training_rows(series: DataFrame, holdout: int = HOLDOUT_MONTHS) -> DataFrame
     (client, month) window: one shuffle and one sort, and train and test need no join.
     """
     months = Window.partitionBy("client_id").orderBy("txn_month")
-    smoothed = F.round(
-        F.avg(exact(F.col("current_month_spend"))).over(months.rowsBetween(-2, 0)), 2
-    )
+    smoothed = F.avg(to_units(F.col("current_month_spend"))).over(months.rowsBetween(-2, 0))
 
     def in_last(n: int) -> Column:
         return F.lead(F.lit(1), n).over(months).isNull()
 
     with_flags = series.select(
         *series.columns,
-        smoothed.cast("double").alias("smoothed_target_spend"),
+        cents_from_units(smoothed).alias("smoothed_target_spend"),
         in_last(holdout).alias("is_test"),
         (in_last(holdout + 1) & ~in_last(1)).alias("is_test_next"),
     )

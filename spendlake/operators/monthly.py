@@ -8,19 +8,25 @@ bounds every per-client window below.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendlake.functions import exact, month_label, month_start
+from spendlake.functions import (
+    cents_from_units,
+    exact,
+    from_units,
+    month_label,
+    month_start,
+    to_units,
+)
 from spendlake.schemas import DISCRETIONARY_CATEGORIES
 
+LAGS = ("spend_1_month_ago", "spend_2_months_ago", "spend_3_months_ago")
 SERIES_COLUMNS = (
     "client_id",
     "txn_month",
     "current_month_spend",
-    "spend_1_month_ago",
-    "spend_2_months_ago",
-    "spend_3_months_ago",
+    *LAGS,
     "avg_spend_last_3_months",
 )
 
@@ -48,15 +54,15 @@ def client_months(
     categories: tuple[str, ...] = DISCRETIONARY_CATEGORIES,
     expense_is_negative: bool = True,
 ) -> DataFrame:
-    """``(client_id, month_start, spend[, discretionary])``, both sums as decimals.
+    """``(client_id, month_start, spend[, discretionary])``, both sums in ten-thousandths.
 
     ``discretionary`` is there when the input carries ``category_name``.
     """
     rows = expenses(transactions, expense_is_negative)
-    sums = [F.sum(exact(F.col("expense_amount"))).alias("spend")]
+    sums = [F.sum(to_units(F.col("expense_amount"))).alias("spend")]
     if "category_name" in transactions.columns:
         rows = tag_discretionary(rows, categories)
-        sums.append(F.sum(exact(F.col("is_discretionary"))).alias("discretionary"))
+        sums.append(F.sum(to_units(F.col("is_discretionary"))).alias("discretionary"))
     return rows.groupBy("client_id", month_start(F.col("date")).alias("month_start")).agg(*sums)
 
 
@@ -65,7 +71,7 @@ def monthly_spend(months: DataFrame) -> DataFrame:
     return months.select(
         "client_id",
         month_label(F.col("month_start")).alias("txn_month"),
-        F.col("spend").cast("double").alias("current_month_spend"),
+        from_units(F.col("spend")).alias("current_month_spend"),
     )
 
 
@@ -77,16 +83,17 @@ def time_series_features(months: DataFrame, min_history: int = 0) -> DataFrame:
     """
     series = Window.partitionBy("client_id").orderBy("month_start")
     spend = F.col("spend")
-    lag = {n: F.round(F.lag(spend, n).over(series), 2).cast("double") for n in (1, 2, 3)}
-    trailing = F.avg(spend).over(series.rowsBetween(-3, -1))
     features = months.select(
         "client_id",
         month_label(F.col("month_start")).alias("txn_month"),
-        spend.cast("double").alias("current_month_spend"),
-        lag[1].alias("spend_1_month_ago"),
-        lag[2].alias("spend_2_months_ago"),
-        lag[3].alias("spend_3_months_ago"),
-        F.round(trailing, 2).cast("double").alias("avg_spend_last_3_months"),
+        from_units(spend).alias("current_month_spend"),
+        *[
+            cents_from_units(F.lag(spend, n).over(series)).alias(name)
+            for n, name in enumerate(LAGS, start=1)
+        ],
+        cents_from_units(F.avg(spend).over(series.rowsBetween(-3, -1))).alias(
+            "avg_spend_last_3_months"
+        ),
         *([F.row_number().over(series).alias("_position")] if min_history > 0 else []),
     )
     if min_history > 0:
@@ -97,14 +104,14 @@ def time_series_features(months: DataFrame, min_history: int = 0) -> DataFrame:
 def smoothed_spend(series: DataFrame, column: str = "smoothed_target_spend") -> DataFrame:
     """Adds the mean spend of this and the two months before it, rounded to cents."""
     frame = Window.partitionBy("client_id").orderBy("txn_month").rowsBetween(-2, 0)
-    mean = F.avg(exact(F.col("current_month_spend"))).over(frame)
-    return series.withColumn(column, F.round(mean, 2).cast("double"))
+    mean = F.avg(to_units(F.col("current_month_spend"))).over(frame)
+    return series.withColumn(column, cents_from_units(mean))
 
 
 def client_net_amount(transactions: DataFrame) -> DataFrame:
     """Sum of all amounts, income and expense, per client."""
     return transactions.groupBy("client_id").agg(
-        F.sum(exact(F.col("amount"))).cast("double").alias("net_amount")
+        from_units(F.sum(to_units(F.col("amount")))).alias("net_amount")
     )
 
 
@@ -114,11 +121,24 @@ def client_spend_totals(months: DataFrame) -> DataFrame:
     Counting the roll-up's months replaces a distinct count over the transactions; like one, it
     does not count the row of unreadable dates.
     """
-    return months.groupBy("client_id").agg(
-        F.sum("spend").cast("double").alias("total_expenses"),
-        F.sum("discretionary").cast("double").alias("discretionary_spending"),
+    return months.groupBy("client_id").agg(*total_columns(months))
+
+
+def total_columns(months: DataFrame) -> list[Column]:
+    """The aggregates of :func:`client_spend_totals`.
+
+    Discretionary spend is null for a roll-up made without categories, which spares callers that
+    only budget the join with the category dimension.
+    """
+    if "discretionary" in months.columns:
+        discretionary = from_units(F.sum("discretionary"))
+    else:
+        discretionary = F.lit(None).cast("double")
+    return [
+        from_units(F.sum("spend")).alias("total_expenses"),
+        discretionary.alias("discretionary_spending"),
         F.count("month_start").alias("active_months"),
-    )
+    ]
 
 
 def category_spend(transactions: DataFrame, top: int | None = 30) -> DataFrame:

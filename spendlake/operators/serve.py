@@ -7,9 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendlake.functions import cents, display_amount, normalize_month
+from spendlake.functions import (
+    cents,
+    cents_from_units,
+    display_amount,
+    from_units,
+    normalize_month,
+)
 from spendlake.operators.allocate import allocate
-from spendlake.operators.monthly import SERIES_COLUMNS
+from spendlake.operators.monthly import LAGS, SERIES_COLUMNS, total_columns
 from spendlake.operators.profile import user_features_from_totals
 from spendlake.schemas import ASSETS, Asset
 
@@ -128,18 +134,16 @@ def snapshots_from_months(users: DataFrame, months: DataFrame) -> DataFrame:
     """
     series = Window.partitionBy("client_id").orderBy("month_start")
     lags = {
-        name: F.round(F.lag("spend", n).over(series), 2).cast("double")
-        for n, name in ((1, "spend_1_month_ago"), (2, "spend_2_months_ago"))
+        name: cents_from_units(F.lag("spend", n).over(series))
+        for n, name in enumerate(LAGS[:2], start=1)
     }
     latest = ("current_month_spend", *lags)
     totals = (
-        months.withColumn("current_month_spend", F.col("spend").cast("double"))
+        months.withColumn("current_month_spend", from_units(F.col("spend")))
         .withColumns(lags)
         .groupBy("client_id")
         .agg(
-            F.sum("spend").cast("double").alias("total_expenses"),
-            F.sum("discretionary").cast("double").alias("discretionary_spending"),
-            F.count("month_start").alias("active_months"),
+            *total_columns(months),
             *[F.max_by(c, "month_start").alias(c) for c in latest],
         )
     )

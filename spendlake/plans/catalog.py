@@ -63,8 +63,10 @@ def _series(spark: SparkSession, sf: str) -> DataFrame:
     return monthly.time_series_features(_months(spark, sf, with_category=False))
 
 
-def _features(spark: SparkSession, sf: str) -> DataFrame:
-    return profile.user_portfolio_features(testdata.silver_users(spark, sf), _months(spark, sf))
+def _features(spark: SparkSession, sf: str, with_category: bool = True) -> DataFrame:
+    return profile.user_portfolio_features(
+        testdata.silver_users(spark, sf), _months(spark, sf, with_category)
+    )
 
 
 def _training(spark: SparkSession, sf: str) -> DataFrame:
@@ -74,7 +76,7 @@ def _training(spark: SparkSession, sf: str) -> DataFrame:
 def _requests(spark: SparkSession, sf: str) -> DataFrame:
     """Snapshots of all clients from one pass over the roll-up."""
     return serve.snapshots_from_months(
-        testdata.silver_users(spark, sf), _months(spark, sf)
+        testdata.silver_users(spark, sf), _months(spark, sf, with_category=False)
     ).select(
         "client_id",
         "monthly_income",
@@ -281,7 +283,7 @@ def top_discretionary_users(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def portfolio_recommendations(spark: SparkSession, sf: str) -> DataFrame:
-    return allocate.portfolio_recommendations(_features(spark, sf))
+    return allocate.portfolio_recommendations(_features(spark, sf, with_category=False))
 
 
 def allocation_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -312,7 +314,9 @@ def client_ids(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def table_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return serve.table_counts(monthly_spend(spark, sf), _features(spark, sf))
+    return serve.table_counts(
+        monthly_spend(spark, sf), _features(spark, sf, with_category=False)
+    )
 
 
 def latest_month(spark: SparkSession, sf: str) -> DataFrame:
@@ -323,7 +327,7 @@ def client_snapshots(spark: SparkSession, sf: str) -> DataFrame:
     """Snapshots joined from the two stored gold tables, as the serving side reads them."""
     lake = daily.Lake(scratch_dir(spark))
     lake.write(_series(spark, sf), daily.TIME_SERIES)
-    lake.write(_features(spark, sf), daily.USER_FEATURES)
+    lake.write(_features(spark, sf, with_category=False), daily.USER_FEATURES)
     snapshots = serve.client_snapshots(
         lake.read(spark, daily.TIME_SERIES), lake.read(spark, daily.USER_FEATURES)
     )
@@ -493,8 +497,9 @@ def financial_overview(spark: SparkSession, sf: str) -> DataFrame:
     """Flagship: per client, latest spend, features, and the recommended portfolio."""
     clients = serve.snapshots_from_months(testdata.silver_users(spark, sf), _months(spark, sf))
     planned = allocate.add_return_and_risk(allocate.allocate(clients))
-    return _round6(planned, "avg_monthly_spend").select(
-        "client_id", "avg_monthly_spend", "monthly_disposable_income", "risk_tolerance_score",
+    return _round6(planned, "avg_monthly_spend", "avg_monthly_discretionary").select(
+        "client_id", "avg_monthly_spend", "avg_monthly_discretionary",
+        "discretionary_spend_ratio", "monthly_disposable_income", "risk_tolerance_score",
         "investment_horizon", "current_month_spend", "spend_1_month_ago", "spend_2_months_ago",
         "status", "Savings", "Bonds", "ETFs", "Crypto", "expected_annual_return",
         "expected_annual_risk",

@@ -287,7 +287,8 @@ ORACLE: dict[str, str] = {
     "financial_overview": _query(
         (*RECOMMENDED, SERIES),
         f"SELECT client_id, round(avg_monthly_spend, 6) AS avg_monthly_spend, "
-        f"current_month_spend, spend_1_month_ago, spend_2_months_ago, "
+        "round(avg_monthly_discretionary, 6) AS avg_monthly_discretionary, "
+        f"discretionary_spend_ratio, current_month_spend, spend_1_month_ago, spend_2_months_ago, "
         f"{_PORTFOLIO} FROM plan JOIN features USING (client_id) JOIN series USING (client_id) "
         "WHERE age = 1",
     ),
