@@ -1,0 +1,54 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from spendlake.session import get_spark  # noqa: E402
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = get_spark(
+        "tests",
+        "local[8]",
+        {
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("scratch")),
+            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+            "spark.ui.showConsoleProgress": "false",
+        },
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture(scope="session")
+def sf_dir():
+    return SF_DIR
+
+
+@pytest.fixture(scope="session")
+def plan_of():
+    """Physical plan text of a DataFrame."""
+
+    def text(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    return text
+
+
+@pytest.fixture(scope="session")
+def final_plan_of():
+    """Physical plan text after adaptive execution has run it."""
+
+    def text(df):
+        execution = df._jdf.queryExecution()
+        execution.executedPlan().executeCollect()
+        return execution.executedPlan().toString()
+
+    return text

@@ -1,0 +1,230 @@
+import pytest
+from pyspark.sql import functions as F
+
+from spendlake.functions import (
+    cents,
+    cents_from_units,
+    clean_category,
+    clean_merchant,
+    display_amount,
+    month_label,
+    month_start,
+    normalize_month,
+    parse_money,
+    parse_timestamp,
+    to_units,
+)
+from spendlake.operators.cleaning import clean_transactions, clean_users, split_contract
+from spendlake.operators.enrich import add_category, add_users, fits_broadcast
+from spendlake.schemas import BRONZE_TRANSACTIONS, BRONZE_USERS
+
+
+def values(spark, kind, data, expression):
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(data)], f"i int, x {kind}")
+    return [r.y for r in df.select("i", expression(F.col("x")).alias("y")).orderBy("i").collect()]
+
+
+def test_parse_money(spark):
+    texts = ["$-77.00", "$1$2.5", "abc", "", None, " 3 ", "1e3"]
+    assert values(spark, "string", texts, parse_money) == [-77.0, 12.5, None, None, None, 3.0, 1000.0]
+
+
+def test_category(spark):
+    texts = [" Book stores ", None, "  ", "\tTaxi"]
+    assert values(spark, "string", texts, clean_category) == ["BOOK STORES", "UNKNOWN", "", "\tTAXI"]
+
+
+def test_merchant(spark):
+    texts = ["\t acme \n", "a  b", " x ", None]
+    assert values(spark, "string", texts, clean_merchant) == ["ACME", "A  B", "X", None]
+
+
+def test_months(spark):
+    texts = ["2020-03-31 23:59:59", "2020-03-01", "2020-03", "bad", None]
+    labels = values(spark, "string", texts, lambda c: month_label(month_start(c)))
+    assert labels == ["2020-03", "2020-03", "2020-03", None, None]
+    normal = values(spark, "string", ["2020-3", "2020-03-09", "x", "2020-13"], normalize_month)
+    assert normal == ["2020-03", "2020-03", None, None]
+
+
+def test_timestamp_is_strict(spark):
+    parsed = values(spark, "string", ["2020-01-02 03:04:05", "2020-01-02", "x"], parse_timestamp)
+    assert str(parsed[0]) == "2020-01-02 03:04:05" and parsed[1:] == [None, None]
+
+
+def test_rounding(spark):
+    assert values(spark, "double", [2.675, 0.125, -0.125, 12.344999999999999], cents) == [
+        2.68, 0.13, -0.13, 12.35,
+    ]
+    halves = values(spark, "double", [0.01, 1.005, 999999.99, -0.07], to_units)
+    assert halves == [100, 10050, 9999999900, -700]
+    mean = values(spark, "double", [150.0, 50.0, 250.0, -150.0], cents_from_units)
+    assert mean == [0.02, 0.01, 0.03, -0.02]
+
+
+def test_display(spark):
+    assert values(spark, "double", [1234.5, -5.0, 0.0], display_amount) == [
+        "$1,234.50", "$-5.00", "$0.00",
+    ]
+
+
+def transactions(spark, *rows):
+    names = BRONZE_TRANSACTIONS.fieldNames()
+    data = [tuple((dict.fromkeys(names) | row)[n] for n in names) for row in rows]
+    return spark.createDataFrame(data, BRONZE_TRANSACTIONS)
+
+
+def test_silver_transactions(spark):
+    base = {"client_id": "c", "date": "2020-01-01 00:00:00", "mcc": "1"}
+    raw = transactions(
+        spark,
+        base | {"id": "1", "amount": "$-77.00"},
+        base | {"id": "2", "amount": "abc"},
+        base | {"id": "3", "amount": None},
+        base | {"id": "4", "amount": "$1000000"},
+        base | {"id": "5", "amount": "$-1000000"},
+        base | {"id": "6", "amount": "$-999999.99", "mcc": "9"},
+        base | {"id": None, "amount": "$1"},
+        base | {"id": "8", "amount": "$1", "client_id": None},
+        base | {"id": "9", "amount": "$NaN"},
+        base | {"id": "10", "amount": "$1", "mcc": None},
+    )
+    codes = spark.createDataFrame([("1", " Taxi "), ("2", None)], "mcc string, category_name string")
+    silver = clean_transactions(add_category(raw, codes))
+    rows = {r.id: (r.amount, r.category_name) for r in silver.collect()}
+    assert rows == {
+        "1": (-77.0, "TAXI"),
+        "6": (-999999.99, "UNKNOWN"),
+        "10": (1.0, "UNKNOWN"),
+    }
+    assert silver.columns[0] == "mcc" and silver.columns[-1] == "category_name"
+    assert dict(silver.dtypes)["date"] == "string"
+    assert dict(clean_transactions(add_category(raw, codes), True).dtypes)["date"] == "timestamp"
+
+
+def test_silver_users(spark):
+    names = BRONZE_USERS.fieldNames()
+
+    def user(**fields):
+        return tuple((dict.fromkeys(names) | fields)[n] for n in names)
+
+    raw = spark.createDataFrame(
+        [
+            user(id="1", yearly_income="$59,0", total_debt="$2"),
+            user(id="2", yearly_income="$0", total_debt="x"),
+            user(id=None, yearly_income="$5"),
+        ],
+        BRONZE_USERS,
+    )
+    rows = clean_users(raw).collect()
+    assert [(r.id, r.yearly_income, r.total_debt) for r in rows] == [("2", 0.0, None)]
+
+
+def test_contract(spark):
+    rows = spark.createDataFrame(
+        [
+            ("1", "2020-01-01 10:00:00", "1000000", "\t acme \n", None),
+            ("2", "2020-01-01T10:00:00", "-1000000.01", "x", "c"),
+            (None, "nope", "abc", None, "c"),
+            ("4", None, None, "m", "c"),
+            ("5", "2020-01-01", "2.345", "m", "Food"),
+            ("6", "2020-01", "1", "m", "Food"),
+            ("7", "2020-01-01", "NaN", "m", "Food"),
+        ],
+        "transaction_id string, date string, amount string, merchant_name string, category string",
+    )
+    valid, rejected = split_contract(rows)
+    good = {r.transaction_id: r for r in valid.collect()}
+    assert set(good) == {"1", "5", "7"}
+    assert (good["1"].merchant_name, good["1"].category) == ("ACME", "Uncategorized")
+    assert good["5"].amount == 2.35
+    bad = {r.transaction_id: r.reason for r in rejected.collect()}
+    assert bad == {
+        "2": "amount out of range",
+        None: "missing transaction_id; invalid date; invalid amount; missing merchant_name",
+        "4": "missing date; missing amount",
+        "6": "invalid date",
+    }
+
+
+def test_contract_without_category_column(spark):
+    rows = spark.createDataFrame(
+        [("1", "2020-01-01", 1.0, "m")],
+        "transaction_id string, date string, amount double, merchant_name string",
+    )
+    assert split_contract(rows).valid.first().category == "Uncategorized"
+
+
+@pytest.fixture(scope="module")
+def hot(spark):
+    """Transactions of which a third share one client and one code, and some have no code."""
+    rows = spark.range(3000).selectExpr(
+        "cast(id as string) id",
+        "case when id % 3 = 0 then 'hot' else cast(id % 500 as string) end client_id",
+        "case when id % 3 = 0 then 'hot' when id % 7 = 0 then null else cast(id % 90 as string) end mcc",
+        "cast(id as double) amount",
+    )
+    codes = spark.range(60).selectExpr("cast(id as string) mcc", "concat('n', id) category_name")
+    codes = codes.unionByName(spark.createDataFrame([("hot", "Hot")], codes.schema))
+    return rows, codes
+
+
+def test_salted_join_gives_the_broadcast_rows(spark, hot, plan_of):
+    rows, codes = hot
+    small, large = (add_category(rows, codes, small=s) for s in (True, False))
+    assert "BroadcastHashJoin" in plan_of(small)
+    assert sorted(map(tuple, small.collect()), key=str) == sorted(map(tuple, large.select(small.columns).collect()), key=str)
+
+
+def test_hot_code_is_spread(spark, hot):
+    rows, codes = hot
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = add_category(rows, codes, small=False).filter("mcc = 'hot'")
+        tasks = joined.select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert tasks > 1
+
+
+def test_dimension_size_is_checked(spark):
+    codes = spark.range(20).selectExpr("cast(id as string) mcc", "repeat('x', 100) category_name")
+    assert fits_broadcast(codes)
+    assert not fits_broadcast(codes, max_rows=19)
+    assert not fits_broadcast(codes, max_bytes=1000)
+
+
+def test_users_join_keeps_every_transaction(spark, hot):
+    rows, _ = hot
+    users = spark.range(400).selectExpr("cast(id as string) id", "cast(id as int) age")
+    plain = add_users(rows, users)
+    salted = add_users(rows, users, salts=4)
+    assert plain.columns == ["transaction_id", "client_id", "mcc", "amount", "age"] == salted.columns
+    assert sorted(map(tuple, plain.collect()), key=str) == sorted(map(tuple, salted.collect()), key=str)
+    assert plain.count() == 3000
+
+
+def test_adaptive_execution_splits_a_hot_client(spark, final_plan_of):
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k) for k in changed}
+    for key, value in changed.items():
+        spark.conf.set(key, value)
+    try:
+        rows = spark.range(0, 60000, 1, 8).selectExpr(
+            "cast(id as string) id",
+            "case when id % 3 = 0 then 'hot' else cast(id % 5000 as string) end client_id",
+            "sha2(cast(id as string), 256) note",
+        )
+        users = spark.range(5000).selectExpr("cast(id as string) id", "repeat('x', 40) address")
+        assert "skew=true" in final_plan_of(add_users(rows, users))
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)

@@ -1,0 +1,95 @@
+from spendlake.functions import credit_risk_budget, risk_tolerance
+from spendlake.operators.monthly import client_months
+from spendlake.operators.profile import user_portfolio_features
+from spendlake.schemas import USER_PORTFOLIO_FEATURES
+from pyspark.sql import functions as F
+
+
+def users(spark, *rows):
+    names = USER_PORTFOLIO_FEATURES.fieldNames()[:14]
+    schema = USER_PORTFOLIO_FEATURES[: len(names)]
+    return spark.createDataFrame([tuple((dict.fromkeys(names) | r)[n] for n in names) for r in rows], schema)
+
+
+def months(spark, *rows):
+    return client_months(
+        spark.createDataFrame(list(rows), "client_id string, date string, amount double, category_name string")
+    )
+
+
+def test_all_features(spark):
+    people = users(
+        spark,
+        dict(id="1", current_age=30, retirement_age=66, yearly_income=60000.0, total_debt=12000.0, credit_score=800),
+        dict(id="2", current_age=60, retirement_age=60, yearly_income=0.0, total_debt=5.0, credit_score=700),
+        dict(id="3", current_age=1, retirement_age=2, yearly_income=1.0),
+    )
+    spent = months(
+        spark,
+        ("1", "2020-01-01", -1000.0, "BOOK STORES"),
+        ("1", "2020-02-01", -2000.5, "TAXI"),
+        ("2", "2020-02-01", -10.0, "TAXI"),
+        ("9", "2020-02-01", -10.0, "TAXI"),
+    )
+    features = user_portfolio_features(people, spent)
+    assert [(f.name, f.dataType) for f in features.schema] == [
+        (f.name, f.dataType) for f in USER_PORTFOLIO_FEATURES
+    ]
+    rows = {r.id: r.asDict() for r in features.collect()}
+    assert set(rows) == {"1", "2"}  # no expense, no row
+    one, two = rows["1"], rows["2"]
+    assert (one["avg_monthly_spend"], one["avg_monthly_discretionary"]) == (1500.25, 500.0)
+    assert (one["monthly_income"], one["investment_horizon"]) == (5000.0, 36)
+    assert one["credit_utilization_ratio"] == 0.2
+    assert one["monthly_disposable_income"] == 3500.0  # 3499.75 to whole units
+    assert one["savings_rate"] == 0.7  # of the rounded disposable income
+    assert one["discretionary_spend_ratio"] == 0.3333
+    assert one["risk_tolerance_score"] == 8
+    assert two["credit_utilization_ratio"] is None and two["savings_rate"] is None
+    assert (two["monthly_disposable_income"], two["risk_tolerance_score"]) == (-10.0, 3)
+
+
+def test_risk_rules(spark):
+    cases = [
+        ((20, 700, 0.0), 5), ((21, 700, 0.0), 7), ((10, 700, 0.0), 5), ((9, 700, 0.0), 3),
+        ((15, 750, 0.0), 5), ((15, 751, 0.0), 6), ((15, 700, 0.4), 5), ((15, 700, 0.4001), 3),
+        ((21, 751, 0.0), 8), ((9, 1, 0.9), 1), ((None, None, None), 5), ((-38, 1, 2.0), 1),
+    ]
+    df = spark.createDataFrame(
+        [(i, *case) for i, (case, _) in enumerate(cases)], "i int, h int, c int, u double"
+    ).withColumn("score", risk_tolerance(F.col("h"), F.col("c"), F.col("u")))
+    assert [r.score for r in df.orderBy("i").collect()] == [score for _, score in cases]
+
+
+def test_utilization_threshold_applies_after_rounding(spark):
+    people = users(
+        spark,
+        *[
+            dict(id=str(i), current_age=30, retirement_age=45, yearly_income=100000.0, total_debt=debt, credit_score=1)
+            for i, debt in enumerate((40004.0, 40006.0))
+        ],
+    )
+    spent = months(spark, ("0", "2020-01-01", -1.0, "T"), ("1", "2020-01-01", -1.0, "T"))
+    rows = {r.id: (r.credit_utilization_ratio, r.risk_tolerance_score) for r in user_portfolio_features(people, spent).collect()}
+    assert rows == {"0": (0.4, 5), "1": (0.4001, 3)}
+
+
+def test_credit_risk_budget(spark):
+    df = spark.createDataFrame([(940, 110153.0, 48277.0), (1, 1.0, 0.0)], "s int, d double, y double")
+    budgets = [r.b for r in df.select(credit_risk_budget(F.col("s"), F.col("d"), F.col("y")).alias("b")).collect()]
+    assert round(budgets[0], 2) == 825.92 and budgets[1] is None
+
+
+def test_join_shuffles_only_users(spark, sf_dir, plan_of):
+    from spendlake.plans import testdata
+    from spendlake.plans.catalog import _months
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        people = testdata.silver_users(spark, sf_dir)
+        spent = _months(spark, sf_dir, with_category=False)
+        before = plan_of(spent).count("Exchange hashpartitioning")
+        plan = plan_of(user_portfolio_features(people, spent))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == before + 2  # per client, and the users
