@@ -14,8 +14,11 @@ def parse_money(column: Column) -> Column:
 
 
 def in_bounds(column: Column, bound: float = AMOUNT_BOUND) -> Column:
-    """True strictly between -bound and bound; null amounts do not pass a filter on it."""
-    return (column < F.lit(float(bound))) & (column > F.lit(-float(bound)))
+    """True strictly between -bound and bound; null and NaN do not pass a filter on it.
+
+    One comparison, so that a filter on a parsed amount parses it once.
+    """
+    return F.abs(column) < F.lit(float(bound))
 
 
 def exact(column: Column) -> Column:

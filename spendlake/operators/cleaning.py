@@ -27,8 +27,8 @@ _ISO_DATE = r"^\s*[0-9]{4}-[0-9]{2}-[0-9]{2}"
 def clean_transactions(enriched: DataFrame, parse_dates: bool = False) -> DataFrame:
     """Silver transactions from raw ones that already carry ``category_name``.
 
-    Unparseable amounts become null and drop out with the bounds filter. ``parse_dates`` turns
-    ``date`` into a timestamp; without it the text is kept.
+    Unparseable amounts become null and drop out with the bounds filter, and so do rows without
+    id or client. ``parse_dates`` turns ``date`` into a timestamp; without it the text is kept.
     """
     date = parse_timestamp(F.col("date")) if parse_dates else F.col("date")
     replaced = {
@@ -37,20 +37,19 @@ def clean_transactions(enriched: DataFrame, parse_dates: bool = False) -> DataFr
     }
     order = ["mcc"] + [c for c in BRONZE_TRANSACTIONS.fieldNames() if c != "mcc"]
     return (
-        enriched.select(
+        enriched.filter(F.col("id").isNotNull() & F.col("client_id").isNotNull())
+        .select(
             *[replaced.get(c, F.col(c)).alias(c) for c in order],
             clean_category(F.col("category_name")).alias("category_name"),
         )
         .filter(in_bounds(F.col("amount")))
-        .dropna(subset=["id", "client_id", "amount"])
     )
 
 
 def clean_users(raw: DataFrame) -> DataFrame:
     """Silver users: money as double, rows without id or yearly income dropped."""
-    return raw.withColumns({c: parse_money(F.col(c)) for c in USER_MONEY_COLUMNS}).dropna(
-        subset=["id", "yearly_income"]
-    )
+    typed = raw.withColumns({c: parse_money(F.col(c)) for c in USER_MONEY_COLUMNS})
+    return typed.filter(F.col("id").isNotNull() & F.col("yearly_income").isNotNull())
 
 
 class ContractResult(NamedTuple):

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from spendlake.functions import cents_from_units, to_units
 from spendlake.operators.monthly import LAGS
+from spendlake.session import scratch_root
 from spendlake.sources.lake import DEFAULT_FORMAT, table_exists, write_table
 
 LAG_COLUMNS = (*LAGS, "avg_spend_last_3_months")
@@ -141,7 +142,12 @@ def gbt(trees: int = 100, depth: int = 4, rate: float = 0.1, seed: int = 42) ->
 def fit_forecaster(
     rows: DataFrame, target: str = "smoothed", trees: int = 100, depth: int = 4, rate: float = 0.1
 ) -> GBTRegressionModel:
-    """Boosted trees on the training part. Spark ML keeps its binned input, spilling to disk."""
+    """Boosted trees on the training part.
+
+    Spark ML keeps its binned input, spilling to disk, and with a checkpoint folder set it cuts
+    the lineage of the residuals every ten trees.
+    """
+    scratch_root(rows.sparkSession)
     train = supervised(rows, target).filter("NOT is_test")
     return gbt(trees, depth, rate).fit(with_vector(train, TARGETS[target].features))
 
@@ -229,6 +235,7 @@ def grid_search(
     """
     grid = GRID if grid is None else grid
     spark = rows.sparkSession
+    scratch_root(spark)
     train, _ = holdout_split(rows, target)
     frame = with_vector(supervised(train, target), TARGETS[target].features).select(
         "txn_month", "features", "label"

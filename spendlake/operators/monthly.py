@@ -98,7 +98,7 @@ def time_series_features(months: DataFrame, min_history: int = 0) -> DataFrame:
     )
     if min_history > 0:
         features = features.filter(F.col("_position") > min_history).drop("_position")
-    return features.dropna(subset=["current_month_spend"])
+    return features.filter(F.col("current_month_spend").isNotNull())
 
 
 def smoothed_spend(series: DataFrame, column: str = "smoothed_target_spend") -> DataFrame:

@@ -15,7 +15,12 @@ from spendlake.functions import (
     normalize_month,
 )
 from spendlake.operators.allocate import allocate
-from spendlake.operators.monthly import LAGS, SERIES_COLUMNS, total_columns
+from spendlake.operators.monthly import (
+    LAGS,
+    SERIES_COLUMNS,
+    smoothed_spend,
+    total_columns,
+)
 from spendlake.operators.profile import user_features_from_totals
 from spendlake.schemas import ASSETS, Asset
 
@@ -91,6 +96,19 @@ def client_snapshots(series: DataFrame, profiles: DataFrame) -> DataFrame:
     return spend.join(facts, "client_id").select(*REQUEST_COLUMNS)
 
 
+def client_snapshot(series: DataFrame, profiles: DataFrame, client_id: str) -> DataFrame:
+    """The snapshot of one client, or no row where either table lacks the client.
+
+    Both tables are filtered first, so the lookup reads only matching row groups.
+    """
+    key = F.lit(str(client_id))
+    profile_key = "client_id" if "client_id" in profiles.columns else "id"
+    return client_snapshots(
+        series.filter(F.col("client_id").cast("string") == key),
+        profiles.filter(F.col(profile_key).cast("string") == key),
+    )
+
+
 def clients_without_profile(series: DataFrame, profiles: DataFrame) -> DataFrame:
     """Clients with a spend history that have no profile."""
     return client_ids(series).join(
@@ -110,7 +128,7 @@ def client_histories(series: DataFrame) -> DataFrame:
     return (
         series.withColumn("client_id", F.col("client_id").cast("string"))
         .withColumn("txn_month", normalize_month(F.col("txn_month")))
-        .dropna(subset=["txn_month"])
+        .filter(F.col("txn_month").isNotNull())
         .select(*SERIES_COLUMNS)
     )
 
@@ -121,6 +139,13 @@ def client_history(series: DataFrame, client_id: str) -> DataFrame:
     return client_histories(rows).orderBy("txn_month")
 
 
+def spend_trend(series: DataFrame) -> DataFrame:
+    """The smoothed spend of every client over its readable months, for charts."""
+    return smoothed_spend(client_histories(series)).select(
+        "client_id", "txn_month", "smoothed_target_spend"
+    )
+
+
 def ordered_histories(series: DataFrame) -> DataFrame:
     """The series ordered by client and month, for output."""
     return series.orderBy("client_id", "txn_month")

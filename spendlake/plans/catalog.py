@@ -348,6 +348,10 @@ def client_histories(spark: SparkSession, sf: str) -> DataFrame:
     return serve.ordered_histories(serve.client_histories(_series(spark, sf)))
 
 
+def spend_trend(spark: SparkSession, sf: str) -> DataFrame:
+    return serve.spend_trend(_series(spark, sf))
+
+
 def top_spender_history(spark: SparkSession, sf: str) -> DataFrame:
     """All months of the client with the highest total spend, looked up by id."""
     stored = materialize(_series(spark, sf))
@@ -548,6 +552,7 @@ QUERIES: dict[str, Query] = {
         client_snapshots_one_pass,
         clients_without_history,
         client_histories,
+        spend_trend,
         top_spender_history,
         advisor_plan,
         advisor_responses,

@@ -414,6 +414,9 @@ ORACLE: dict[str, str] = {
         "SELECT id AS client_id FROM users WHERE id NOT IN (SELECT client_id FROM months)",
     ),
     "client_histories": _TIME_SERIES,
+    "spend_trend": _query(
+        (LINES, MONTHS, SERIES), "SELECT client_id, txn_month, smoothed_target_spend FROM series"
+    ),
     "top_spender_history": _query(
         (LINES, MONTHS, SERIES),
         f"SELECT {_SERIES_COLUMNS} FROM series WHERE client_id = (SELECT client_id FROM months "

@@ -35,11 +35,20 @@ def mcc_codes(spark: SparkSession) -> DataFrame:
     )
 
 
-def _magnitude() -> Column:
+def _cents() -> Column:
     # A hundredth of the line's price, half cents up. The price times 100 is the number of cents,
     # so flooring it needs no decimal rounding; the addend absorbs the binary noise of a half.
-    cents = F.floor(F.col("l_extendedprice") * (1 - F.col("l_discount")) + (0.5 + 1e-5))
-    return cents / 100
+    return F.floor(F.col("l_extendedprice") * (1 - F.col("l_discount")) + (0.5 + 1e-5))
+
+
+def _is_income() -> Column:
+    return F.col("l_returnflag") == "R"
+
+
+def _amount_text() -> Column:
+    sign = F.when(_is_income(), "$").otherwise("$-")
+    whole = F.floor(_cents() / 100).cast("string")
+    return F.concat(sign, whole, F.lit("."), F.lpad((_cents() % 100).cast("string"), 2, "0"))
 
 
 def _order_lines(spark: SparkSession, sf_dir: str, with_part: bool) -> DataFrame:
@@ -53,7 +62,6 @@ def _order_lines(spark: SparkSession, sf_dir: str, with_part: bool) -> DataFrame
 
 
 def _line_columns() -> dict[str, Column]:
-    income = F.col("l_returnflag") == "R"
     supplier = F.col("l_suppkey")
     return {
         "id": F.concat_ws(
@@ -62,12 +70,12 @@ def _line_columns() -> dict[str, Column]:
             "l_linenumber",
             "l_partkey",
             "l_suppkey",
-            F.date_format("l_shipdate", "yyyyMMdd"),
+            F.replace(F.col("l_shipdate").cast("date").cast("string"), F.lit("-"), F.lit("")),
         ),
         "date": F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"),
         "client_id": F.col("o_custkey").cast("string"),
         "card_id": F.col("o_orderpriority"),
-        "amount": F.when(income, _magnitude()).otherwise(-_magnitude()),
+        "amount": F.when(_is_income(), _cents()).otherwise(-_cents()) / 100,
         "use_chip": F.lit("Chip Transaction"),
         "merchant_id": supplier.cast("string"),
         "merchant_city": F.concat(F.lit("City "), (supplier % 50).cast("string")),
@@ -81,9 +89,7 @@ def _line_columns() -> dict[str, Column]:
 def bronze_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All columns as text, amounts with a dollar sign, as the raw files hold them."""
     columns = _line_columns()
-    columns["amount"] = F.concat(
-        F.lit("$"), columns["amount"].cast("decimal(18,2)").cast("string")
-    )
+    columns["amount"] = _amount_text()
     lines = _order_lines(spark, sf_dir, with_part=True)
     return lines.select(*[columns[c].alias(c) for c in BRONZE_TRANSACTIONS.fieldNames()])
 

@@ -25,15 +25,24 @@ LOCAL_CONF = {
 }
 
 
+# What a session needs to read and write Delta tables.
+DELTA_CONF = {
+    "spark.sql.extensions": "io.delta.sql.DeltaSparkSessionExtension",
+    "spark.sql.catalog.spark_catalog": "org.apache.spark.sql.delta.catalog.DeltaCatalog",
+}
+
+
 def get_spark(
     app_name: str = "spendlake",
     master: str | None = None,
     conf: dict[str, str] | None = None,
+    delta: bool = False,
 ) -> SparkSession:
     """Session with the settings every operator here assumes.
 
     ``master`` stays unset on a cluster, where the submit command names it. ANSI mode is left
     at Spark 4's default (on); the operators use ``try_*`` where bad input must become null.
+    ``delta`` needs the Delta package on the classpath.
     """
     builder = SparkSession.builder.appName(app_name)
     settings = dict(BASE_CONF)
@@ -41,6 +50,8 @@ def get_spark(
         builder = builder.master(master)
         if master.startswith("local"):
             settings.update(LOCAL_CONF)
+    if delta:
+        settings.update(DELTA_CONF)
     settings.update(conf or {})
     for key, value in settings.items():
         builder = builder.config(key, value)
@@ -66,8 +77,9 @@ def scratch_root(spark: SparkSession) -> str:
     if not root:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="spendlake-"))
-        root = context.getCheckpointDir()
+        root = tempfile.mkdtemp(prefix="spendlake-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(root)
     return root.rstrip("/")
 
 

@@ -7,6 +7,7 @@ from spendlake.operators.serve import (
     client_histories,
     client_history,
     client_ids,
+    client_snapshot,
     client_snapshots,
     clients_without_history,
     clients_without_profile,
@@ -15,6 +16,7 @@ from spendlake.operators.serve import (
     latest_profile,
     rolling_mean_forecast,
     snapshots_from_months,
+    spend_trend,
     table_counts,
 )
 from spendlake.schemas import ADVISOR_REQUEST, TIME_SERIES_FEATURES
@@ -70,6 +72,18 @@ def test_snapshots(series, profiles):
     assert [r.client_id for r in clients_without_history(series, profiles).collect()] == ["4"]
 
 
+def test_snapshot_of_one_client(series, profiles):
+    assert client_snapshot(series, profiles, "1").first().spend_1_month_ago == 100.0
+    assert client_snapshot(series, profiles, "3").count() == 0
+    by_id = profiles.withColumnRenamed("client_id", "id")
+    assert client_snapshot(series, by_id, "2").first().risk_score == 3
+
+
+def test_trend(series):
+    rows = {(r.client_id, r.txn_month): r.smoothed_target_spend for r in spend_trend(series).collect()}
+    assert rows == {("1", "2020-01"): 100.0, ("1", "2020-03"): 150.0, ("2", "2020-02"): 50.0}
+
+
 def test_profile_key_may_be_id(spark):
     rows = spark.createDataFrame([(1, 2.0), (1, 2.0)], "id int, monthly_income double")
     assert [r.client_id for r in latest_profile(rows).collect()] == ["1"]
