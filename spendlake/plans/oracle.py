@@ -65,7 +65,8 @@ MONTHS = f"""months AS (
 
 
 def _half_up(value: str, digits: int, nudge: str = "1e-7") -> str:
-    return f"round({value} + sign({value}) * {nudge}, {digits})"
+    # Adding zero turns the negative zero of a small negative value into zero.
+    return f"(round({value} + sign({value}) * {nudge}, {digits}) + 0.0)"
 
 
 _MEAN_BEFORE = "CAST(sum(spend) OVER before AS DOUBLE) / count(spend) OVER before"
