@@ -23,6 +23,7 @@ from spendlake.schemas import (
     Asset,
     CardProduct,
 )
+from spendlake.sources.literals import asset_table
 
 OPTIMAL = "OPTIMAL"
 NO_BUDGET = "NO_BUDGET"
@@ -69,17 +70,18 @@ def _shares(edge: Sequence[Asset], names: Sequence[str], risk: Column) -> Column
 
 
 def _shares_by_horizon(assets: Sequence[Asset], horizon: Column, risk: Column) -> Column:
+    """Shares by the assets a client's horizon allows, longest minimum horizon first."""
     names = [a.name for a in assets]
-    limits = sorted({a.min_horizon for a in assets if a.min_horizon is not None}, reverse=True)
-    cases = F
-    for limit in limits:
+
+    def shares(allowed: list[Asset]) -> Column:
+        edge = efficient_assets(allowed)
+        return _shares(edge, names, risk) if edge else F.lit(None)
+
+    choice = shares([a for a in assets if a.min_horizon is None])
+    for limit in sorted({a.min_horizon for a in assets if a.min_horizon is not None}):
         allowed = [a for a in assets if a.min_horizon is None or a.min_horizon <= limit]
-        cases = cases.when(horizon >= limit, _shares(efficient_assets(allowed), names, risk))
-    always = efficient_assets([a for a in assets if a.min_horizon is None])
-    if not always:
-        return cases
-    shares = _shares(always, names, risk)
-    return cases.otherwise(shares) if limits else shares
+        choice = F.when(horizon >= limit, shares(allowed)).otherwise(choice)
+    return choice
 
 
 def allocate(
@@ -161,12 +163,12 @@ def positive_allocations(rows: DataFrame) -> DataFrame:
     return rows.filter(F.col("amount") > 0)
 
 
-def return_and_risk_of_rows(rows: DataFrame, asset_table: DataFrame) -> DataFrame:
-    """Return and risk per client from the long form and an asset table.
+def return_and_risk_of_rows(rows: DataFrame, assets: Sequence[Asset] = ASSETS) -> DataFrame:
+    """Return and risk per client from the long form.
 
-    The asset table is the dimension of a few rows, broadcast; Spark sums per task first.
+    The broadcast side is the given list of assets itself; Spark sums per task first.
     """
-    joined = rows.join(F.broadcast(asset_table), "asset")
+    joined = rows.join(F.broadcast(asset_table(rows.sparkSession, assets)), "asset")
     amount = F.col("amount").cast("decimal(18,2)")
 
     def total(weight: str) -> Column:

@@ -19,7 +19,6 @@ from spendlake.plans import daily, testdata
 from spendlake.schemas import USER_PORTFOLIO_FEATURES
 from spendlake.session import materialize, scratch_dir
 from spendlake.sources import (
-    asset_table,
     read_inferred_csv,
     read_mcc_json,
     read_table,
@@ -296,7 +295,7 @@ def positive_allocations(spark: SparkSession, sf: str) -> DataFrame:
 
 def portfolio_return_and_risk(spark: SparkSession, sf: str) -> DataFrame:
     rows = allocate.positive_allocations(allocation_rows(spark, sf))
-    return allocate.return_and_risk_of_rows(rows, asset_table(spark))
+    return allocate.return_and_risk_of_rows(rows)
 
 
 def card_offers(spark: SparkSession, sf: str) -> DataFrame:

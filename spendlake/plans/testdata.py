@@ -25,8 +25,22 @@ CATEGORY_OF_PART_TYPE = {
 }
 
 
+# Declared, so that opening a table runs no job to read a footer.
+TABLES = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def mcc_codes(spark: SparkSession) -> DataFrame:
@@ -61,56 +75,66 @@ def _order_lines(spark: SparkSession, sf_dir: str, with_part: bool) -> DataFrame
     return lines
 
 
-def _line_columns() -> dict[str, Column]:
+def _line_column(name: str) -> Column:
+    """One bronze column over the joined order lines, typed."""
     supplier = F.col("l_suppkey")
-    return {
-        "id": F.concat_ws(
-            "-",
-            "l_orderkey",
-            "l_linenumber",
-            "l_partkey",
-            "l_suppkey",
-            F.replace(F.col("l_shipdate").cast("date").cast("string"), F.lit("-"), F.lit("")),
-        ),
-        "date": F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"),
-        "client_id": F.col("o_custkey").cast("string"),
-        "card_id": F.col("o_orderpriority"),
-        "amount": F.when(_is_income(), _cents()).otherwise(-_cents()) / 100,
-        "use_chip": F.lit("Chip Transaction"),
-        "merchant_id": supplier.cast("string"),
-        "merchant_city": F.concat(F.lit("City "), (supplier % 50).cast("string")),
-        "merchant_state": F.concat(F.lit("S"), (supplier % 20).cast("string")),
-        "zip": F.lpad((supplier % 100000).cast("string"), 5, "0"),
-        "mcc": F.col("p_type"),
-        "errors": F.lit(None).cast("string"),
-    }
+    match name:
+        case "id":
+            shipped = F.col("l_shipdate").cast("date").cast("string")
+            keys = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+            return F.concat_ws("-", *keys, F.replace(shipped, F.lit("-"), F.lit("")))
+        case "date":
+            return F.col("o_orderdate")
+        case "client_id":
+            return F.col("o_custkey").cast("string")
+        case "card_id":
+            return F.col("o_orderpriority")
+        case "amount":
+            return F.when(_is_income(), _cents()).otherwise(-_cents()) / 100
+        case "use_chip":
+            return F.lit("Chip Transaction")
+        case "merchant_id":
+            return supplier.cast("string")
+        case "merchant_city":
+            return F.concat(F.lit("City "), (supplier % 50).cast("string"))
+        case "merchant_state":
+            return F.concat(F.lit("S"), (supplier % 20).cast("string"))
+        case "zip":
+            return F.lpad((supplier % 100000).cast("string"), 5, "0")
+        case "mcc":
+            return F.col("p_type")
+        case "errors":
+            return F.lit(None).cast("string")
+    raise KeyError(name)
 
 
 def bronze_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All columns as text, amounts with a dollar sign, as the raw files hold them."""
-    columns = _line_columns()
-    columns["amount"] = _amount_text()
+    text = {
+        "date": F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"),
+        "amount": _amount_text(),
+    }
     lines = _order_lines(spark, sf_dir, with_part=True)
-    return lines.select(*[columns[c].alias(c) for c in BRONZE_TRANSACTIONS.fieldNames()])
+    names = BRONZE_TRANSACTIONS.fieldNames()
+    return lines.select(*[text.get(n, _line_column(n)).alias(n) for n in names])
 
 
 def silver_transactions(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
-    """The named silver columns, typed straight from the tables.
+    """The named silver columns, or all, typed straight from the tables.
 
     The same values as cleaning :func:`bronze_transactions`, without writing amounts as text and
     parsing them again. ``date`` is a timestamp.
     """
-    columns = _line_columns()
-    columns["date"] = F.col("o_orderdate")
-    wanted = names or ("mcc", *[c for c in columns if c != "mcc"], "category_name")
-    categorized = "category_name" in wanted
-    lines = _order_lines(spark, sf_dir, with_part=categorized or "mcc" in wanted)
+    bronze = BRONZE_TRANSACTIONS.fieldNames()
+    names = names or ("mcc", *[n for n in bronze if n != "mcc"], "category_name")
+    categorized = "category_name" in names
+    needed = {*names, "mcc"} if categorized else set(names)
+    lines = _order_lines(spark, sf_dir, with_part="mcc" in needed)
+    rows = lines.select(*[_line_column(n).alias(n) for n in bronze if n in needed])
     if categorized:
-        lines = lines.withColumn("mcc", columns["mcc"]).drop("p_type")
-        lines = add_category(lines, mcc_codes(spark), small=True)
-        columns["mcc"] = F.col("mcc")
-        columns["category_name"] = clean_category(F.col("category_name"))
-    return lines.select(*[columns[c].alias(c) for c in wanted])
+        rows = add_category(rows, mcc_codes(spark), small=True)
+        rows = rows.withColumn("category_name", clean_category(F.col("category_name")))
+    return rows.select(*names)
 
 
 def bronze_users(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,11 +18,11 @@ TABLES = (
 ).split()
 
 
-def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+def connect(sf_dir: str, files: str = "") -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
     for name in TABLES:
         connection.execute(
-            f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf_dir}/{name}.parquet')"
+            f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf_dir}/{name}.parquet{files}')"
         )
     return connection
 

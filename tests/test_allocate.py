@@ -13,7 +13,6 @@ from spendlake.operators.allocate import (
     return_and_risk_of_rows,
 )
 from spendlake.schemas import ASSETS, Asset
-from spendlake.sources import asset_table
 
 NAMES = [a.name for a in ASSETS]
 ASK = "client_id string, monthly_disposable_income double, risk_tolerance_score double, investment_horizon int"
@@ -125,7 +124,7 @@ def test_long_form(spark):
     assert rows.count() == 8
     held = positive_allocations(rows)
     assert sorted((r.asset, r.amount) for r in held.collect()) == [("ETFs", 200.0), ("Savings", 800.0)]
-    total = return_and_risk_of_rows(held, asset_table(spark)).first()
+    total = return_and_risk_of_rows(held).first()
     assert (total.expected_annual_return, total.expected_annual_risk) == (32.0, 2000.0)
 
 

@@ -52,6 +52,18 @@ def test_whole_run(spark, raw, tmp_path):
     spark.sql("DROP TABLE months_of_clients")
 
 
+def test_command_line(spark, raw, tmp_path):
+    from spendlake.__main__ import main
+
+    main(
+        ["--transactions", f"{raw}/transactions", "--users", f"{raw}/users", "--mcc", f"{raw}/mcc.json",
+         "--out", str(tmp_path), "--train", "next", "--trees", "2", "--depth", "2"]
+    )
+    lake = daily.Lake(str(tmp_path))
+    assert lake.read(spark, daily.ADVISOR_PLAN).count() == lake.read(spark, daily.USER_FEATURES).count()
+    assert lake.read(spark, daily.MODEL_RUNS).count() == 1
+
+
 def test_silver_shortcut_equals_cleaning_the_raw_rows(spark, sf_dir):
     cleaned = clean_transactions(
         add_category(testdata.bronze_transactions(spark, sf_dir), testdata.mcc_codes(spark)),
