@@ -23,6 +23,10 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--master", help="Spark master; leave out under spark-submit")
     parser.add_argument("--bucketed-as", help="catalog table that holds the monthly roll-up by client")
     parser.add_argument("--buckets", type=int, default=200)
+    parser.add_argument(
+        "--stages", nargs="+", choices=daily.STAGES, default=daily.STAGES, help="default: all"
+    )
+    parser.add_argument("--shuffle-bytes", type=int, help="size of the largest expected exchange")
     parser.add_argument("--train", choices=sorted(TARGETS), help="also train on this target and advise")
     parser.add_argument("--trees", type=int, default=200)
     parser.add_argument("--depth", type=int, default=6)
@@ -31,10 +35,15 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
 
 def main(argv: list[str] | None = None) -> None:
     args = parse(argv)
-    spark = get_spark("spendlake-daily", args.master, delta=args.format == "delta")
+    spark = get_spark(
+        "spendlake-daily",
+        args.master,
+        delta=args.format == "delta",
+        shuffle_bytes=args.shuffle_bytes,
+    )
     lake = daily.run_pipeline(
         spark, args.transactions, args.users, args.mcc, args.out, args.format,
-        args.bucketed_as, args.buckets,
+        args.bucketed_as, args.buckets, args.stages,
     )
     if args.train:
         daily.refresh_forecaster(spark, lake, args.train, args.trees, args.depth)

@@ -14,13 +14,14 @@ def parse_timestamp(column: Column) -> Column:
     return F.try_to_timestamp(column, F.lit(TIMESTAMP_FORMAT))
 
 
-def month_start(column: Column) -> Column:
-    """First day of the month of a timestamp, or of text in any form Spark can cast to one.
+def month_start(column: Column, text: bool = True) -> Column:
+    """First day of the month of a date or timestamp, or of ``text`` Spark can cast to one.
 
     Grouping by this 4-byte date and formatting after the aggregation is cheaper than formatting
-    every row, and sorts the same way as the text key.
+    every row, and sorts the same way as the text key. A typed column needs no time zone here.
     """
-    return F.trunc(column.try_cast("timestamp").cast("date"), "MM")
+    moment = column.try_cast("timestamp") if text else column
+    return F.trunc(moment.cast("date"), "MM")
 
 
 def month_label(column: Column) -> Column:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from spendlake.functions import (
     cents_from_units,
@@ -63,7 +64,9 @@ def client_months(
     if "category_name" in transactions.columns:
         rows = tag_discretionary(rows, categories)
         sums.append(F.sum(to_units(F.col("is_discretionary"))).alias("discretionary"))
-    return rows.groupBy("client_id", month_start(F.col("date")).alias("month_start")).agg(*sums)
+    is_text = isinstance(transactions.schema["date"].dataType, StringType)
+    month = month_start(F.col("date"), text=is_text)
+    return rows.groupBy("client_id", month.alias("month_start")).agg(*sums)
 
 
 def monthly_spend(months: DataFrame) -> DataFrame:

@@ -124,7 +124,12 @@ def clients_without_history(series: DataFrame, profiles: DataFrame) -> DataFrame
 
 
 def client_histories(series: DataFrame) -> DataFrame:
-    """All months of all clients, months normalized and unreadable ones dropped."""
+    """All months of all clients, months normalized and unreadable ones dropped.
+
+    Columns an older series lacks come out as null.
+    """
+    lacking = [c for c in SERIES_COLUMNS if c not in series.columns]
+    series = series.withColumns({c: F.lit(None).cast("double") for c in lacking})
     return (
         series.withColumn("client_id", F.col("client_id").cast("string"))
         .withColumn("txn_month", normalize_month(F.col("txn_month")))

@@ -176,15 +176,17 @@ def timestamps_parsed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _contract_input(spark: SparkSession, sf: str) -> DataFrame:
-    key = F.col("o_orderkey")
+    """Orders as records: some status and priority pairs stand for a missing id or a bad date."""
+    status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
+    no_id = (status == "P") & (priority == "5-LOW")
+    no_date = (status == "O") & (priority == "2-HIGH")
+    ordered = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
     return testdata.table(spark, sf, "orders").select(
-        F.when(key % 97 != 0, key.cast("string")).alias("transaction_id"),
-        F.when(key % 89 == 0, "no date")
-        .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
-        .alias("date"),
+        F.when(~no_id, F.col("o_orderkey").cast("string")).alias("transaction_id"),
+        F.when(no_date, "no date").otherwise(ordered).alias("date"),
         (F.col("o_totalprice") * 4).cast("decimal(18,2)").cast("string").alias("amount"),
-        F.concat(F.lit("\t "), F.lower("o_orderpriority"), F.lit(" \n")).alias("merchant_name"),
-        F.when(F.col("o_orderstatus") != "F", F.col("o_orderstatus")).alias("category"),
+        F.concat(F.lit("\t "), F.lower(priority), F.lit(" \n")).alias("merchant_name"),
+        F.when(status != "F", status).alias("category"),
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,6 @@ from spendlake.operators.cleaning import clean_transactions, clean_users
 from spendlake.operators.enrich import add_category
 from spendlake.operators.forecast import (
     fit_forecaster,
-    model_forecast,
     model_report,
     record_run,
     save_model,
@@ -131,6 +131,16 @@ def refresh_advisor(spark: SparkSession, lake: Lake, forecast) -> None:
     lake.write(advisor_plan(snapshots, forecast), ADVISOR_PLAN)
 
 
+STAGES = (
+    "transactions",
+    "users",
+    "client_months",
+    "user_features",
+    "recommendations",
+    "time_series",
+)
+
+
 def run_pipeline(
     spark: SparkSession,
     transactions_csv: str,
@@ -140,22 +150,39 @@ def run_pipeline(
     fmt: str = DEFAULT_FORMAT,
     bucketed_as: str | None = None,
     buckets: int = 200,
+    stages: Collection[str] = STAGES,
 ) -> Lake:
-    """All tables in dependency order. Every stage reads committed tables, so a failed run can
-    be repeated from the stage that failed."""
+    """All tables, or those of the named stages, in dependency order.
+
+    A stage reads only tables that earlier stages committed and replaces its own, so a failed run
+    is repeated from the stage that failed.
+    """
+    unknown = set(stages) - set(STAGES)
+    if unknown:
+        raise ValueError(f"unknown stages: {sorted(unknown)}")
     lake = Lake(out, fmt)
-    refresh_transactions(spark, transactions_csv, mcc_json, lake)
-    refresh_users(spark, users_csv, lake)
-    months = refresh_client_months(spark, lake, bucketed_as, buckets)
-    refresh_user_features(spark, months, lake)
-    refresh_recommendations(spark, lake)
-    refresh_time_series(months, lake)
+
+    def months() -> DataFrame:
+        return spark.table(bucketed_as) if bucketed_as else lake.read(spark, CLIENT_MONTHS)
+
+    if "transactions" in stages:
+        refresh_transactions(spark, transactions_csv, mcc_json, lake)
+    if "users" in stages:
+        refresh_users(spark, users_csv, lake)
+    if "client_months" in stages:
+        refresh_client_months(spark, lake, bucketed_as, buckets)
+    if "user_features" in stages:
+        refresh_user_features(spark, months(), lake)
+    if "recommendations" in stages:
+        refresh_recommendations(spark, lake)
+    if "time_series" in stages:
+        refresh_time_series(months(), lake)
     return lake
 
 
 __all__ = [
+    "STAGES",
     "Lake",
-    "model_forecast",
     "refresh_advisor",
     "refresh_client_months",
     "refresh_forecaster",

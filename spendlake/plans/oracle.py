@@ -222,8 +222,9 @@ ROWS = """labelled AS (
 TRAINING = (LINES, MONTHS, SERIES, ROWS)
 
 CONTRACT = """records AS (
-  SELECT CASE WHEN o_orderkey % 97 <> 0 THEN CAST(o_orderkey AS VARCHAR) END AS transaction_id,
-         CASE WHEN o_orderkey % 89 = 0 THEN 'no date'
+  SELECT CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN NULL
+              ELSE CAST(o_orderkey AS VARCHAR) END AS transaction_id,
+         CASE WHEN o_orderstatus = 'O' AND o_orderpriority = '2-HIGH' THEN 'no date'
               ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS date,
          CAST(o_totalprice * 4 AS DECIMAL(18,2)) AS amount,
          upper(o_orderpriority) AS merchant_name,

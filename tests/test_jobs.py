@@ -52,6 +52,17 @@ def test_whole_run(spark, raw, tmp_path):
     spark.sql("DROP TABLE months_of_clients")
 
 
+def test_single_stages(spark, raw, tmp_path):
+    args = (f"{raw}/transactions", f"{raw}/users", f"{raw}/mcc.json", str(tmp_path))
+    lake = daily.run_pipeline(spark, *args, stages=["transactions", "client_months"])
+    daily.run_pipeline(spark, *args, stages=["time_series"])
+    assert lake.read(spark, daily.TIME_SERIES).count() > 0
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        lake.read(spark, daily.USER_FEATURES)
+    with pytest.raises(ValueError, match="unknown"):
+        daily.run_pipeline(spark, *args, stages=["nothing"])
+
+
 def test_command_line(spark, raw, tmp_path):
     from spendlake.__main__ import main
 

@@ -95,6 +95,13 @@ def test_histories(series):
     assert client_history(series, "nobody").count() == 0
 
 
+def test_history_of_an_older_series(series):
+    older = series.drop("spend_3_months_ago", "avg_spend_last_3_months")
+    rows = client_history(older, "1")
+    assert rows.columns == series.columns
+    assert [r.avg_spend_last_3_months for r in rows.collect()] == [None, None]
+
+
 def test_history_lookup_reaches_the_scan(spark, series, tmp_path, plan_of):
     write_table(series, str(tmp_path / "s"))
     plan = plan_of(client_history(read_table(spark, str(tmp_path / "s")), "1"))
