@@ -5,6 +5,7 @@ import pytest
 from spendlake.operators.forecast import load_model, model_forecast
 from spendlake.operators.cleaning import clean_transactions
 from spendlake.operators.enrich import add_category
+from spendlake.operators.monthly import client_months, time_series_features
 from spendlake.plans import daily, testdata
 from spendlake.schemas import TIME_SERIES_FEATURES, USER_PORTFOLIO_FEATURES
 from spendlake.sources import read_mcc_json, read_table, read_transactions_csv
@@ -52,6 +53,17 @@ def test_whole_run(spark, raw, tmp_path):
     spark.sql("DROP TABLE months_of_clients")
 
 
+def test_gold_reads_only_what_it_needs(spark, sf_dir, tmp_path, plan_of):
+    lake = daily.Lake(str(tmp_path))
+    lake.write(testdata.silver_transactions(spark, sf_dir), daily.SILVER_TRANSACTIONS)
+    silver = lake.read(spark, daily.SILVER_TRANSACTIONS)
+    plan = plan_of(client_months(silver.drop("category_name")))
+    assert "LessThan(amount,0.0)" in plan
+    assert "ReadSchema: struct<date:timestamp_ntz,client_id:string,amount:double>" in plan
+    plan = plan_of(time_series_features(client_months(silver)))
+    assert "category_name" not in plan  # the unused discretionary sum is pruned with its input
+
+
 def test_single_stages(spark, raw, tmp_path):
     args = (f"{raw}/transactions", f"{raw}/users", f"{raw}/mcc.json", str(tmp_path))
     lake = daily.run_pipeline(spark, *args, stages=["transactions", "client_months"])

@@ -161,6 +161,21 @@ def test_materialize_goes_to_the_shared_folder(spark):
     assert df.count() == 5
 
 
+def test_cluster_must_name_a_shared_folder():
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_dir(Session())
+
+
 def test_shuffle_sizing():
     assert shuffle_partitions_for(0) == 8
     assert shuffle_partitions_for(10 << 40) == 81920
