@@ -94,16 +94,16 @@ def allocate(
     """Adds ``status`` and one amount column per asset.
 
     Maximizes yearly return with the whole budget spent, average risk at most the client's score
-    and no asset held for less than its minimum horizon. Without a positive budget all amounts
-    are 0; where no mix is allowed, or an input is missing, they are null.
+    and no asset held for less than its minimum horizon. A budget of nothing or less gives 0 for
+    all assets, whatever the other inputs; where no mix is allowed, or an input is missing, the
+    amounts are null.
     """
-    inputs_known = (
-        F.col(budget).isNotNull() & F.col(risk).isNotNull() & F.col(horizon).isNotNull()
-    )
     shares = _shares_by_horizon(assets, F.col(horizon), F.col(risk))
     status = (
-        F.when(~inputs_known, MISSING_INPUT)
-        .when(F.col(budget) <= 0, NO_BUDGET)
+        F.when(F.col(budget) <= 0, NO_BUDGET)
+        .when(
+            F.col(budget).isNull() | F.col(risk).isNull() | F.col(horizon).isNull(), MISSING_INPUT
+        )
         .when(F.col("_shares").isNull(), INFEASIBLE)
         .otherwise(OPTIMAL)
     )

@@ -231,7 +231,8 @@ def grid_search(
 
     Boosting adds trees one by one, so a model of 200 trees contains the one of 100. Each depth,
     rate and fold is therefore fitted once with the largest tree count, and one pass over the
-    validation rows gives the error at every smaller count.
+    validation rows gives the error at every smaller count. Every fit scans ``rows`` again, so
+    pass a stored table.
     """
     grid = GRID if grid is None else grid
     spark = rows.sparkSession

@@ -158,8 +158,8 @@ best AS (
   WHERE place = 1),
 plan AS (
   SELECT asks.*,
-         CASE WHEN budget IS NULL OR asks.risk IS NULL OR horizon IS NULL THEN 'MISSING_INPUT'
-              WHEN budget <= 0 THEN 'NO_BUDGET'
+         CASE WHEN budget <= 0 THEN 'NO_BUDGET'
+              WHEN budget IS NULL OR asks.risk IS NULL OR horizon IS NULL THEN 'MISSING_INPUT'
               WHEN lo IS NULL THEN 'INFEASIBLE' ELSE 'OPTIMAL' END AS status,
          {_AMOUNTS}
   FROM asks LEFT JOIN best USING (client_id))"""

@@ -61,15 +61,15 @@ def test_statuses(spark):
         asks(
             spark,
             (0.0, 5.0, 10), (-5.0, 0.0, 10), (100.0, 0.0, 10), (100.0, 0.99, 3),
-            (None, 5.0, 10), (100.0, None, 10), (100.0, 5.0, None),
+            (None, 5.0, 10), (100.0, None, 10), (100.0, 5.0, None), (-1.0, None, None),
         )
     )
     rows = sorted(df.collect(), key=lambda r: int(r.client_id))
     assert [r.status for r in rows] == [
         "NO_BUDGET", "NO_BUDGET", "INFEASIBLE", "INFEASIBLE",
-        "MISSING_INPUT", "MISSING_INPUT", "MISSING_INPUT",
+        "MISSING_INPUT", "MISSING_INPUT", "MISSING_INPUT", "NO_BUDGET",
     ]
-    assert [r.Savings for r in rows] == [0.0, 0.0, None, None, None, None, None]
+    assert [r.Savings for r in rows] == [0.0, 0.0, None, None, None, None, None, 0.0]
 
 
 def test_properties(spark):
