@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from spendlake.llm.common import hex64, read_input
 from spendlake.llm.decontaminate import contamination, item_digest
 from spendlake.llm.simhash import near_duplicates
+from spendlake.llm.toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -19,6 +20,11 @@ def query(function):
     return function
 
 
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(read_input(spark, sf_dir, "documents"), read_input(spark, sf_dir, "labels"))
+
+
 @query
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = near_duplicates(read_input(spark, sf_dir, "documents"))
