@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from spendlake.llm.common import hex64, read_input
 from spendlake.llm.decontaminate import contamination, item_digest
+from spendlake.llm.secret_ledger import BASE_RULES, secrets, span_list
 from spendlake.llm.simhash import near_duplicates
 from spendlake.llm.toxicity import toxicity
 
@@ -20,6 +21,23 @@ def query(function):
     return function
 
 
+@query
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_input(spark, sf_dir, "documents").select(F.col("doc_id").alias("path"), "text")
+    spans = F.col("spans")
+
+    def count(name: str):
+        return F.size(F.filter(spans, lambda s: s["kind"] == name)).cast("long").alias(f"n_{name}")
+
+    base = F.filter(spans, lambda s: s["rank"] < len(BASE_RULES))
+    return secrets(docs).select(
+        F.col("path").alias("doc_id"),
+        *(count(rule.name) for rule in BASE_RULES),
+        F.sha2(span_list(base), 256).alias("base_sha256"),
+        span_list(spans).alias("spans"),
+    )
+
+
 @query
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(read_input(spark, sf_dir, "documents"), read_input(spark, sf_dir, "labels"))

@@ -1,3 +1,69 @@
 """DuckDB SQL of the text queries that SQL can express."""
 
+from __future__ import annotations
+
+from spendlake.llm.decontaminate import MAX_CLEAN_RATIO, WINDOW_WORDS
+from spendlake.llm.secret_ledger import RULES
+
 ORACLE: dict[str, str] = {}
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _secret_sql() -> str:
+    """Matches of each rule with the pieces between them; running lengths give the positions."""
+    parts = []
+    for rank, rule in enumerate(RULES):
+        pattern = _quoted(rule.pattern)
+        judged = "m" if rule.group == 0 else f"regexp_extract(m, {pattern}, {rule.group})"
+        parts.append(
+            f"""SELECT doc_id, '{rule.name}' AS kind, {rank} AS rank, s AS start, s + length(m) AS stop FROM (
+  SELECT doc_id, m, sum(length(piece)) OVER w + sum(length(m)) OVER w - length(m) AS s FROM (
+    SELECT doc_id, unnest(regexp_extract_all(text, {pattern})) AS m,
+           unnest(list_slice(regexp_split_to_array(text, {pattern}), 1,
+                             len(regexp_extract_all(text, {pattern})))) AS piece,
+           unnest(range(len(regexp_extract_all(text, {pattern})))) AS i
+    FROM texts WHERE regexp_matches(text, {pattern}))
+  WINDOW w AS (PARTITION BY doc_id ORDER BY i)) WHERE length({judged}) >= {rule.least}"""
+        )
+    spans = "\nUNION ALL\n".join(parts)
+    listed = "coalesce(string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank)"
+    return f"""WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+spans AS ({spans})
+SELECT texts.doc_id,
+       count(*) FILTER (WHERE kind = 'assign') AS n_assign,
+       count(*) FILTER (WHERE kind = 'access') AS n_access,
+       count(*) FILTER (WHERE kind = 'hex') AS n_hex,
+       sha256({listed} FILTER (WHERE rank < 3), '')) AS base_sha256,
+       {listed}, '') AS spans
+FROM texts LEFT JOIN spans ON texts.doc_id = spans.doc_id GROUP BY texts.doc_id"""
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _contamination_sql() -> str:
+    words = rf"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    return f"""WITH items AS (SELECT item_id, {words} AS w FROM benchmark),
+sized AS (SELECT item_id, w, least(len(w), {WINDOW_WORDS}) AS width FROM items WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item_id, width, array_to_string(list_slice(w, i, i + width - 1), ' ') AS win
+  FROM (SELECT item_id, w, width, unnest(range(1, len(w) - width + 2)) AS i FROM sized)),
+docs AS (SELECT doc_id, {words} AS w FROM documents),
+runs AS (SELECT doc_id, width, i, array_to_string(list_slice(w, i, i + width - 1), ' ') AS win FROM (
+  SELECT doc_id, w, width, unnest(range(1, len(w) - width + 2)) AS i
+  FROM docs CROSS JOIN (SELECT DISTINCT width FROM windows) WHERE len(w) >= width)),
+hits AS (SELECT doc_id, item_id, i, runs.width FROM runs JOIN windows ON runs.win = windows.win AND runs.width = windows.width),
+covered AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (
+  SELECT doc_id, unnest(range(i, i + width)) AS pos FROM hits) GROUP BY doc_id),
+found AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (
+  SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+SELECT docs.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND {MAX_CLEAN_RATIO} * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN covered ON docs.doc_id = covered.doc_id LEFT JOIN found ON docs.doc_id = found.doc_id"""
+
+
+ORACLE["op1_secrets"] = _secret_sql()
+ORACLE["op7_decontamination"] = _contamination_sql()
