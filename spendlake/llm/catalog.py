@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from spendlake.llm.common import hex64, read_input
 from spendlake.llm.decontaminate import contamination, item_digest
+from spendlake.llm.mixing import mix
 from spendlake.llm.secret_ledger import BASE_RULES, secrets, span_list
 from spendlake.llm.simhash import near_duplicates
 from spendlake.llm.toxicity import toxicity
@@ -38,6 +39,23 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Share of tokens wanted of each language.
+MIX_TARGETS = {"en": 0.4, "de": 0.2, "fr": 0.2, "es": 0.2}
+
+
+def labelled_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labelled documents and their language, the domain to predict for all others."""
+    labels = read_input(spark, sf_dir, "labels").select("doc_id").distinct()
+    docs = read_input(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("domain"))
+    return docs.join(labels, "doc_id")
+
+
+@query
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_input(spark, sf_dir, "documents").select("doc_id", "text")
+    return mix(docs, labelled_domains(spark, sf_dir), MIX_TARGETS).drop("text")
+
+
 @query
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(read_input(spark, sf_dir, "documents"), read_input(spark, sf_dir, "labels"))
