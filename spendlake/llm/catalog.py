@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from spendlake.llm.common import hex64, read_input
 from spendlake.llm.decontaminate import contamination, item_digest
 from spendlake.llm.mixing import mix
+from spendlake.llm.quality import judge_quality
 from spendlake.llm.secret_ledger import BASE_RULES, secrets, span_list
 from spendlake.llm.simhash import near_duplicates
 from spendlake.llm.toxicity import toxicity
@@ -67,6 +68,14 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", hex64(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+@query
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_quality(read_input(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", F.round("posterior", 6).alias("posterior"),
+    )
+
+
 @query
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = contamination(
