@@ -14,6 +14,7 @@ from spendlake.llm.quality import judge_quality
 from spendlake.llm.secret_ledger import BASE_RULES, secrets, span_list
 from spendlake.llm.simhash import near_duplicates
 from spendlake.llm.toxicity import toxicity
+from spendlake.llm.warc import round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -89,3 +90,8 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         item_digest(F.col("item_ids")).alias("items_sha256"),
         "contaminated",
     )
+
+
+@query
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(read_input(spark, sf_dir, "pages")).drop("url")

@@ -67,3 +67,11 @@ FROM docs LEFT JOIN covered ON docs.doc_id = covered.doc_id LEFT JOIN found ON d
 
 ORACLE["op1_secrets"] = _secret_sql()
 ORACLE["op7_decontamination"] = _contamination_sql()
+ORACLE["op8_warc"] = """WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+  FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS first_id FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, p.payload_digest,
+       CASE WHEN page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM p LEFT JOIN f ON p.payload_digest = f.payload_digest"""
