@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from spendlake.llm.common import hex64, read_input
 from spendlake.llm.decontaminate import contamination, item_digest
+from spendlake.llm.html_text import extract_text
 from spendlake.llm.mixing import mix
 from spendlake.llm.quality import judge_quality
 from spendlake.llm.secret_ledger import BASE_RULES, secrets, span_list
@@ -95,3 +96,8 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(read_input(spark, sf_dir, "pages")).drop("url")
+
+
+@query
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(read_input(spark, sf_dir, "pages"))
