@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spendlake.llm.bloom_lm import language_scores
 from spendlake.llm.common import hex64, read_input
 from spendlake.llm.decontaminate import contamination, item_digest
 from spendlake.llm.html_text import extract_text
@@ -98,6 +99,11 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(read_input(spark, sf_dir, "pages")).drop("url")
 
 
+@query
+def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_scores(read_input(spark, sf_dir, "documents"))
+
+
 @query
 def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(read_input(spark, sf_dir, "pages"))
