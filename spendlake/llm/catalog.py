@@ -11,6 +11,7 @@ from spendlake.llm.bloom_lm import language_scores
 from spendlake.llm.common import hex64, read_input
 from spendlake.llm.decontaminate import contamination, item_digest
 from spendlake.llm.html_text import extract_text
+from spendlake.llm.importance import resample
 from spendlake.llm.mixing import mix
 from spendlake.llm.quality import judge_quality
 from spendlake.llm.secret_ledger import BASE_RULES, secrets, span_list
@@ -43,6 +44,12 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op2_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = read_input(spark, sf_dir, "labels").filter("quality = 1")
+    return resample(read_input(spark, sf_dir, "documents"), good)
+
+
 #: Share of tokens wanted of each language.
 MIX_TARGETS = {"en": 0.4, "de": 0.2, "fr": 0.2, "es": 0.2}
 

@@ -114,9 +114,3 @@ def hashed_words(texts: list[bytes], table: bytes) -> Iterator[tuple[int, np.nda
         counts = np.diff(np.searchsorted(starts, bounds))
         yield a, counts, hashes
 
-
-def row_sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Sum of the values of each row, given how many consecutive values each row has."""
-    total = np.concatenate(([0.0], np.cumsum(values, dtype=np.float64)))
-    ends = np.cumsum(counts)
-    return total[ends] - total[ends - counts]
