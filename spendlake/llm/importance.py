@@ -18,9 +18,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendlake.llm.common import bottom_rows, materialize, text_rows, with_row_id
-from spendlake.llm.wordhash import ALPHANUMERIC, hashed_words, mix
+from spendlake.llm.wordhash import BLANK_SEPARATED, hashed_words, mix
 
-BUCKET_BITS = 14
+BUCKET_BITS = 16
 SMOOTHING = 1.0
 #: Bounds of the target sample.
 TARGET_ROWS = 20_000
@@ -44,7 +44,7 @@ def _count_batches(batches) -> Iterator[pa.RecordBatch]:
     """Feature counts of a task's texts: one small vector a task, however much it reads."""
     total = np.zeros(1 << BUCKET_BITS, np.int64)
     for batch in batches:
-        for _, counts, hashes in hashed_words(text_rows(batch), ALPHANUMERIC):
+        for _, counts, hashes in hashed_words(text_rows(batch), BLANK_SEPARATED):
             total += np.bincount(_features(counts, hashes)[0], minlength=len(total))
     full = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(full), pa.array(total[full])], ["bucket", "n"])
@@ -70,7 +70,7 @@ def _weigh_batches(batches, ratio) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = text_rows(batch)
         weight = np.zeros(len(texts))
-        for a, counts, hashes in hashed_words(texts, ALPHANUMERIC):
+        for a, counts, hashes in hashed_words(texts, BLANK_SEPARATED):
             bucket, row = _features(counts, hashes)
             weight[a : a + len(counts)] = np.bincount(row, weights=ratio.value[bucket], minlength=len(counts))
         yield pa.RecordBatch.from_arrays(
