@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spendlake.llm.common import materialize, text_rows, with_row_id
+from spendlake.llm.common import map_arrow, materialize, text_rows, with_row_id
 from spendlake.llm.wordhash import BLANK_SEPARATED, hashed_words, mix
 
 #: The filter never exceeds 32 MiB, its segments 8 MiB.
@@ -218,7 +218,7 @@ def train(docs: DataFrame, filter_bits: int = FILTER_BITS) -> tuple[Model, DataF
 
     reduced = materialize(
         docs.select("text")
-        .mapInArrow(partial(_count_batches, part_bits=part_bits), "part long, size int, hashes binary, counts binary")
+        .transform(map_arrow, partial(_count_batches, part_bits=part_bits), "part long, size int, hashes binary, counts binary")
         .groupBy("part").applyInArrow(reduce, _REDUCED)
     )
     counts = reduced.filter("hash is not null").select("hash", "count")
@@ -330,7 +330,7 @@ def language_scores(docs: DataFrame, filter_bits: int = FILTER_BITS) -> DataFram
     train_tokens = model.tokens
     sent = docs.sparkSession.sparkContext.broadcast(model)
     scored = materialize(
-        with_row_id(docs.select("doc_id", "text")).mapInArrow(partial(_score_batches, model=sent), _SCORED)
+        with_row_id(docs.select("doc_id", "text")).transform(map_arrow, partial(_score_batches, model=sent), _SCORED)
     )
     asked = scored.select("row_id", F.explode("wanting").alias("hash")).groupBy("row_id", "hash").agg(F.count("*").alias("n"))
     count = F.coalesce("count", F.lit(0))

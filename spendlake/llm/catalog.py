@@ -64,7 +64,7 @@ def labelled_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_input(spark, sf_dir, "documents").select("doc_id", "text")
-    return mix(docs, labelled_domains(spark, sf_dir), MIX_TARGETS).drop("text")
+    return mix(docs, labelled_domains(spark, sf_dir), MIX_TARGETS, leave_out=("text",))
 
 
 @query

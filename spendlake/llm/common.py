@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from spendlake.session import materialize, scratch_dir
 
 __all__ = [
-    "HASH_SEED", "bottom_rows", "hex64", "let", "materialize", "pick_name", "read_input", "scratch_dir",
+    "HASH_SEED", "bottom_rows", "hex64", "let", "map_arrow", "materialize", "pick_name", "read_input", "scratch_dir",
     "text_rows", "with_row_id",
 ]
 
@@ -54,6 +55,26 @@ def bottom_rows(df: DataFrame, key: str, limit: int) -> DataFrame:
     return df.orderBy(F.xxhash64(F.col(key), F.lit("sample")), F.col(key)).limit(limit)
 
 
+#: What one Arrow batch may hold, for tables of texts and pages.
+BATCH_ROWS, BATCH_BYTES = 1024, 8 << 20
+
+
+def map_arrow(df: DataFrame, function, schema) -> DataFrame:
+    """``df.mapInArrow`` over batches of bounded size.
+
+    The limits are settings of the session, whose defaults suit short rows: a batch of ten thousand
+    texts, once on its way in and once out for every task, outgrows a small executor. A smaller
+    limit that the session has already stays.
+    """
+    conf = df.sparkSession.conf
+    for key, limit in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        name = f"spark.sql.execution.arrow.{key}"
+        have = int(re.match(r"-?\d+", conf.get(name, "0"))[0])
+        if not 0 < have <= limit:
+            conf.set(name, str(limit))
+    return df.mapInArrow(function, schema)
+
+
 def text_rows(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     """The UTF-8 bytes of a text column; null is empty."""
     values = batch.column(batch.schema.get_field_index(column))

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from spendlake.llm.common import materialize, pick_name, text_rows, with_row_id
+from spendlake.llm.common import map_arrow, materialize, pick_name, text_rows, with_row_id
 from spendlake.llm.wordhash import ALPHANUMERIC, hash_words, sequence_hash, word_bounds
 
 WINDOW_WORDS = 13
@@ -69,8 +69,8 @@ def _item_windows(batches, window_words: int, shingle_words: int) -> Iterator[pa
 
 def item_windows(items: DataFrame, window_words: int, shingle_words: int) -> DataFrame:
     """Windows of all items (``item_id, text``); items without words have none."""
-    return with_row_id(items.select("item_id", "text"), "item_row").mapInArrow(
-        partial(_item_windows, window_words=window_words, shingle_words=shingle_words), _ITEM_SCHEMA
+    return with_row_id(items.select("item_id", "text"), "item_row").transform(
+        map_arrow, partial(_item_windows, window_words=window_words, shingle_words=shingle_words), _ITEM_SCHEMA
     )
 
 
@@ -164,7 +164,7 @@ def prefixes(windows: DataFrame, docs: DataFrame, lengths: list[int]) -> DataFra
     bitmap = docs.sparkSession.sparkContext.broadcast(_bitmap(shingles.select("hash").distinct()))
     counted = (
         docs.select("doc_id", "text")
-        .mapInArrow(partial(_count_shingles, bitmap=bitmap, lengths=lengths), "hash long, docs long")
+        .transform(map_arrow, partial(_count_shingles, bitmap=bitmap, lengths=lengths), "hash long, docs long")
         .groupBy("hash").agg(F.sum("docs").alias("docs"))
     )
     rarity = F.coalesce("docs", F.lit(0))
@@ -213,8 +213,8 @@ def contamination(
     chosen = materialize(prefixes(windows, docs, lengths))
     bitmap = spark.sparkContext.broadcast(_bitmap(chosen.select("hash").distinct()))
     probed = materialize(
-        with_row_id(docs.select("doc_id", "text")).mapInArrow(
-            partial(_probe, bitmap=bitmap, lengths=lengths, window_words=window_words), _PROBE_SCHEMA
+        with_row_id(docs.select("doc_id", "text")).transform(
+            map_arrow, partial(_probe, bitmap=bitmap, lengths=lengths, window_words=window_words), _PROBE_SCHEMA
         )
     )
     positions = probed.select("row_id", F.col("n_words").alias("words_in_doc"), F.explode("probes").alias("p"))

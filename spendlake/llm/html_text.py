@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from spendlake.llm.common import map_arrow
 from spendlake.llm.quality import STOP_WORDS
 
 SHORT_CHARS = 70
@@ -226,6 +227,6 @@ def extract_text(pages: DataFrame) -> DataFrame:
     rest of an unclosed script or comment is not text. Repeated rows and null ids keep their rows;
     further columns are ignored; an empty table gives no rows.
     """
-    return pages.select("page_id", "url", "html").mapInArrow(
-        _text_batches, "page_id long, url string, text string, n_chars long"
+    return pages.select("page_id", "url", "html").transform(
+        map_arrow, _text_batches, "page_id long, url string, text string, n_chars long"
     )

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendlake.llm.common import bottom_rows, materialize, text_rows, with_row_id
+from spendlake.llm.common import bottom_rows, map_arrow, materialize, text_rows, with_row_id
 from spendlake.llm.wordhash import BLANK_SEPARATED, hashed_words, mix
 
 BUCKET_BITS = 16
@@ -53,7 +53,7 @@ def _count_batches(batches) -> Iterator[pa.RecordBatch]:
 def feature_counts(docs: DataFrame) -> np.ndarray:
     """Feature counts over all texts of ``docs`` (``text``)."""
     counted = (
-        docs.select("text").mapInArrow(_count_batches, "bucket long, n long")
+        docs.select("text").transform(map_arrow, _count_batches, "bucket long, n long")
         .groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     )
     total = np.zeros(1 << BUCKET_BITS)
@@ -139,7 +139,7 @@ def resample(
     noise = (F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(1 << 52)) + 0.5) / F.lit(float(1 << 52))
     keyed = materialize(
         with_row_id(docs.select("doc_id", "text"))
-        .mapInArrow(partial(_weigh_batches, ratio=ratio), "doc_id long, row_id long, log_weight double")
+        .transform(map_arrow, partial(_weigh_batches, ratio=ratio), "doc_id long, row_id long, log_weight double")
         .withColumn("key", F.col("log_weight") - F.log(-F.log(noise)))
     )
     return largest(keyed, round(keep_share * keyed.count())).select("doc_id", "log_weight", "key", "selected")

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spendlake.llm.common import bottom_rows, materialize, pick_name, text_rows
+from spendlake.llm.common import bottom_rows, map_arrow, materialize, pick_name, text_rows
 from spendlake.llm.wordhash import ALPHANUMERIC, hashed_words
 
 #: Bounds of the labelled sample.
@@ -107,7 +107,7 @@ def fit_classifier(
     size = len(domains)
     counted = (
         train.filter("not held").select("text", "domain")
-        .mapInArrow(partial(_count_batches, size=size), "slot long, words long")
+        .transform(map_arrow, partial(_count_batches, size=size), "slot long, words long")
         .groupBy("slot").agg(F.sum("words").alias("words"))
         .toArrow()
     )
@@ -120,7 +120,7 @@ def fit_classifier(
     sent = spark.sparkContext.broadcast(words)
     seen = (
         train.filter("held").select("text", "domain")
-        .mapInArrow(partial(_evidence_batches, words=sent), "domain int, n long, mean array<double>")
+        .transform(map_arrow, partial(_evidence_batches, words=sent), "domain int, n long, mean array<double>")
         .toArrow()
     )
     cap = WORD_CAPS[0]
@@ -204,19 +204,24 @@ def fit_rates(membership: DataFrame, targets: np.ndarray) -> list[np.ndarray]:
     return steps
 
 
-def _rate_batches(batches, model, steps, domains) -> Iterator[pa.RecordBatch]:
+def _rate_batches(batches, model, steps, domains, columns) -> Iterator[pa.RecordBatch]:
+    """The columns asked for that are there, then the added ones."""
     names = np.array(domains, object)
     for batch in batches:
         p, n = _posteriors(text_rows(batch), model.value)
         best = pa.array(names[p.argmax(axis=1)].tolist(), pa.string())
         added = [pa.array(n), best, pa.array(list(p), pa.list_(pa.float64())), pa.array(rates(p, steps))]
-        yield pa.RecordBatch.from_arrays([*batch.columns, *added], [*batch.schema.names, "n", "d", "p", "r"])
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns[:-4]), *added], columns)
 
 
 def mix(
-    docs: DataFrame, labelled: DataFrame, targets: dict[str, float], labelled_rows: int = LABELLED_ROWS
+    docs: DataFrame,
+    labelled: DataFrame,
+    targets: dict[str, float],
+    labelled_rows: int = LABELLED_ROWS,
+    leave_out: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``docs`` with ``n_tokens, domain, posterior, rate``; posteriors in the order of ``targets``.
+    """``docs``, less the columns in ``leave_out``, with ``n_tokens, domain, posterior, rate``; posteriors in the order of ``targets``.
 
     ``docs`` has ``doc_id, text``, ``labelled`` has ``doc_id, domain``; weights need not sum to one.
     Expected tokens per domain at the returned rates have the targets' proportions and the corpus'
@@ -228,11 +233,13 @@ def mix(
     domains = list(targets)
     model = spark.sparkContext.broadcast(fit_classifier(docs, labelled, domains, labelled_rows))
     membership = materialize(
-        docs.select("text").mapInArrow(partial(_membership_batches, model=model), "n long, p array<double>")
+        docs.select("text").transform(map_arrow, partial(_membership_batches, model=model), "n long, p array<double>")
     )
     steps = fit_rates(membership, np.array([float(targets[d]) for d in domains]))
-    schema = T.StructType(docs.schema.fields)
-    kinds = (T.LongType(), T.StringType(), T.ArrayType(T.DoubleType()), T.DoubleType())
-    for name, kind in zip(("n_tokens", "domain", "posterior", "rate"), kinds):
-        schema = T.StructType([*schema.fields, T.StructField(pick_name(docs, name), kind)])
-    return docs.mapInArrow(partial(_rate_batches, model=model, steps=steps, domains=domains), schema)
+    kinds = {
+        "n_tokens": T.LongType(), "domain": T.StringType(), "posterior": T.ArrayType(T.DoubleType()), "rate": T.DoubleType()
+    }
+    added = [T.StructField(pick_name(docs, name), kind) for name, kind in kinds.items()]
+    schema = T.StructType([*(f for f in docs.schema.fields if f.name not in leave_out), *added])
+    add = partial(_rate_batches, model=model, steps=steps, domains=domains, columns=schema.fieldNames())
+    return docs.transform(map_arrow, add, schema)

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendlake.llm.common import HASH_SEED, materialize, pick_name, text_rows
+from spendlake.llm.common import HASH_SEED, map_arrow, materialize, pick_name, text_rows
 from spendlake.llm.components import connected
 
 SHINGLE_WORDS = 3
@@ -32,6 +32,7 @@ TREE_SAMPLE = 8192
 SHARD_ROWS = 32768
 LEAF_ROWS = 192
 _BITS_AT_ONCE = 1 << 15
+_ROUTED_AT_ONCE = 1 << 18
 
 
 def fingerprint(text: bytes, shingle_words: int = SHINGLE_WORDS) -> int:
@@ -75,8 +76,8 @@ def _fingerprint_batches(
 
 def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
     """``doc_id, fp``: the fingerprint as a signed long, one row per input row; null text is empty."""
-    return docs.select("doc_id", "text").mapInArrow(
-        partial(_fingerprint_batches, shingle_words=shingle_words), "doc_id long, fp long"
+    return docs.select("doc_id", "text").transform(
+        map_arrow, partial(_fingerprint_batches, shingle_words=shingle_words), "doc_id long, fp long"
     )
 
 
@@ -149,13 +150,24 @@ def route(
 
 
 def _route_batches(batches, nodes, radius) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        points = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-        for shard, own, home in route(points, nodes, radius):
+    held, size = [], 0
+
+    def sent() -> Iterator[pa.RecordBatch]:
+        for shard, own, home in route(np.concatenate(held), nodes, radius):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(own), shard, np.int32)), pa.array(own.view(np.int64)), pa.array(home)],
                 ["shard", "fp", "home"],
             )
+        held.clear()
+
+    for batch in batches:
+        held.append(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64))
+        size += len(held[-1])
+        if size >= _ROUTED_AT_ONCE:
+            yield from sent()
+            size = 0
+    if held:
+        yield from sent()
 
 
 def _settle(adjacent: np.ndarray) -> np.ndarray:

@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spendlake.llm.common import bottom_rows, materialize, scratch_dir
+from spendlake.llm.common import bottom_rows, map_arrow, materialize, scratch_dir
 
 # The skippable frame of a dictionary, and the least payload that may be revisited.
 DICTIONARY_FRAME = 0x184D2A5D
@@ -148,7 +148,7 @@ def write_archives(pages: DataFrame, folder: str, dictionary: bytes | None = Non
     )
     files, base = _file_system(folder)
     files.create_dir(base, recursive=True)
-    return materialize(rows.mapInArrow(partial(_write_batches, folder=folder, dictionary=dictionary), "file string"))
+    return materialize(rows.transform(map_arrow, partial(_write_batches, folder=folder, dictionary=dictionary), "file string"))
 
 
 def read_frames(stream: io.RawIOBase) -> Iterator[bytes]:
