@@ -69,7 +69,7 @@ def map_arrow(df: DataFrame, function, schema) -> DataFrame:
     conf = df.sparkSession.conf
     for key, limit in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
         name = f"spark.sql.execution.arrow.{key}"
-        have = int(re.match(r"-?\d+", conf.get(name, "0"))[0])
+        have = int(re.match(r"-?\d+", conf.get(name))[0])
         if not 0 < have <= limit:
             conf.set(name, str(limit))
     return df.mapInArrow(function, schema)
