@@ -134,10 +134,14 @@ def scan_unseen(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULE
 
 
 def findings(spark: SparkSession, ledger: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """``blob, spans`` of the blobs in which the rules found something, in order of start and rule."""
-    names = [rule.name for rule in rules]
-    spans = _scans(spark, ledger).filter(F.size("spans") > 0).select("blob", F.explode("spans").alias("span"))
-    spans = spans.filter(F.col("span.kind").isin(names))
+    """``blob, spans`` of the blobs in which the rules found something, in order of start and rule.
+
+    What other versions of a rule found does not count.
+    """
+    keys = F.create_map(*(F.lit(x) for rule in rules for x in (rule.name, rule.key)))
+    scans = _scans(spark, ledger).filter(F.size("spans") > 0)
+    spans = scans.select("blob", "rules", F.explode("spans").alias("span"))
+    spans = spans.filter(F.array_contains("rules", F.try_element_at(keys, "span.kind")))
     return spans.groupBy("blob").agg(F.array_sort(F.collect_set("span")).alias("spans"))
 
 
@@ -193,13 +197,14 @@ def redact_secrets(docs: DataFrame, ledger: str | None = None, rules: tuple[Rule
     ledger = ledger or scratch_dir(spark)
     open_ledger(spark, ledger)
     scan_unseen(docs.select(F.col("doc_id").alias("path"), "text"), ledger, rules)
-    blob, spans = pick_name(docs, "blob"), pick_name(docs, "spans")
+    blob, spans, new = (pick_name(docs, name) for name in ("blob", "spans", "redacted"))
     found = materialize(findings(spark, ledger, rules).select(F.col("blob").alias(blob), F.col("spans").alias(spans)))
     joined = docs.withColumn(blob, address()).join(found, blob, "left")
-    text = F.when(F.col(spans).isNull(), F.col("text")).otherwise(redacted(F.col("text"), F.col(spans)))
+    changed = F.col(spans).isNotNull()
+    joined = joined.withColumn(new, F.when(changed, redacted(F.col("text"), F.col(spans))).otherwise(F.col("text")))
     out = {c: F.col(c) for c in docs.columns}
-    out["text"] = text
+    out["text"] = F.col(new)
     if "n_chars" in out:
-        length = F.length(text).cast(docs.schema["n_chars"].dataType)
-        out["n_chars"] = F.when(F.col(spans).isNull(), F.col("n_chars")).otherwise(length)
+        length = F.length(new).cast(docs.schema["n_chars"].dataType)
+        out["n_chars"] = F.when(changed, length).otherwise(F.col("n_chars"))
     return joined.select(*(value.alias(name) for name, value in out.items()))

@@ -121,7 +121,7 @@ def _write_batches(batches, folder: str, dictionary: bytes) -> Iterator[pa.Recor
         for row in zip(*(batch.column(i).to_pylist() for i in range(5))):
             if out is None:
                 name, written = uuid.uuid4().hex, 0
-                out = files.open_output_stream(f"{base}/{name}.warc.zst")
+                out = files.open_output_stream(f"{base}/{name}.warc.zst", compression=None)
                 out.write(struct.pack("<II", DICTIONARY_FRAME, len(dictionary)) + dictionary)
             frame = codec.compress(record(*row[:4], row[4] or b""))
             out.write(frame)
@@ -209,7 +209,7 @@ def _read_batches(batches, folder: str, payloads: bool) -> Iterator[pa.RecordBat
     for batch in batches:
         for name in batch.column(0).to_pylist():
             rows, size = [], 0
-            with files.open_input_stream(f"{base}/{name}") as stream:
+            with files.open_input_stream(f"{base}/{name}", compression=None) as stream:
                 for data in read_frames(stream):
                     r = parse(data)
                     rows.append(
