@@ -68,15 +68,12 @@ def measures(docs: DataFrame) -> DataFrame:
     """``doc_id`` and what the rules look at, one row per document; null text has no words."""
     text = F.coalesce("text", F.lit(""))
     lines = F.filter(F.split(text, "\n", -1), lambda line: F.regexp_like(line, F.lit(WORD)))
-    stop = F.array(*(F.lit(w) for w in STOP_WORDS))
     counts = let(
         words_of(text),
         lambda w: F.struct(
             F.size(w).alias("n_words"),
             repeated_words(w).alias("n_repeat_words"),
-            F.size(F.array_distinct(w)).alias("n_kinds"),
-            F.size(F.filter(w, lambda x: F.array_contains(stop, x))).alias("n_stop"),
-            F.size(F.filter(w, lambda x: F.regexp_like(x, F.lit(r"\p{L}")))).alias("n_alpha"),
+            F.size(F.filter(w, lambda x: x.isin(STOP_WORDS))).alias("n_stop"),
         ),
     )
     line_counts = let(
@@ -90,8 +87,9 @@ def measures(docs: DataFrame) -> DataFrame:
         F.length(F.regexp_replace("text", BLANKS, "")).alias("word_chars"),
         (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).alias("n_symbols"),
         F.length(F.regexp_replace("text", r"[^\p{Lu}]+", "")).alias("n_upper"),
+        F.length(F.regexp_replace("text", r"[^\p{L}]+", "")).alias("n_letters"),
     )
-    flat = gathered.select("doc_id", "c.*", "l.*", "word_chars", "n_symbols", "n_upper")
+    flat = gathered.select("doc_id", "c.*", "l.*", "word_chars", "n_symbols", "n_upper", "n_letters")
     return flat.select("doc_id", *(F.col(c).cast("long").alias(c) for c in flat.columns if c != "doc_id"))
 
 
@@ -127,7 +125,7 @@ RULES = (
     Rule("word_length", lambda: _between(_share("word_chars", "n_words"), 2.5, 3.5, 8, 12)),
     Rule("symbols", lambda: _between(_share("n_symbols", "n_words"), 0, 0, 0.02, 0.1)),
     Rule("stop_words", lambda: _between(_share("n_stop", "n_words"), 0.05, 0.12, 1, 1)),
-    Rule("letters", lambda: _between(_share("n_alpha", "n_words"), 0.7, 0.85, 1, 1)),
+    Rule("letters", lambda: _between(_share("n_letters", "word_chars"), 0.6, 0.8, 1, 1)),
     Rule("repeated_windows", lambda: _between(_share("n_repeat_words", "n_words"), 0, 0, 0.15, 0.4)),
     Rule("repeated_lines", lambda: _between(_share("n_dup_lines", "n_lines"), 0, 0, 0.1, 0.3)),
     Rule("capitals", lambda: _between(_share("n_upper", "word_chars"), 0, 0, 0.15, 0.35)),
