@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import argparse
 
-from spendlake.operators.forecast import TARGETS, load_model, model_forecast
+from spendlake.operators.forecast import TARGETS
 from spendlake.plans import daily
 from spendlake.session import get_spark
 from spendlake.sources.lake import DEFAULT_FORMAT
@@ -22,10 +22,14 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--format", default=DEFAULT_FORMAT, help="table format, e.g. parquet or delta")
     parser.add_argument("--master", help="Spark master; leave out under spark-submit")
     parser.add_argument("--bucketed-as", help="catalog table that holds the monthly roll-up by client")
-    parser.add_argument("--buckets", type=int, default=200)
+    parser.add_argument("--buckets", type=int, help="default: by the size of the roll-up")
     parser.add_argument(
-        "--stages", nargs="+", choices=daily.STAGES, default=daily.STAGES, help="default: all"
+        "--stages", nargs="+", choices=(*daily.STAGES, *daily.MODEL_STAGES), default=daily.STAGES,
+        help="default: all but the forecaster and the advisor, which plans with the saved model",
     )
+    parser.add_argument("--parse-dates", action="store_true", help="store dates as timestamps")
+    parser.add_argument("--by-month", action="store_true", help="partition silver transactions by month")
+    parser.add_argument("--min-history", type=int, default=0, help="earlier months a series row needs")
     parser.add_argument("--shuffle-bytes", type=int, help="size of the largest expected exchange")
     parser.add_argument("--train", choices=sorted(TARGETS), help="also train on this target and advise")
     parser.add_argument("--trees", type=int, default=200)
@@ -43,13 +47,11 @@ def main(argv: list[str] | None = None) -> None:
     )
     lake = daily.run_pipeline(
         spark, args.transactions, args.users, args.mcc, args.out, args.format,
-        args.bucketed_as, args.buckets, args.stages,
+        args.bucketed_as, args.buckets, args.stages, args.parse_dates, args.by_month, args.min_history,
     )
     if args.train:
         daily.refresh_forecaster(spark, lake, args.train, args.trees, args.depth)
-        if args.train != "raw":  # the raw target needs lags a snapshot does not carry
-            model = load_model(lake.path(daily.MODEL))
-            daily.refresh_advisor(spark, lake, model_forecast(model, args.train))
+        daily.refresh_advisor(spark, lake)
 
 
 if __name__ == "__main__":

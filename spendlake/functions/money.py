@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from spendlake.schemas import AMOUNT_BOUND, MONEY, UNITS
+from spendlake.schemas import AMOUNT_BOUND, MONEY
 
 
 def parse_money(column: Column) -> Column:
@@ -16,37 +16,29 @@ def parse_money(column: Column) -> Column:
 def in_bounds(column: Column, bound: float = AMOUNT_BOUND) -> Column:
     """True strictly between -bound and bound; null and NaN do not pass a filter on it.
 
-    One comparison, so that a filter on a parsed amount parses it once.
+    One comparison, so that a filter names the amount once. Spark still repeats the parsing that a
+    filter below a projection needs; both are cheap beside reading the row.
     """
     return F.abs(column) < F.lit(float(bound))
 
 
 def exact(column: Column) -> Column:
-    """Money as a decimal, for totals over so many rows that a 64-bit integer could overflow."""
-    return column.cast(MONEY)
-
+    """Money as a decimal of ten places, for sums that must not depend on row order.
 
-def to_units(column: Column) -> Column:
-    """Money as whole ten-thousandths, for sums that must not depend on row order.
-
-    As exact as a decimal for amounts of up to four places, and two to three times faster to sum. One
-    group can hold 900 trillion; beyond that the sum fails instead of wrapping around.
+    Slower to add than a binary number, but nothing a file holds is rounded away, and a sum that
+    outgrows its 28 digits before the point fails instead of wrapping around.
     """
-    return F.floor(column * F.lit(float(UNITS)) + F.lit(0.5))
+    return column.cast(MONEY)
 
 
-def from_units(column: Column) -> Column:
+def from_exact(column: Column) -> Column:
     """Money as double again."""
-    return column / F.lit(float(UNITS))
+    return column.cast("double")
 
 
-def cents_from_units(column: Column) -> Column:
-    """Units, or a mean of them, as money rounded half-up to cents.
-
-    Whole cents differ by whole numbers here and halves are exact in binary, so this rounding has
-    no noise to fear.
-    """
-    return F.round(column / F.lit(UNITS / 100.0)) / F.lit(100.0)
+def cents_from_exact(column: Column) -> Column:
+    """A decimal sum or mean as money rounded half-up to cents."""
+    return F.round(column, 2).cast("double")
 
 
 def cents(column: Column) -> Column:
@@ -61,3 +53,8 @@ def cents(column: Column) -> Column:
 def display_amount(column: Column) -> Column:
     """1234.5 -> ``$1,234.50``."""
     return F.concat(F.lit("$"), F.format_number(column, 2))
+
+
+def is_number(column: Column) -> Column:
+    """False for null, NaN and infinities, of any numeric type."""
+    return F.coalesce(F.abs(column.cast("double")) < F.lit(float("inf")), F.lit(False))

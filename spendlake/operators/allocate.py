@@ -14,7 +14,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spendlake.functions import cents, credit_risk_budget
+from spendlake.functions import cents, credit_risk_budget, is_number
 from spendlake.schemas import (
     ASSETS,
     CARD_PRODUCTS,
@@ -95,15 +95,14 @@ def allocate(
 
     Maximizes yearly return with the whole budget spent, average risk at most the client's score
     and no asset held for less than its minimum horizon. A budget of nothing or less gives 0 for
-    all assets, whatever the other inputs; where no mix is allowed, or an input is missing, the
-    amounts are null.
+    all assets, whatever the other inputs; where no mix is allowed, or an input is missing, NaN or
+    infinite, the amounts are null. The expression grows with the assets times their horizons: it
+    is meant for the few tens of assets a person may choose from.
     """
     shares = _shares_by_horizon(assets, F.col(horizon), F.col(risk))
     status = (
-        F.when(F.col(budget) <= 0, NO_BUDGET)
-        .when(
-            F.col(budget).isNull() | F.col(risk).isNull() | F.col(horizon).isNull(), MISSING_INPUT
-        )
+        F.when(is_number(F.col(budget)) & (F.col(budget) <= 0), NO_BUDGET)
+        .when(~(is_number(F.col(budget)) & is_number(F.col(risk)) & is_number(F.col(horizon))), MISSING_INPUT)
         .when(F.col("_shares").isNull(), INFEASIBLE)
         .otherwise(OPTIMAL)
     )
@@ -212,7 +211,7 @@ def offer_cards(
     first = F.coalesce(
         *[
             F.when(
-                F.col("risk_budget") >= F.lit(risk_cost),
+                is_number(F.col("risk_budget")) & (F.col("risk_budget") >= F.lit(risk_cost)),
                 F.struct(
                     F.lit(names).alias("bundle"),
                     F.lit(revenue).alias("revenue"),
@@ -224,7 +223,7 @@ def offer_cards(
     )
     budget = credit_risk_budget(F.col("credit_score"), F.col("total_debt"), F.col("yearly_income"))
     status = (
-        F.when(F.col("risk_budget").isNull(), MISSING_INPUT)
+        F.when(~is_number(F.col("risk_budget")), MISSING_INPUT)
         .when(F.col("_offer").isNull(), INFEASIBLE)
         .otherwise(OPTIMAL)
     )

@@ -98,14 +98,30 @@ def check_contract(records: DataFrame) -> DataFrame:
     )
 
 
+def store_contract(records: DataFrame, path: str) -> ContractResult:
+    """Judge the records in one pass, store them by verdict, and read either side from there."""
+    accepted = F.col("reason").isNull()
+    judged = check_contract(records).withColumn("accepted", accepted)
+    judged.write.mode("overwrite").partitionBy("accepted").parquet(path)
+    stored = records.sparkSession.read.schema(judged.schema).parquet(path)
+    return _sides(stored.filter("accepted"), stored.filter("NOT accepted"))
+
+
 def split_contract(records: DataFrame) -> ContractResult:
-    """Accepted records, and the rejected ones with their raw fields and the reason."""
+    """Accepted records, and the rejected ones with their raw fields and the reason.
+
+    Lazy: whoever writes both sides scans the records twice and should use :func:`store_contract`.
+    """
     checked = check_contract(records)
+    return _sides(checked.filter("reason IS NULL"), checked.filter("reason IS NOT NULL"))
+
+
+def _sides(valid: DataFrame, rejected: DataFrame) -> ContractResult:
     return ContractResult(
-        valid=checked.filter("reason IS NULL").select(
+        valid=valid.select(
             "transaction_id", "date", "amount", "merchant_name", "category"
         ),
-        rejected=checked.filter("reason IS NOT NULL").select(
+        rejected=rejected.select(
             "transaction_id", "raw_date", "raw_amount", "raw_merchant_name", "category", "reason"
         ),
     )

@@ -19,9 +19,9 @@ from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spendlake.functions import cents_from_units, to_units
+from spendlake.functions import cents_from_exact, exact
 from spendlake.operators.monthly import LAGS
-from spendlake.session import scratch_root
+from spendlake.session import materialize
 from spendlake.sources.lake import DEFAULT_FORMAT, table_exists, write_table
 
 LAG_COLUMNS = (*LAGS, "avg_spend_last_3_months")
@@ -64,14 +64,14 @@ def training_rows(series: DataFrame, holdout: int = HOLDOUT_MONTHS) -> DataFrame
     (client, month) window: one shuffle and one sort, and train and test need no join.
     """
     months = Window.partitionBy("client_id").orderBy("txn_month")
-    smoothed = F.avg(to_units(F.col("current_month_spend"))).over(months.rowsBetween(-2, 0))
+    smoothed = F.avg(exact(F.col("current_month_spend"))).over(months.rowsBetween(-2, 0))
 
     def in_last(n: int) -> Column:
         return F.lead(F.lit(1), n).over(months).isNull()
 
     with_flags = series.select(
         *series.columns,
-        cents_from_units(smoothed).alias("smoothed_target_spend"),
+        cents_from_exact(smoothed).alias("smoothed_target_spend"),
         in_last(holdout).alias("is_test"),
         (in_last(holdout + 1) & ~in_last(1)).alias("is_test_next"),
     )
@@ -128,7 +128,9 @@ def naive_errors(rows: DataFrame, target: str) -> DataFrame:
 
 
 def gbt(trees: int = 100, depth: int = 4, rate: float = 0.1, seed: int = 42) -> GBTRegressor:
+    """Boosted trees that remember each row's node instead of walking every tree again."""
     return GBTRegressor(
+        cacheNodeIds=True,
         featuresCol="features",
         labelCol="label",
         predictionCol="prediction",
@@ -147,9 +149,19 @@ def fit_forecaster(
     Spark ML keeps its binned input, spilling to disk, and with a checkpoint folder set it cuts
     the lineage of the residuals every ten trees.
     """
-    scratch_root(rows.sparkSession)
     train = supervised(rows, target).filter("NOT is_test")
-    return gbt(trees, depth, rate).fit(with_vector(train, TARGETS[target].features))
+    return gbt(trees, depth, rate).fit(stored_vectors(train, target).select("features", "label"))
+
+
+def stored_vectors(frame: DataFrame, target: str) -> DataFrame:
+    """Month, assembled features and label, stored once in partitions sized by bytes.
+
+    Every level of every tree is a job over this table. On small data its cost is the number of
+    tasks, so there are as many as the bytes ask for, however many cores are idle.
+    """
+    vectors = with_vector(frame, TARGETS[target].features).select("txn_month", "features", "label")
+    stored = materialize(vectors.hint("rebalance"))
+    return stored.coalesce(len(stored.inputFiles()) or 1)
 
 
 def score(rows: DataFrame, model: GBTRegressionModel, target: str = "smoothed") -> DataFrame:
@@ -225,22 +237,19 @@ def grid_search(
     target: str = "smoothed",
     grid: dict[str, Sequence] | None = None,
     folds: int = 3,
-    parallelism: int = 2,
+    parallelism: int = 8,
 ) -> DataFrame:
     """Mean validation error per grid point, best first: ``max_depth, step_size, trees, mae``.
 
     Boosting adds trees one by one, so a model of 200 trees contains the one of 100. Each depth,
     rate and fold is therefore fitted once with the largest tree count, and one pass over the
-    validation rows gives the error at every smaller count. Every fit scans ``rows`` again, so
-    pass a stored table.
+    validation rows gives the error at every smaller count. The assembled rows are stored once for
+    all fits, of which ``parallelism`` run side by side.
     """
     grid = GRID if grid is None else grid
     spark = rows.sparkSession
-    scratch_root(spark)
     train, _ = holdout_split(rows, target)
-    frame = with_vector(supervised(train, target), TARGETS[target].features).select(
-        "txn_month", "features", "label"
-    )
+    frame = stored_vectors(supervised(train, target), target)
     bounds = time_folds(train, folds).collect()  # one row per fold
     if any(fold["test_start"] is None for fold in bounds):
         raise ValueError(f"fewer than {folds + 1} months to cut into folds")

@@ -13,12 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from spendlake.functions import (
-    cents_from_units,
+    cents_from_exact,
     exact,
-    from_units,
+    from_exact,
     month_label,
     month_start,
-    to_units,
 )
 from spendlake.schemas import DISCRETIONARY_CATEGORIES
 
@@ -55,15 +54,15 @@ def client_months(
     categories: tuple[str, ...] = DISCRETIONARY_CATEGORIES,
     expense_is_negative: bool = True,
 ) -> DataFrame:
-    """``(client_id, month_start, spend[, discretionary])``, both sums in ten-thousandths.
+    """``(client_id, month_start, spend[, discretionary])``, both sums exact decimals.
 
     ``discretionary`` is there when the input carries ``category_name``.
     """
     rows = expenses(transactions, expense_is_negative)
-    sums = [F.sum(to_units(F.col("expense_amount"))).alias("spend")]
+    sums = [F.sum(exact(F.col("expense_amount"))).alias("spend")]
     if "category_name" in transactions.columns:
         rows = tag_discretionary(rows, categories)
-        sums.append(F.sum(to_units(F.col("is_discretionary"))).alias("discretionary"))
+        sums.append(F.sum(exact(F.col("is_discretionary"))).alias("discretionary"))
     is_text = isinstance(transactions.schema["date"].dataType, StringType)
     month = month_start(F.col("date"), text=is_text)
     return rows.groupBy("client_id", month.alias("month_start")).agg(*sums)
@@ -74,7 +73,7 @@ def monthly_spend(months: DataFrame) -> DataFrame:
     return months.select(
         "client_id",
         month_label(F.col("month_start")).alias("txn_month"),
-        from_units(F.col("spend")).alias("current_month_spend"),
+        from_exact(F.col("spend")).alias("current_month_spend"),
     )
 
 
@@ -89,12 +88,12 @@ def time_series_features(months: DataFrame, min_history: int = 0) -> DataFrame:
     features = months.select(
         "client_id",
         month_label(F.col("month_start")).alias("txn_month"),
-        from_units(spend).alias("current_month_spend"),
+        from_exact(spend).alias("current_month_spend"),
         *[
-            cents_from_units(F.lag(spend, n).over(series)).alias(name)
+            cents_from_exact(F.lag(spend, n).over(series)).alias(name)
             for n, name in enumerate(LAGS, start=1)
         ],
-        cents_from_units(F.avg(spend).over(series.rowsBetween(-3, -1))).alias(
+        cents_from_exact(F.avg(spend).over(series.rowsBetween(-3, -1))).alias(
             "avg_spend_last_3_months"
         ),
         *([F.row_number().over(series).alias("_position")] if min_history > 0 else []),
@@ -107,14 +106,14 @@ def time_series_features(months: DataFrame, min_history: int = 0) -> DataFrame:
 def smoothed_spend(series: DataFrame, column: str = "smoothed_target_spend") -> DataFrame:
     """Adds the mean spend of this and the two months before it, rounded to cents."""
     frame = Window.partitionBy("client_id").orderBy("txn_month").rowsBetween(-2, 0)
-    mean = F.avg(to_units(F.col("current_month_spend"))).over(frame)
-    return series.withColumn(column, cents_from_units(mean))
+    mean = F.avg(exact(F.col("current_month_spend"))).over(frame)
+    return series.withColumn(column, cents_from_exact(mean))
 
 
 def client_net_amount(transactions: DataFrame) -> DataFrame:
     """Sum of all amounts, income and expense, per client."""
     return transactions.groupBy("client_id").agg(
-        from_units(F.sum(to_units(F.col("amount")))).alias("net_amount")
+        from_exact(F.sum(exact(F.col("amount")))).alias("net_amount")
     )
 
 
@@ -134,11 +133,11 @@ def total_columns(months: DataFrame) -> list[Column]:
     only budget the join with the category dimension.
     """
     if "discretionary" in months.columns:
-        discretionary = from_units(F.sum("discretionary"))
+        discretionary = from_exact(F.sum("discretionary"))
     else:
         discretionary = F.lit(None).cast("double")
     return [
-        from_units(F.sum("spend")).alias("total_expenses"),
+        from_exact(F.sum("spend")).alias("total_expenses"),
         discretionary.alias("discretionary_spending"),
         F.count("month_start").alias("active_months"),
     ]
@@ -149,7 +148,7 @@ def category_spend(transactions: DataFrame, top: int | None = 30) -> DataFrame:
     totals = (
         transactions.filter("amount < 0")
         .groupBy("category_name")
-        .agg(F.sum(exact(F.col("amount"))).cast("double").alias("total_spent"))
+        .agg(from_exact(F.sum(exact(F.col("amount")))).alias("total_spent"))
         .orderBy("total_spent", "category_name")
     )
     return totals if top is None else totals.limit(top)

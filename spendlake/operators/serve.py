@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from spendlake.functions import (
     cents,
-    cents_from_units,
+    cents_from_exact,
     display_amount,
-    from_units,
+    from_exact,
     normalize_month,
 )
 from spendlake.operators.allocate import allocate
@@ -58,11 +58,11 @@ def table_counts(series: DataFrame, profiles: DataFrame) -> DataFrame:
 
 
 def latest_month(series: DataFrame) -> DataFrame:
-    """The most recent month of every client.
+    """The most recent month of every client; a row of unreadable month counts as the last.
 
     Spark prunes each input task to one row per client before the shuffle.
     """
-    newest_first = Window.partitionBy("client_id").orderBy(F.col("txn_month").desc_nulls_last())
+    newest_first = Window.partitionBy("client_id").orderBy(F.col("txn_month").desc_nulls_first())
     return (
         series.withColumn("_age", F.row_number().over(newest_first))
         .filter(F.col("_age") == 1)
@@ -70,13 +70,17 @@ def latest_month(series: DataFrame) -> DataFrame:
     )
 
 
+def one_per_key(rows: DataFrame, key: str) -> DataFrame:
+    """One row per key: of several the greatest, column by column, whatever order they come in."""
+    whole = F.max(F.struct(*[c for c in rows.columns if c != key])).alias("_row")
+    return rows.groupBy(key).agg(whole).select(key, "_row.*").select(*rows.columns)
+
+
 def latest_profile(profiles: DataFrame) -> DataFrame:
     """One profile row per client, keyed by text; falls back to ``id`` where that is the key."""
     if "client_id" not in profiles.columns:
         profiles = profiles.withColumn("client_id", F.col("id"))
-    return profiles.withColumn("client_id", F.col("client_id").cast("string")).dropDuplicates(
-        ["client_id"]
-    )
+    return one_per_key(profiles.withColumn("client_id", F.col("client_id").cast("string")), "client_id")
 
 
 def client_snapshots(series: DataFrame, profiles: DataFrame) -> DataFrame:
@@ -160,24 +164,27 @@ def snapshots_from_months(users: DataFrame, months: DataFrame) -> DataFrame:
     """All user features plus the latest spend, from one pass over the monthly roll-up.
 
     The window leaves its rows hashed and sorted by client, and the totals and the latest month
-    are grouped by the same key, so beyond the window's own shuffle only the users move.
+    are grouped by the same key, so beyond the window's own shuffle only the users move. Repeated
+    users and unreadable months are settled as in :func:`latest_profile` and :func:`latest_month`.
     """
     series = Window.partitionBy("client_id").orderBy("month_start")
     lags = {
-        name: cents_from_units(F.lag("spend", n).over(series))
+        name: cents_from_exact(F.lag("spend", n).over(series))
         for n, name in enumerate(LAGS[:2], start=1)
     }
     latest = ("current_month_spend", *lags)
+    age = F.struct(F.col("month_start").isNull(), "month_start")
     totals = (
-        months.withColumn("current_month_spend", from_units(F.col("spend")))
+        months.withColumn("current_month_spend", from_exact(F.col("spend")))
         .withColumns(lags)
         .groupBy("client_id")
         .agg(
             *total_columns(months),
-            *[F.max_by(c, "month_start").alias(c) for c in latest],
+            *[F.max_by(F.struct(c), age).alias(c) for c in latest],
         )
+        .withColumns({c: F.col(f"{c}.{c}") for c in latest})
     )
-    return user_features_from_totals(users, totals, keep=latest)
+    return user_features_from_totals(one_per_key(users, "id"), totals, keep=latest)
 
 
 def rolling_mean_forecast(requests: DataFrame) -> DataFrame:

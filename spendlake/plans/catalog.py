@@ -13,10 +13,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendlake.functions import month_label, parse_timestamp
+from spendlake.functions import is_number, month_label, parse_timestamp
 from spendlake.operators import allocate, cleaning, enrich, forecast, monthly, profile, serve
 from spendlake.plans import daily, testdata
-from spendlake.schemas import USER_PORTFOLIO_FEATURES
+from spendlake.schemas import BRONZE_USERS, USER_PORTFOLIO_FEATURES
 from spendlake.session import materialize, scratch_dir
 from spendlake.sources import (
     read_inferred_csv,
@@ -27,15 +27,11 @@ from spendlake.sources import (
     read_users_csv,
     write_table,
 )
+from spendlake.sources.files import drop_mistyped
 from spendlake.streaming import stream_silver_transactions
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Trees per registered model; the operators default to the full 100 and 200.
-TREES = 20
-SMALL_GRID = {"maxDepth": (3, 4), "stepSize": (0.1,), "maxIter": (5, 10)}
-
-
 def _round6(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, 6) for c in columns})
 
@@ -88,8 +84,9 @@ def _requests(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _csv(df: DataFrame) -> str:
+    """Raw files without quotes, so that a comma in a value makes a line too long."""
     path = scratch_dir(df.sparkSession)
-    df.write.csv(path, header=True)
+    df.write.csv(path, header=True, quote="\u0000")
     return path
 
 
@@ -104,24 +101,22 @@ def _mcc_file(spark: SparkSession) -> str:
 
 
 def csv_transactions(spark: SparkSession, sf: str) -> DataFrame:
-    return read_transactions_csv(spark, _csv(testdata.bronze_transactions(spark, sf)))
+    return read_transactions_csv(spark, _csv(testdata.dirty_transactions(spark, sf)))
 
 
 def csv_users(spark: SparkSession, sf: str) -> DataFrame:
     return cleaning.clean_users(
-        read_users_csv(spark, _csv(testdata.bronze_users(spark, sf)))
+        read_users_csv(spark, _csv(testdata.dirty_users(spark, sf)))
     )
 
 
 def csv_inferred(spark: SparkSession, sf: str) -> DataFrame:
-    return read_inferred_csv(spark, _csv(testdata.bronze_users(spark, sf))).select(
-        "id", "current_age", "gender", "latitude", "yearly_income", "credit_score"
-    )
+    return read_inferred_csv(spark, _csv(testdata.bronze_users(spark, sf)))
 
 
 def csv_to_silver(spark: SparkSession, sf: str) -> DataFrame:
     lake = daily.Lake(scratch_dir(spark))
-    raw = _csv(testdata.bronze_transactions(spark, sf))
+    raw = _csv(testdata.dirty_transactions(spark, sf))
     daily.refresh_transactions(spark, raw, _mcc_file(spark), lake)
     return lake.read(spark, daily.SILVER_TRANSACTIONS)
 
@@ -138,31 +133,39 @@ def table_overwrite(spark: SparkSession, sf: str) -> DataFrame:
 def table_partitioned(spark: SparkSession, sf: str) -> DataFrame:
     """Silver transactions stored by month, rebalanced so that a hot month is split."""
     path = scratch_dir(spark)
-    rows = _spend_rows(spark, sf).withColumn("txn_month", month_label(F.col("date")))
-    write_table(rows.drop("date"), path, partition_by=["txn_month"])
-    stored = read_table(spark, path)
-    return stored.select("id", "client_id", "amount", F.col("txn_month").cast("string"))
+    rows = testdata.silver_transactions(spark, sf)
+    rows = rows.withColumn("txn_month", month_label(F.col("date")))
+    rows = rows.withColumn("date", F.date_format("date", "yyyy-MM-dd HH:mm:ss"))
+    write_table(rows, path, partition_by=["txn_month"])
+    return read_table(spark, path).withColumn("txn_month", F.col("txn_month").cast("string"))
 
 
 def snapshot_of_missing_profiles(spark: SparkSession, sf: str) -> DataFrame:
-    """Clients left without a profile while the profile table has not been written yet."""
-    profiles = read_table_or_empty(spark, scratch_dir(spark), USER_PORTFOLIO_FEATURES)
-    return serve.clients_without_profile(_series(spark, sf), profiles)
+    """Clients without a profile: before its table is written, and after one without some users."""
+    path, series = scratch_dir(spark), materialize(_series(spark, sf))
+
+    def lacking(state: str) -> DataFrame:
+        profiles = read_table_or_empty(spark, path, USER_PORTFOLIO_FEATURES)
+        return serve.clients_without_profile(series, profiles).withColumn("profiles", F.lit(state))
+
+    before = lacking("none yet")
+    users = cleaning.clean_users(drop_mistyped(testdata.dirty_users(spark, sf), BRONZE_USERS))
+    write_table(profile.user_portfolio_features(users, _months(spark, sf)), path)
+    return before.unionByName(lacking("written"))
 
 
 # -- cleaning and enrichment -------------------------------------------------------------------
 
 
 def silver_transactions(spark: SparkSession, sf: str) -> DataFrame:
-    raw = testdata.bronze_transactions(spark, sf)
+    raw = testdata.dirty_transactions(spark, sf)
     return cleaning.clean_transactions(enrich.add_category(raw, testdata.mcc_codes(spark)))
 
 
 def silver_transactions_salted(spark: SparkSession, sf: str) -> DataFrame:
     """The same table by the join used for a dictionary too large to broadcast."""
-    raw = testdata.bronze_transactions(spark, sf)
-    enriched = enrich.add_category(raw, testdata.mcc_codes(spark), small=False)
-    return cleaning.clean_transactions(enriched).select("id", "mcc", "amount", "category_name")
+    raw = testdata.dirty_transactions(spark, sf)
+    return cleaning.clean_transactions(enrich.add_category(raw, testdata.mcc_codes(spark), small=False))
 
 
 def silver_users(spark: SparkSession, sf: str) -> DataFrame:
@@ -191,14 +194,12 @@ def _contract_input(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def contract_valid(spark: SparkSession, sf: str) -> DataFrame:
-    valid = cleaning.split_contract(_contract_input(spark, sf)).valid
+    valid = cleaning.store_contract(_contract_input(spark, sf), scratch_dir(spark)).valid
     return valid.withColumn("date", F.date_format("date", "yyyy-MM-dd HH:mm:ss"))
 
 
 def contract_rejected(spark: SparkSession, sf: str) -> DataFrame:
-    return cleaning.split_contract(_contract_input(spark, sf)).rejected.select(
-        "transaction_id", "raw_date", "raw_amount", "reason"
-    )
+    return cleaning.store_contract(_contract_input(spark, sf), scratch_dir(spark)).rejected
 
 
 def discretionary_tags(spark: SparkSession, sf: str) -> DataFrame:
@@ -207,18 +208,19 @@ def discretionary_tags(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def transactions_with_users(spark: SparkSession, sf: str) -> DataFrame:
-    rows = testdata.silver_transactions(spark, sf, "id", "client_id", "amount", "card_id")
-    joined = enrich.add_users(rows, testdata.silver_users(spark, sf))
-    return joined.select(
-        "transaction_id", "client_id", "amount", "card_id", "current_age", "gender",
-        "yearly_income", "credit_score",
-    )
+    return _with_users(spark, sf)
 
 
 def transactions_with_users_salted(spark: SparkSession, sf: str) -> DataFrame:
-    rows = testdata.silver_transactions(spark, sf, "id", "client_id", "amount")
-    joined = enrich.add_users(rows, testdata.silver_users(spark, sf), salts=8)
-    return joined.select("transaction_id", "client_id", "amount", "credit_score")
+    return _with_users(spark, sf, salts=8)
+
+
+def _with_users(spark: SparkSession, sf: str, **options) -> DataFrame:
+    """All columns of both sides; users that cleaning dropped leave nulls."""
+    rows = testdata.silver_transactions(spark, sf)
+    rows = rows.withColumn("date", F.date_format("date", "yyyy-MM-dd HH:mm:ss"))
+    users = cleaning.clean_users(drop_mistyped(testdata.dirty_users(spark, sf), BRONZE_USERS))
+    return enrich.add_users(rows, users, **options)
 
 
 # -- aggregates and windows --------------------------------------------------------------------
@@ -287,6 +289,12 @@ def portfolio_recommendations(spark: SparkSession, sf: str) -> DataFrame:
     return allocate.portfolio_recommendations(_features(spark, sf, with_category=False))
 
 
+def allocation_statuses(spark: SparkSession, sf: str) -> DataFrame:
+    """Requests that are optimal, without budget, infeasible, or short of an input."""
+    planned = allocate.allocate(testdata.allocation_requests(spark, sf), "budget", "risk", "horizon")
+    return planned.drop("budget", "risk", "horizon")
+
+
 def allocation_rows(spark: SparkSession, sf: str) -> DataFrame:
     return allocate.allocation_rows(portfolio_recommendations(spark, sf))
 
@@ -315,9 +323,9 @@ def client_ids(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def table_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return serve.table_counts(
-        monthly_spend(spark, sf), _features(spark, sf, with_category=False)
-    )
+    months = materialize(_months(spark, sf, with_category=False))
+    users = testdata.silver_users(spark, sf)
+    return serve.table_counts(monthly.monthly_spend(months), profile.user_portfolio_features(users, months))
 
 
 def latest_month(spark: SparkSession, sf: str) -> DataFrame:
@@ -327,8 +335,11 @@ def latest_month(spark: SparkSession, sf: str) -> DataFrame:
 def client_snapshots(spark: SparkSession, sf: str) -> DataFrame:
     """Snapshots joined from the two stored gold tables, as the serving side reads them."""
     lake = daily.Lake(scratch_dir(spark))
-    lake.write(_series(spark, sf), daily.TIME_SERIES)
-    lake.write(_features(spark, sf, with_category=False), daily.USER_FEATURES)
+    months = materialize(_months(spark, sf, with_category=False))
+    daily.refresh_time_series(months, lake)
+    lake.write(
+        profile.user_portfolio_features(testdata.silver_users(spark, sf), months), daily.USER_FEATURES
+    )
     snapshots = serve.client_snapshots(
         lake.read(spark, daily.TIME_SERIES), lake.read(spark, daily.USER_FEATURES)
     )
@@ -340,9 +351,10 @@ def client_snapshots_one_pass(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def clients_without_history(spark: SparkSession, sf: str) -> DataFrame:
-    """Users that never spent."""
+    """Users that did not spend in the first year on record."""
     users = testdata.silver_users(spark, sf).select("id")
-    return serve.clients_without_history(monthly_spend(spark, sf), users)
+    first_year = monthly_spend(spark, sf).filter("txn_month < '1993-01'")
+    return serve.clients_without_history(first_year, users)
 
 
 def client_histories(spark: SparkSession, sf: str) -> DataFrame:
@@ -355,12 +367,12 @@ def spend_trend(spark: SparkSession, sf: str) -> DataFrame:
 
 def top_spender_history(spark: SparkSession, sf: str) -> DataFrame:
     """All months of the client with the highest total spend, looked up by id."""
-    stored = materialize(_series(spark, sf))
-    totals = stored.groupBy("client_id").agg(
-        F.sum(F.col("current_month_spend").cast("decimal(18,2)")).alias("total")
-    )
-    top = monthly.top_rows(totals, "total", 1, tie_break="client_id").first()
-    return serve.client_history(stored, top["client_id"])
+    months = _months(spark, sf, with_category=False)
+    totals = months.groupBy("client_id").agg(F.sum("spend").alias("total"))
+    top = monthly.top_rows(totals, "total", 1, tie_break="client_id").select("client_id")
+    # one row
+    chosen = months.join(F.broadcast(top), "client_id", "left_semi")
+    return serve.ordered_histories(serve.client_histories(monthly.time_series_features(chosen)))
 
 
 def advisor_plan(spark: SparkSession, sf: str) -> DataFrame:
@@ -368,14 +380,9 @@ def advisor_plan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def advisor_responses(spark: SparkSession, sf: str) -> DataFrame:
-    """Fields picked out of the nested response of every client."""
+    """The nested response of every client, its fields side by side."""
     nested = serve.advisor_response(advisor_plan(spark, sf))
-    return nested.select(
-        "client_id",
-        F.col("financial_forecast.predicted_expense").alias("predicted_expense"),
-        F.col("recommended_action.status").alias("status"),
-        F.col("recommended_action.Crypto").alias("Crypto"),
-    )
+    return nested.select("client_id", "financial_forecast.*", "recommended_action.*")
 
 
 def advisor_display(spark: SparkSession, sf: str) -> DataFrame:
@@ -424,37 +431,62 @@ def time_folds(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def forecast_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Every row that got a number as its prediction."""
     rows = _training(spark, sf)
-    model = forecast.fit_forecaster(rows, "smoothed", trees=TREES)
-    return forecast.score(rows, model, "smoothed")
+    scored = forecast.score(rows, forecast.fit_forecaster(rows, "smoothed"), "smoothed")
+    return scored.filter(is_number(F.col("prediction"))).drop("prediction")
 
 
 def forecast_report(spark: SparkSession, sf: str) -> DataFrame:
-    """Model against naive forecast for each target."""
+    """Model against naive forecast for each target; the errors themselves vary with the trees."""
     rows = _training(spark, sf)
     parts = []
     for target in forecast.TARGETS:
-        model = forecast.fit_forecaster(rows, target, trees=TREES)
-        report = forecast.model_report(forecast.score(rows, model, target))
+        report = forecast.model_report(forecast.score(rows, forecast.fit_forecaster(rows, target), target))
         parts.append(report.withColumn("target", F.lit(target)))
-    return reduce(DataFrame.unionByName, parts)
+    reports = reduce(DataFrame.unionByName, parts)
+    return _round6(reports.drop("train_mae", "test_mae", "test_mape"), "naive_mae")
 
 
 def forecast_runs(spark: SparkSession, sf: str) -> DataFrame:
-    """Train, save, reload, and append the errors to the table of runs."""
+    """Two runs of the job's forecaster: the recorded ones whose saved model scores as the fitted one."""
     lake = daily.Lake(scratch_dir(spark))
     lake.write(_series(spark, sf), daily.TIME_SERIES)
-    daily.refresh_forecaster(spark, lake, trees=TREES, depth=4)
-    return lake.read(spark, daily.MODEL_RUNS).drop("params", "run_at")
+    fitted = []
+    for target in ("smoothed", "next"):
+        model = daily.refresh_forecaster(spark, lake, target)
+        report = forecast.model_report(forecast.score(_training(spark, sf), model, target))
+        fitted.append(report.select(F.lit(target).alias("target"), F.col("test_mae").alias("fitted_mae")))
+    runs = lake.read(spark, daily.MODEL_RUNS)
+    params = [F.col("params")[name].alias(name) for name in ("target", "trees", "depth", "rate")]
+    runs = runs.select("run_name", *params, "train_rows", "test_rows", "naive_mae", "test_mae")
+    same = F.abs(F.col("test_mae") - F.col("fitted_mae")) < 1e-6
+    return _round6(
+        runs.join(reduce(DataFrame.unionByName, fitted), "target").filter(same).drop("test_mae", "fitted_mae"),
+        "naive_mae",
+    )
 
 
 def grid_search(spark: SparkSession, sf: str) -> DataFrame:
-    return forecast.grid_search(_training(spark, sf), grid=SMALL_GRID)
+    """The points of the whole grid, as far as they beat the mean naive error of their folds."""
+    rows = _training(spark, sf)
+    scores = forecast.grid_search(rows)
+    train, _ = forecast.holdout_split(rows)
+    naive = forecast.forecast_errors(forecast.supervised(train, "smoothed"), "label", "naive").first()["mae"]
+    return scores.filter((F.col("mae") > 0) & (F.col("mae") < naive)).drop("mae")
 
 
 def advisor_plan_model(spark: SparkSession, sf: str) -> DataFrame:
-    model = forecast.fit_forecaster(_training(spark, sf), "smoothed", trees=TREES)
-    return serve.advisor_plan(_requests(spark, sf), forecast.model_forecast(model))
+    """Plans on the model's forecast that add up: to the income, to the budget, within the risk."""
+    model = forecast.fit_forecaster(_training(spark, sf), "smoothed")
+    requests = materialize(_requests(spark, sf))
+    plan = serve.advisor_plan(requests, forecast.model_forecast(model))
+    plan = allocate.add_return_and_risk(plan).join(requests.select("client_id", "risk_score"), "client_id")
+    budget, spent = F.col("safe_investable_budget"), F.col("Savings") + F.col("Bonds") + F.col("ETFs") + F.col("Crypto")
+    adds_up = F.abs(F.col("monthly_income") - F.col("predicted_expense") - budget) < 0.011
+    spends = F.abs(spent - F.greatest(budget, F.lit(0.0))) < 0.021
+    safe = F.col("expected_annual_risk") <= F.col("risk_score") * spent + 0.2
+    return _round6(plan.filter(adds_up & spends & safe), "monthly_income").select("client_id", "monthly_income")
 
 
 # -- whole jobs --------------------------------------------------------------------------------
@@ -479,8 +511,10 @@ def daily_refresh(spark: SparkSession, sf: str) -> DataFrame:
 def daily_refresh_bucketed(spark: SparkSession, sf: str) -> DataFrame:
     """The same with the roll-up bucketed by client; gives the time series."""
     name = f"client_months_{scratch_dir(spark).rsplit('/', 1)[1]}"
-    lake = _refreshed(spark, sf, bucketed_as=name, buckets=8)
-    spark.sql(f"DROP TABLE {name}")
+    try:
+        lake = _refreshed(spark, sf, bucketed_as=name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
     return lake.read(spark, daily.TIME_SERIES)
 
 
@@ -489,7 +523,7 @@ def stream_silver(spark: SparkSession, sf: str) -> DataFrame:
     out = scratch_dir(spark)
     query = stream_silver_transactions(
         spark,
-        _csv(testdata.bronze_transactions(spark, sf)),
+        _csv(testdata.dirty_transactions(spark, sf)),
         read_mcc_json(spark, _mcc_file(spark)),
         out,
         scratch_dir(spark),
@@ -542,6 +576,7 @@ QUERIES: dict[str, Query] = {
         user_portfolio_features,
         top_discretionary_users,
         portfolio_recommendations,
+        allocation_statuses,
         allocation_rows,
         positive_allocations,
         portfolio_return_and_risk,

@@ -2,25 +2,34 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Collection
 from typing import NamedTuple
 
+from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from spendlake.operators.allocate import portfolio_recommendations
 from spendlake.operators.cleaning import clean_transactions, clean_users
 from spendlake.operators.enrich import add_category
+from spendlake.functions import month_label, month_start
 from spendlake.operators.forecast import (
     fit_forecaster,
+    load_model,
+    load_model_if_saved,
+    model_forecast,
     model_report,
     record_run,
     save_model,
     score,
+    TARGETS,
     training_rows,
 )
 from spendlake.operators.monthly import client_months, time_series_features
 from spendlake.operators.profile import user_portfolio_features
 from spendlake.operators.serve import advisor_plan, client_snapshots
+from spendlake.session import materialize, shuffle_partitions_for, stored_bytes
 from spendlake.sources import (
     read_mcc_json,
     read_table,
@@ -31,6 +40,9 @@ from spendlake.sources import (
 from spendlake.sources.lake import DEFAULT_FORMAT, write_bucketed
 
 
+log = logging.getLogger(__name__)
+
+
 class Lake(NamedTuple):
     """Where the tables of one lake live."""
 
@@ -59,12 +71,25 @@ MODEL_RUNS = "models/runs"
 
 
 def refresh_transactions(
-    spark: SparkSession, csv_path: str, mcc_path: str, lake: Lake, parse_dates: bool = False
+    spark: SparkSession,
+    csv_path: str,
+    mcc_path: str,
+    lake: Lake,
+    parse_dates: bool = False,
+    by_month: bool = False,
 ) -> None:
-    """Raw transaction files to the silver table: one pass, no shuffle."""
+    """Raw transaction files to the silver table: one pass, no shuffle.
+
+    ``by_month`` stores it partitioned by ``txn_month``, rebalanced so that a hot month becomes
+    several files, for readers that look at a span of months.
+    """
     raw = read_transactions_csv(spark, csv_path)
-    enriched = add_category(raw, read_mcc_json(spark, mcc_path))
-    lake.write(clean_transactions(enriched, parse_dates), SILVER_TRANSACTIONS)
+    silver = clean_transactions(add_category(raw, read_mcc_json(spark, mcc_path)), parse_dates)
+    if by_month:
+        month = month_label(month_start(F.col("date"), text=not parse_dates))
+        lake.write(silver.withColumn("txn_month", month), SILVER_TRANSACTIONS, partition_by=["txn_month"])
+    else:
+        lake.write(silver, SILVER_TRANSACTIONS)
 
 
 def refresh_users(spark: SparkSession, csv_path: str, lake: Lake) -> None:
@@ -72,16 +97,19 @@ def refresh_users(spark: SparkSession, csv_path: str, lake: Lake) -> None:
 
 
 def refresh_client_months(
-    spark: SparkSession, lake: Lake, bucketed_as: str | None = None, buckets: int = 200
+    spark: SparkSession, lake: Lake, bucketed_as: str | None = None, buckets: int | None = None
 ) -> DataFrame:
     """The roll-up both gold tables need, computed once from silver.
 
     With ``bucketed_as`` it becomes a catalog table bucketed by client, and the gold jobs group,
     window and join it without another shuffle. Safe against hot clients: a client has one row
-    per month here.
+    per month here. The number of buckets follows from the bytes of the roll-up, unless given.
     """
     months = client_months(lake.read(spark, SILVER_TRANSACTIONS))
     if bucketed_as:
+        if buckets is None:
+            months = materialize(months)
+            buckets = shuffle_partitions_for(stored_bytes(months))
         return write_bucketed(
             months,
             bucketed_as,
@@ -114,23 +142,38 @@ def refresh_forecaster(
     trees: int = 200,
     depth: int = 6,
     rate: float = 0.1,
-) -> None:
-    """Train on the stored series, save the model, and append its errors to the run table."""
+) -> GBTRegressionModel:
+    """Train on the stored series, save the model, and append its errors to the run table.
+
+    The errors are those of the model as loaded back; the fitted one is returned.
+    """
     rows_path = "models/training_rows"
     lake.write(training_rows(lake.read(spark, TIME_SERIES)), rows_path)
     rows = lake.read(spark, rows_path)
     model = fit_forecaster(rows, target, trees, depth, rate)
     save_model(model, lake.path(MODEL))
     params = {"target": target, "trees": trees, "depth": depth, "rate": rate}
-    report = model_report(score(rows, model, target))
+    report = model_report(score(rows, load_model(lake.path(MODEL)), target))
     record_run(report, lake.path(MODEL_RUNS), "spend_forecaster", params, lake.fmt)
-
-
-def refresh_advisor(spark: SparkSession, lake: Lake, forecast) -> None:
+    return model
+
+
+def refresh_advisor(spark: SparkSession, lake: Lake) -> bool:
+    """Plan with the saved model, without training; false, with a warning, where it cannot be used."""
+    model = load_model_if_saved(spark, lake.path(MODEL))
+    if model is None:
+        log.warning("no saved model at %s: no plan written", lake.path(MODEL))
+        return False
+    if model.numFeatures != len(TARGETS["smoothed"].features):
+        log.warning("the saved model needs lags that a snapshot does not carry: no plan written")
+        return False
     snapshots = client_snapshots(lake.read(spark, TIME_SERIES), lake.read(spark, USER_FEATURES))
-    lake.write(advisor_plan(snapshots, forecast), ADVISOR_PLAN)
+    lake.write(advisor_plan(snapshots, model_forecast(model)), ADVISOR_PLAN)
+    return True
 
 
+#: Run only when named.
+MODEL_STAGES = ("forecaster", "advisor")
 STAGES = (
     "transactions",
     "users",
@@ -149,15 +192,24 @@ def run_pipeline(
     out: str,
     fmt: str = DEFAULT_FORMAT,
     bucketed_as: str | None = None,
-    buckets: int = 200,
+    buckets: int | None = None,
     stages: Collection[str] = STAGES,
+    parse_dates: bool = False,
+    by_month: bool = False,
+    min_history: int = 0,
+    target: str = "smoothed",
+    trees: int = 200,
+    depth: int = 6,
 ) -> Lake:
     """All tables, or those of the named stages, in dependency order.
 
+    ``forecaster`` and ``advisor`` are stages as well, which run only when named: one trains and
+    saves the model, the other plans with whichever model is saved.
+
     A stage reads only tables that earlier stages committed and replaces its own, so a failed run
     is repeated from the stage that failed.
     """
-    unknown = set(stages) - set(STAGES)
+    unknown = set(stages) - {*STAGES, *MODEL_STAGES}
     if unknown:
         raise ValueError(f"unknown stages: {sorted(unknown)}")
     lake = Lake(out, fmt)
@@ -166,7 +218,7 @@ def run_pipeline(
         return spark.table(bucketed_as) if bucketed_as else lake.read(spark, CLIENT_MONTHS)
 
     if "transactions" in stages:
-        refresh_transactions(spark, transactions_csv, mcc_json, lake)
+        refresh_transactions(spark, transactions_csv, mcc_json, lake, parse_dates, by_month)
     if "users" in stages:
         refresh_users(spark, users_csv, lake)
     if "client_months" in stages:
@@ -176,11 +228,16 @@ def run_pipeline(
     if "recommendations" in stages:
         refresh_recommendations(spark, lake)
     if "time_series" in stages:
-        refresh_time_series(months(), lake)
+        refresh_time_series(months(), lake, min_history)
+    if "forecaster" in stages:
+        refresh_forecaster(spark, lake, target, trees, depth)
+    if "advisor" in stages:
+        refresh_advisor(spark, lake)
     return lake
 
 
 __all__ = [
+    "MODEL_STAGES",
     "STAGES",
     "Lake",
     "refresh_advisor",

@@ -19,7 +19,7 @@ LINES = """lines AS (
          strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS date,
          strftime(o_orderdate, '%Y-%m') AS txn_month,
          CAST(o_custkey AS VARCHAR) AS client_id,
-         o_orderpriority AS card_id,
+         o_orderpriority AS card_id, l_tax, l_returnflag,
          CASE WHEN l_returnflag = 'R' THEN 1 ELSE -1 END
            * round(l_extendedprice * (1 - l_discount) / 100 + 1e-7, 2) AS amount,
          'Chip Transaction' AS use_chip,
@@ -56,6 +56,14 @@ USERS = """users AS (
          CAST(1 + c_custkey % 9 AS INTEGER) AS num_credit_cards
   FROM customer)"""
 
+# What cleaning drops of the dirty raw files, and what a too long CSV line drops besides.
+_KEPT = (
+    "l_tax <> 0.07 AND NOT (l_tax = 0.06 AND l_returnflag = 'A') "
+    "AND NOT (l_tax = 0.05 AND l_returnflag = 'N') AND NOT (l_tax = 0.04 AND l_returnflag = 'R')"
+)
+DIRTY_USERS = """dirty_users AS (
+  SELECT * FROM users WHERE retirement_age - current_age NOT IN (3, 5, 7))"""
+
 MONTHS = f"""months AS (
   SELECT client_id, txn_month,
          sum(CAST(abs(amount) AS DECIMAL(18,2))) AS spend,
@@ -246,16 +254,30 @@ _SERIES_COLUMNS = (
     "client_id, txn_month, current_month_spend, spend_1_month_ago, spend_2_months_ago, "
     "spend_3_months_ago, avg_spend_last_3_months"
 )
+_CITY = "merchant_city || CASE WHEN l_tax = 0.08 THEN ', West' ELSE '' END AS merchant_city"
 _SILVER_COLUMNS = (
     "mcc, id, date, client_id, card_id, amount, use_chip, merchant_id, merchant_city, "
     "merchant_state, zip, errors, category_name"
 )
-_SILVER = _query((LINES,), f"SELECT {_SILVER_COLUMNS} FROM lines WHERE abs(amount) < 1000000")
+_CLEANED = _query(
+    (LINES,),
+    f"SELECT {_SILVER_COLUMNS.replace('merchant_city', _CITY)} FROM lines WHERE abs(amount) < 1000000 AND {_KEPT}",
+)
+_SILVER = _query(
+    (LINES,), f"SELECT {_SILVER_COLUMNS} FROM lines WHERE abs(amount) < 1000000 AND {_KEPT} AND l_tax <> 0.08"
+)
 _TIME_SERIES = _query((LINES, MONTHS, SERIES), f"SELECT {_SERIES_COLUMNS} FROM series")
 _MONTHLY = _query(
     (LINES, MONTHS),
     "SELECT client_id, txn_month, CAST(spend AS DOUBLE) AS current_month_spend FROM months",
 )
+_WITH_USERS = _query(
+    (LINES, USERS, DIRTY_USERS),
+    f"SELECT lines.{_SILVER_COLUMNS.replace(' id,', ' lines.id AS transaction_id,')}, "
+    "current_age, retirement_age, birth_year, birth_month, gender, address, latitude, longitude, "
+    "per_capita_income, yearly_income, total_debt, credit_score, num_credit_cards "
+    "FROM lines LEFT JOIN dirty_users ON client_id = dirty_users.id",
+)
 _SNAPSHOTS = _query(
     (*GOLD, SERIES, REQUESTS),
     "SELECT client_id, round(monthly_income, 6) AS monthly_income, risk_score, "
@@ -280,6 +302,20 @@ def _naive(target: str, naive: str, label: str, flag: str) -> str:
     )
 
 
+def _report(target: str, naive: str, label: str, flag: str) -> str:
+    return (
+        f"SELECT '{target}' AS target, count(*) FILTER (NOT {flag}) AS train_rows, "
+        f"count(*) FILTER ({flag}) AS test_rows, "
+        f"round(avg(abs({label} - {naive})) FILTER ({flag}), 6) AS naive_mae, TRUE AS beats_naive "
+        f"FROM labelled WHERE {label} IS NOT NULL"
+    )
+
+
+_TARGETS = (
+    ("raw", "spend_1_month_ago", "current_month_spend", "is_test"),
+    ("smoothed", "spend_1_month_ago", "smoothed_target_spend", "is_test"),
+    ("next", "smoothed_target_spend", "next_smoothed_spend", "is_test_next"),
+)
 _RECENT_FEATURES = "current_month_spend, spend_1_month_ago, spend_2_months_ago"
 _LAG_FEATURES = (
     "spend_1_month_ago, spend_2_months_ago, spend_3_months_ago, avg_spend_last_3_months"
@@ -296,24 +332,34 @@ ORACLE: dict[str, str] = {
     ),
     "csv_transactions": _query(
         (LINES,),
-        "SELECT id, date, client_id, card_id, '$' || CAST(CAST(amount AS DECIMAL(18,2)) AS VARCHAR) "
-        "AS amount, use_chip, merchant_id, merchant_city, merchant_state, zip, mcc, errors FROM lines",
+        "SELECT CASE WHEN l_tax = 0.05 AND l_returnflag = 'N' THEN NULL ELSE id END AS id, date, "
+        "CASE WHEN l_tax = 0.04 AND l_returnflag = 'R' THEN NULL ELSE client_id END AS client_id, card_id, "
+        "CASE WHEN l_tax = 0.07 THEN 'n/a' WHEN l_tax = 0.06 AND l_returnflag = 'A' THEN '$1000000.00' "
+        "ELSE '$' || CAST(CAST(amount AS DECIMAL(18,2)) AS VARCHAR) END AS amount, use_chip, merchant_id, "
+        "merchant_city, merchant_state, zip, mcc, errors FROM lines WHERE l_tax <> 0.08",
     ),
-    "csv_users": _query((USERS,), "SELECT * FROM users"),
+    "csv_users": _query((USERS, DIRTY_USERS), "SELECT * FROM dirty_users"),
     "csv_inferred": _query(
         (USERS,),
-        "SELECT CAST(id AS INTEGER) AS id, current_age, gender, CAST(latitude AS DOUBLE) AS latitude, "
-        "'$' || CAST(CAST(yearly_income AS DECIMAL(18,2)) AS VARCHAR) AS yearly_income, "
-        "credit_score FROM users",
+        "SELECT CAST(id AS INTEGER) AS id, current_age, retirement_age, birth_year, birth_month, gender, "
+        "address, CAST(latitude AS DOUBLE) AS latitude, CAST(longitude AS DOUBLE) AS longitude, "
+        + ", ".join(
+            f"'$' || CAST(CAST({c} AS DECIMAL(18,2)) AS VARCHAR) AS {c}"
+            for c in ("per_capita_income", "yearly_income", "total_debt")
+        )
+        + ", credit_score, num_credit_cards FROM users",
     ),
     "csv_to_silver": _SILVER,
     "table_overwrite": _MONTHLY,
-    "table_partitioned": _query((LINES,), "SELECT id, client_id, amount, txn_month FROM lines"),
-    "snapshot_of_missing_profiles": _query((LINES, MONTHS), "SELECT DISTINCT client_id FROM months"),
-    "silver_transactions": _SILVER,
-    "silver_transactions_salted": _query(
-        (LINES,), "SELECT id, mcc, amount, category_name FROM lines WHERE abs(amount) < 1000000"
-    ),
+    "table_partitioned": _query((LINES,), f"SELECT {_SILVER_COLUMNS}, txn_month FROM lines"),
+    "snapshot_of_missing_profiles": _query(
+        (LINES, MONTHS, USERS, DIRTY_USERS),
+        "SELECT DISTINCT client_id, 'none yet' AS profiles FROM months UNION ALL "
+        "SELECT DISTINCT client_id, 'written' AS profiles FROM months "
+        "WHERE client_id NOT IN (SELECT id FROM dirty_users)",
+    ),
+    "silver_transactions": _CLEANED,
+    "silver_transactions_salted": _CLEANED,
     "silver_users": _query((USERS,), "SELECT * FROM users"),
     "timestamps_parsed": _query((LINES,), "SELECT id, date FROM lines"),
     "contract_valid": _query(
@@ -323,7 +369,8 @@ ORACLE: dict[str, str] = {
     ),
     "contract_rejected": _query(
         (CONTRACT,),
-        "SELECT transaction_id, date AS raw_date, CAST(amount AS VARCHAR) AS raw_amount, reason "
+        "SELECT transaction_id, date AS raw_date, CAST(amount AS VARCHAR) AS raw_amount, "
+        "chr(9) || ' ' || lower(merchant_name) || ' ' || chr(10) AS raw_merchant_name, category, reason "
         "FROM judged WHERE reason <> ''",
     ),
     "discretionary_tags": _query(
@@ -332,16 +379,8 @@ ORACLE: dict[str, str] = {
         f"({_quoted(DISCRETIONARY_CATEGORIES)}) THEN abs(amount) ELSE 0.0 END AS is_discretionary "
         "FROM lines WHERE amount < 0",
     ),
-    "transactions_with_users": _query(
-        (LINES, USERS),
-        "SELECT lines.id AS transaction_id, client_id, amount, card_id, current_age, gender, "
-        "yearly_income, credit_score FROM lines LEFT JOIN users ON client_id = users.id",
-    ),
-    "transactions_with_users_salted": _query(
-        (LINES, USERS),
-        "SELECT lines.id AS transaction_id, client_id, amount, credit_score "
-        "FROM lines LEFT JOIN users ON client_id = users.id",
-    ),
+    "transactions_with_users": _WITH_USERS,
+    "transactions_with_users_salted": _WITH_USERS,
     "monthly_spend": _MONTHLY,
     "time_series_features": _TIME_SERIES,
     "time_series_min_history": _query(
@@ -378,6 +417,21 @@ ORACLE: dict[str, str] = {
         "ORDER BY features.avg_monthly_discretionary DESC, client_id LIMIT 50",
     ),
     "portfolio_recommendations": _query(RECOMMENDED, _RECOMMENDATION),
+    "allocation_statuses": _query(
+        (
+            """asks AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS client_id,
+         CASE WHEN c_mktsegment <> 'BUILDING' THEN c_acctbal END AS budget,
+         CASE WHEN c_mktsegment <> 'MACHINERY' THEN c_nationkey % 12
+              WHEN c_nationkey < 20 THEN c_nationkey % 4 END AS risk,
+         CASE WHEN c_nationkey <> 13 THEN c_custkey % 11 END AS horizon
+  FROM customer)""",
+            ALLOCATION,
+        ),
+        "SELECT client_id, status, "
+        + ", ".join(f"CASE WHEN status IN ('OPTIMAL', 'NO_BUDGET') THEN {a.name} END AS {a.name}" for a in ASSETS)
+        + " FROM plan",
+    ),
     "allocation_rows": _query(RECOMMENDED, _LONG),
     "positive_allocations": _query(RECOMMENDED, f"SELECT * FROM ({_LONG}) WHERE amount > 0"),
     "portfolio_return_and_risk": _query(
@@ -413,7 +467,8 @@ ORACLE: dict[str, str] = {
     "client_snapshots_one_pass": _SNAPSHOTS,
     "clients_without_history": _query(
         (LINES, USERS, MONTHS),
-        "SELECT id AS client_id FROM users WHERE id NOT IN (SELECT client_id FROM months)",
+        "SELECT id AS client_id FROM users WHERE id NOT IN "
+        "(SELECT client_id FROM months WHERE txn_month < '1993-01')",
     ),
     "client_histories": _TIME_SERIES,
     "spend_trend": _query(
@@ -430,7 +485,12 @@ ORACLE: dict[str, str] = {
         f"{_BUDGET_LEFT} AS safe_investable_budget, status, Savings, Bonds, ETFs, Crypto FROM plan",
     ),
     "advisor_responses": _query(
-        ADVISED, "SELECT client_id, predicted_expense, status, Crypto FROM plan"
+        ADVISED,
+        f"SELECT client_id, round(monthly_income, 6) AS monthly_income, predicted_expense, "
+        f"{_BUDGET_LEFT} AS safe_investable_budget, status, Savings, Bonds, ETFs, Crypto FROM plan",
+    ),
+    "advisor_plan_model": _query(
+        ADVISED, "SELECT client_id, round(monthly_income, 6) AS monthly_income FROM plan"
     ),
     "advisor_display": _query(
         ADVISED,
@@ -463,11 +523,7 @@ ORACLE: dict[str, str] = {
     "naive_errors": _query(
         TRAINING,
         " UNION ALL ".join(
-            (
-                _naive("raw", "spend_1_month_ago", "current_month_spend", "is_test"),
-                _naive("smoothed", "spend_1_month_ago", "smoothed_target_spend", "is_test"),
-                _naive("next", "smoothed_target_spend", "next_smoothed_spend", "is_test_next"),
-            )
+            _naive(*t) for t in _TARGETS
         ),
     ),
     "time_folds": _query(
@@ -487,6 +543,23 @@ ORACLE: dict[str, str] = {
         "CAST(sum(n) FILTER (position > t) AS BIGINT) AS test_rows "
         "FROM cut WHERE position <= t + b GROUP BY fold",
     ),
+    "forecast_scores": _query(
+        TRAINING,
+        "SELECT client_id, txn_month, smoothed_target_spend AS label, spend_1_month_ago AS naive, is_test "
+        "FROM labelled WHERE smoothed_target_spend IS NOT NULL",
+    ),
+    "forecast_report": _query(TRAINING, " UNION ALL ".join(_report(*t) for t in _TARGETS)),
+    "forecast_runs": _query(
+        TRAINING,
+        " UNION ALL ".join(
+            f"SELECT 'spend_forecaster' AS run_name, target, '200' AS trees, '6' AS depth, '0.1' AS rate, "
+            f"train_rows, test_rows, naive_mae FROM ({_report(*t)})"
+            for t in _TARGETS
+            if t[0] != "raw"
+        ),
+    ),
+    "grid_search": "SELECT * FROM (VALUES (3), (4), (6)) a(max_depth), (VALUES (0.01::DOUBLE), (0.1::DOUBLE)) b(step_size), "
+    "(VALUES (100), (200)) c(trees)",
     "daily_refresh": _query(RECOMMENDED, _RECOMMENDATION),
     "daily_refresh_bucketed": _TIME_SERIES,
     "stream_silver": _SILVER,

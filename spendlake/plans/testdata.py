@@ -119,6 +119,52 @@ def bronze_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select(*[text.get(n, _line_column(n)).alias(n) for n in names])
 
 
+def dirty_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with rows that cleaning has to drop, told by the line's tax and return flag.
+
+    A comma in the city makes a CSV line without quotes too long; further rows have an amount that
+    is no number or out of bounds, or lack their id or their client.
+    """
+    clean = bronze_transactions(spark, sf_dir)
+    lines = _order_lines(spark, sf_dir, with_part=True)
+    tax, flag = F.col("l_tax"), F.col("l_returnflag")
+    text = {
+        "date": F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"),
+        "amount": F.when(tax == 0.07, "n/a").when((tax == 0.06) & (flag == "A"), "$1000000.00").otherwise(_amount_text()),
+        "merchant_city": F.when(tax == 0.08, F.concat(_line_column("merchant_city"), F.lit(", West"))).otherwise(_line_column("merchant_city")),
+        "id": F.when(~((tax == 0.05) & (flag == "N")), _line_column("id")),
+        "client_id": F.when(~((tax == 0.04) & (flag == "R")), _line_column("client_id")),
+    }
+    return lines.select(*[text.get(n, _line_column(n)).alias(n) for n in clean.columns])
+
+
+def dirty_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users as text, some with an age that is no number, an income that is none, or no id."""
+    users = bronze_users(spark, sf_dir)
+    users = users.select(*[F.col(c).cast("string").alias(c) for c in users.columns])
+    horizon = F.col("retirement_age").cast("int") - F.col("current_age").cast("int")
+    return users.withColumns(
+        {
+            "current_age": F.when(horizon == 3, "unknown").otherwise(F.col("current_age")),
+            "yearly_income": F.when(horizon == 5, "none").otherwise(F.col("yearly_income")),
+            "id": F.when(horizon != 7, F.col("id")),
+        }
+    )
+
+
+def allocation_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as requests, with budgets, risks and horizons that are missing, NaN or too low."""
+    segment, nation = F.col("c_mktsegment"), F.col("c_nationkey")
+    budget = F.when(segment == "BUILDING", F.when(nation % 2 == 0, F.lit(float("nan")))).otherwise(F.col("c_acctbal"))
+    risk = F.when(segment == "MACHINERY", F.when(nation < 20, (nation % 4).cast("double")).otherwise(F.lit(float("nan"))))
+    return table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("client_id"),
+        budget.alias("budget"),
+        F.coalesce(risk, F.when(segment != "MACHINERY", (nation % 12).cast("double"))).alias("risk"),
+        F.when(nation != 13, (F.col("c_custkey") % 11).cast("int")).alias("horizon"),
+    )
+
+
 def silver_transactions(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
     """The named silver columns, or all, typed straight from the tables.
 

@@ -57,10 +57,9 @@ ADVISOR_REQUEST = _struct(
     "current_month_spend double, spend_1_month_ago double, spend_2_months_ago double"
 )
 
-# Money is summed exactly, so totals do not depend on the order rows arrive in: per client as
-# whole ten-thousandths, over all clients as decimals (a sum of decimal(18,6) is decimal(28,6)).
-UNITS = 10_000
-MONEY = T.DecimalType(18, 6)
+# Money is summed as decimals, so totals do not depend on the order rows arrive in. Ten places hold
+# any amount a file may carry; a sum of these is decimal(38,10).
+MONEY = T.DecimalType(28, 10)
 
 # Exclusive bounds of the silver filter, inclusive bounds of the record contract.
 AMOUNT_BOUND = 1_000_000

@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import math
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: AQE merges small shuffle partitions but never adds any, so it starts from many.
+INITIAL_PARTITIONS = 16_384
+
 BASE_CONF = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(INITIAL_PARTITIONS),
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -24,6 +29,7 @@ BASE_CONF = {
 LOCAL_CONF = {
     "spark.ui.enabled": "false",
     "spark.sql.shuffle.partitions": "8",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8",
     "spark.driver.memory": "8g",
 }
 
@@ -34,6 +40,9 @@ DELTA_CONF = {
     "spark.sql.catalog.spark_catalog": "org.apache.spark.sql.delta.catalog.DeltaCatalog",
 }
 
+# Scratch folders of applications that the JVM already knows to delete.
+_marked: set[str] = set()
+
 
 def get_spark(
     app_name: str = "spendlake",
@@ -46,14 +55,16 @@ def get_spark(
 
     ``master`` stays unset on a cluster, where the submit command names it. ANSI mode is left
     at Spark 4's default (on); the operators use ``try_*`` where bad input must become null.
-    ``delta`` needs the Delta package on the classpath. ``shuffle_bytes`` is the size of the
-    largest expected exchange, about 40 bytes per client and month.
+    ``delta`` needs the Delta package on the classpath. ``shuffle_bytes``, the size of the largest
+    expected exchange, replaces the default start of :data:`INITIAL_PARTITIONS`, which suits
+    exchanges of up to two terabytes: about 40 bytes per client and month for the roll-up, the
+    width of a row for joins of transactions.
     """
     builder = SparkSession.builder.appName(app_name)
     settings = dict(BASE_CONF)
     if master is not None:
         builder = builder.master(master)
-        if master.startswith("local"):
+        if is_local(master):
             settings.update(LOCAL_CONF)
     if shuffle_bytes is not None:
         settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(
@@ -76,6 +87,11 @@ def shuffle_partitions_for(shuffle_bytes: int, target_bytes: int = 128 << 20, co
     return max(cores, math.ceil(shuffle_bytes / target_bytes))
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executor are one process; ``local-cluster`` has executors of its own."""
+    return re.fullmatch(r"local(\[.*\])?", master) is not None
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -84,7 +100,7 @@ def scratch_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not context.master.startswith("local"):
+        if not is_local(context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         root = tempfile.mkdtemp(prefix="spendlake-")
     if context.getCheckpointDir() is None:
@@ -93,8 +109,19 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """Fresh folder below :func:`scratch_root`, grouped by application for later clean-up."""
-    return f"{scratch_root(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    """Fresh folder below :func:`scratch_root`, in one of the application's own.
+
+    The application's folder goes when the driver's JVM ends, whatever file system it is on.
+    """
+    own = f"{scratch_root(spark)}/{spark.sparkContext.applicationId}"
+    if own not in _marked:
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(own)
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _marked.add(own)
+    return f"{own}/{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -106,3 +133,8 @@ def materialize(df: DataFrame) -> DataFrame:
     path = scratch_dir(df.sparkSession)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stored_bytes(df: DataFrame) -> int:
+    """Size of the files that ``df`` reads, as Spark's own statistics have it; no job runs."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())

@@ -79,11 +79,15 @@ def read_mcc_json(spark: SparkSession, path: str) -> DataFrame:
     """Rows ``(mcc, category_name)`` from one flat JSON object ``{"5812": "Restaurants", ...}``.
 
     Read as a map, so there is no inference pass with one column per code, and codes may contain
-    dots. A code given twice keeps its last name, so the join on it can never multiply rows.
+    dots. A code given twice keeps its last name, so the join on it can never multiply rows. A file
+    that is no JSON object fails the job: no rows would turn every category into an unknown one.
     """
+    codes = F.from_json("value", "map<string,string>", {"mode": "FAILFAST"})
+    unreadable = F.raise_error(F.lit(f"no JSON object of category codes: {path}"))
     entries = (
         spark.read.text(path, wholetext=True)
-        .select(F.from_json("value", "map<string,string>").alias("codes"))
+        .agg(F.max("value").alias("value"))  # one row, also of an empty file
+        .select(F.coalesce(codes, unreadable.cast("map<string,string>")).alias("codes"))
         .select(F.posexplode("codes").alias("position", "mcc", "category_name"))
     )
     return entries.groupBy("mcc").agg(

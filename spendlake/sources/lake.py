@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -42,22 +43,43 @@ def write_bucketed(
     """Replace the external parquet table ``name``, hashed into ``buckets`` files by ``keys``.
 
     Later group-bys, windows and joins on ``keys`` read it without a shuffle. Only for tables
-    in which no key value can be hot, because one task reads one bucket.
+    in which no key value can be hot, because one task reads one bucket. Each run writes a folder
+    of its own below ``path`` and takes over the name once it is whole; a run that fails leaves the
+    earlier table as it was. The folder replaced is deleted last.
     """
     spark = df.sparkSession
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    (
-        df.repartition(buckets, *keys)
-        .write.format("parquet")
-        .mode("overwrite")
-        .bucketBy(buckets, *keys)
-        .sortBy(*sort)
-        .option("path", path)
-        .saveAsTable(name)
-    )
+    run = uuid.uuid4().hex
+    fresh = f"{name}_{run}"
+    try:
+        (
+            df.repartition(buckets, *keys)
+            .write.format("parquet")
+            .bucketBy(buckets, *keys)
+            .sortBy(*sort)
+            .option("path", f"{path}/{run}")
+            .saveAsTable(fresh)
+        )
+        old = _location(spark, name)
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+        raise
+    if old is not None:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(old)
+        files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.delete(folder, True)
     return spark.table(name)
 
 
+def _location(spark: SparkSession, name: str) -> str | None:
+    """Folder of a catalog table, or None if there is no such table."""
+    if not spark.catalog.tableExists(name):
+        return None
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").collect()
+    return rows[0]["data_type"] if rows else None
+
+
 def table_exists(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT) -> bool:
     try:
         read_table(spark, path, fmt)

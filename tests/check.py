@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -63,7 +64,8 @@ def main(sf_dir: str, names: list[str]) -> int:
     from __spark_entry__ import oracle_sql, queries
     from spendlake.session import get_spark
 
-    spark = get_spark("check", "local[8]")
+    folder = tempfile.TemporaryDirectory(prefix="check-")
+    spark = get_spark("check", "local[8]", {"spark.checkpoint.dir": folder.name})
     spark.sparkContext.setLogLevel("ERROR")
     connection, sqls, failed = connect(sf_dir), oracle_sql(), 0
     for name, query in queries().items():

@@ -150,3 +150,22 @@ def test_offers(spark):
         "edge": ("OPTIMAL", "Basic_Debit+Standard_Credit", 120, 160),
         "zero": ("OPTIMAL", "", 0, 0),
     }
+
+
+@pytest.mark.parametrize("bad", [float("nan"), float("inf"), float("-inf"), None])
+@pytest.mark.parametrize("place", [0, 1])
+def test_inputs_that_are_no_numbers(spark, bad, place):
+    values = [1000.0, 5.0]
+    values[place] = bad
+    row = allocate(asks(spark, (*values, 10))).first()
+    assert row.status == "MISSING_INPUT" and row.Savings is None and row.Crypto is None
+
+
+def test_horizon_that_is_no_number(spark):
+    rows = spark.createDataFrame([(1000.0, 5.0, float("nan")), (1000.0, 5.0, None)], "b double, r double, h double")
+    assert {r.status for r in allocate(rows, "b", "r", "h").collect()} == {"MISSING_INPUT"}
+
+
+def test_no_budget_needs_a_number(spark):
+    rows = asks(spark, (0.0, float("nan"), 3), (-5.0, None, None))
+    assert {r.status for r in allocate(rows).collect()} == {"NO_BUDGET"}

@@ -3,18 +3,20 @@ from pyspark.sql import functions as F
 
 from spendlake.functions import (
     cents,
-    cents_from_units,
+    cents_from_exact,
     clean_category,
     clean_merchant,
     display_amount,
+    exact,
+    from_exact,
+    is_number,
     month_label,
     month_start,
     normalize_month,
     parse_money,
     parse_timestamp,
-    to_units,
 )
-from spendlake.operators.cleaning import clean_transactions, clean_users, split_contract
+from spendlake.operators.cleaning import clean_transactions, clean_users, split_contract, store_contract
 from spendlake.operators.enrich import add_category, add_users, fits_broadcast
 from spendlake.schemas import BRONZE_TRANSACTIONS, BRONZE_USERS
 
@@ -56,12 +58,22 @@ def test_rounding(spark):
     assert values(spark, "double", [2.675, 0.125, -0.125, 12.344999999999999], cents) == [
         2.68, 0.13, -0.13, 12.35,
     ]
-    halves = values(spark, "double", [0.01, 1.005, 999999.99, -0.07], to_units)
-    assert halves == [100, 10050, 9999999900, -700]
-    mean = values(spark, "double", [150.0, 50.0, 250.0, -150.0], cents_from_units)
+    mean = values(spark, "double", [0.015, 0.005, 0.025, -0.015], lambda c: cents_from_exact(exact(c)))
     assert mean == [0.02, 0.01, 0.03, -0.02]
 
 
+def test_numbers(spark):
+    inf = float("inf")
+    assert values(spark, "double", [1.0, None, float("nan"), inf, -inf], is_number) == [True] + [False] * 4
+
+
+def test_sums_round_nothing_away(spark):
+    small = spark.createDataFrame([(0.00004,)] * 10 + [(-0.0000000001,)], "x double")
+    assert small.agg(from_exact(F.sum(exact(F.col("x"))))).first()[0] == 0.0003999999
+    large = spark.range(1000).select(F.lit(9e14).alias("x"))
+    assert large.agg(from_exact(F.sum(exact(F.col("x"))))).first()[0] == 9e17
+
+
 def test_display(spark):
     assert values(spark, "double", [1234.5, -5.0, 0.0], display_amount) == [
         "$1,234.50", "$-5.00", "$0.00",
@@ -147,6 +159,19 @@ def test_contract(spark):
     }
 
 
+def test_stored_contract_judges_once(spark, tmp_path, plan_of):
+    rows = spark.createDataFrame(
+        [("1", "2020-01-01", "1", "m"), ("2", "no", "2", "m"), (None, "2020-01-01", "x", None)],
+        "transaction_id string, date string, amount string, merchant_name string",
+    )
+    stored, lazy = store_contract(rows, str(tmp_path / "judged")), split_contract(rows)
+    for one, other in zip(stored, lazy):
+        assert one.columns == other.columns and sorted(map(str, one.collect())) == sorted(map(str, other.collect()))
+        plan = plan_of(one)
+        assert "PartitionFilters" in plan and "LocalTableScan" not in plan  # reads its part of the judged rows
+    assert store_contract(rows.limit(0), str(tmp_path / "none")).valid.count() == 0
+
+
 def test_contract_without_category_column(spark):
     rows = spark.createDataFrame(
         [("1", "2020-01-01", 1.0, "m")],

@@ -2,7 +2,6 @@ import json
 
 import pytest
 
-from spendlake.operators.forecast import load_model, model_forecast
 from spendlake.operators.cleaning import clean_transactions
 from spendlake.operators.enrich import add_category
 from spendlake.operators.monthly import client_months, time_series_features
@@ -37,16 +36,22 @@ def test_whole_run(spark, raw, tmp_path):
     plans = lake.read(spark, daily.RECOMMENDATIONS)
     assert plans.count() == features.count() == series.select("client_id").distinct().count() > 0
 
-    daily.refresh_forecaster(spark, lake, trees=3, depth=3)
-    model = load_model(lake.path(daily.MODEL))
+    args = (f"{raw}/transactions", f"{raw}/users", f"{raw}/mcc.json", str(tmp_path))
+    daily.run_pipeline(spark, *args, stages=["advisor"])  # warns and goes on without a model
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        lake.read(spark, daily.ADVISOR_PLAN)
+    daily.run_pipeline(spark, *args, stages=["forecaster"], trees=3, depth=3)
     assert lake.read(spark, daily.MODEL_RUNS).first().params["trees"] == "3"
-    daily.refresh_advisor(spark, lake, model_forecast(model))
+    daily.run_pipeline(spark, *args, stages=["advisor"])
     advice = lake.read(spark, daily.ADVISOR_PLAN)
     assert advice.count() == features.count()
+    assert lake.read(spark, daily.MODEL_RUNS).count() == 1  # the advisor fitted nothing
+    daily.refresh_forecaster(spark, lake, "raw", trees=1, depth=1)
+    assert not daily.refresh_advisor(spark, lake)  # needs lags a snapshot lacks
 
     bucketed = daily.run_pipeline(
         spark, f"{raw}/transactions", f"{raw}/users", f"{raw}/mcc.json", str(tmp_path / "b"),
-        bucketed_as="months_of_clients", buckets=4,
+        bucketed_as="months_of_clients",
     )
     assert same(series, bucketed.read(spark, daily.TIME_SERIES))
     assert same(features, bucketed.read(spark, daily.USER_FEATURES))
@@ -64,6 +69,21 @@ def test_gold_reads_only_what_it_needs(spark, sf_dir, tmp_path, plan_of):
     assert "category_name" not in plan  # the unused discretionary sum is pruned with its input
 
 
+def test_switches_of_the_job(spark, raw, tmp_path, plan_of):
+    args = (f"{raw}/transactions", f"{raw}/users", f"{raw}/mcc.json")
+    plain = daily.run_pipeline(spark, *args, str(tmp_path / "a"))
+    other = daily.run_pipeline(
+        spark, *args, str(tmp_path / "b"), parse_dates=True, by_month=True, min_history=2
+    )
+    silver = other.read(spark, daily.SILVER_TRANSACTIONS)
+    assert dict(silver.dtypes)["date"] == "timestamp"
+    assert "PartitionFilters: [isnotnull(txn_month" in plan_of(silver.filter("txn_month = '1995-01'"))
+    assert same(plain.read(spark, daily.USER_FEATURES), other.read(spark, daily.USER_FEATURES))
+    months, late = (x.read(spark, daily.TIME_SERIES) for x in (plain, other))
+    clients = months.groupBy("client_id").count().filter("count > 2").selectExpr("sum(count - 2)").first()[0]
+    assert late.count() == clients
+
+
 def test_single_stages(spark, raw, tmp_path):
     args = (f"{raw}/transactions", f"{raw}/users", f"{raw}/mcc.json", str(tmp_path))
     lake = daily.run_pipeline(spark, *args, stages=["transactions", "client_months"])

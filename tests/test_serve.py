@@ -53,7 +53,7 @@ def test_ids_and_counts(series, profiles):
 
 def test_latest_month(series):
     rows = {r.client_id: r.txn_month for r in latest_month(series).collect()}
-    assert rows == {"1": "2020-03", "2": "2020-02", "3": "bad"}
+    assert rows == {"1": "2020-03", "2": None, "3": "bad"}
 
 
 def test_latest_month_prunes_before_the_shuffle(spark, series, tmp_path, plan_of):
@@ -66,7 +66,7 @@ def test_snapshots(series, profiles):
     snapshot = client_snapshots(series, profiles)
     assert {r.client_id: tuple(r)[1:] for r in snapshot.collect()} == {
         "1": (5000.0, 5, 15, 200.0, 100.0, None),
-        "2": (10.0, 3, 4, 50.0, None, None),
+        "2": (10.0, 3, 4, 7.0, None, None),
     }
     assert [r.client_id for r in clients_without_profile(series, profiles).collect()] == ["3"]
     assert [r.client_id for r in clients_without_history(series, profiles).collect()] == ["4"]
@@ -119,6 +119,27 @@ def test_one_pass_equals_join_of_tables(spark, sf_dir):
     assert sorted(map(tuple, one.collect())) == sorted(map(tuple, joined.collect()))
 
 
+def test_both_snapshot_forms_settle_odd_rows_alike(spark, sf_dir):
+    """Unreadable months and repeated users."""
+    from spendlake.operators.monthly import client_months, time_series_features
+    from spendlake.operators.profile import user_portfolio_features
+    from spendlake.plans import testdata
+
+    users = testdata.silver_users(spark, sf_dir).limit(3)
+    users = users.union(users.withColumn("yearly_income", F.col("yearly_income") + 1200))
+    first, second, third = sorted(r.id for r in users.select("id").distinct().collect())
+    rows = [
+        (first, "no date", -5.0), (second, "2020-01-05", -7.0), (second, "?", -9.0), (second, "2020-03-01", -11.0),
+        (third, "2020-01-05", -1.0), (third, "2020-02-05", -2.0),
+    ]
+    months = client_months(spark.createDataFrame(rows, "client_id string, date string, amount double"))
+    joined = client_snapshots(time_series_features(months), user_portfolio_features(users, months))
+    one = snapshots_from_months(users, months).withColumnRenamed("risk_tolerance_score", "risk_score")
+    found = sorted(map(str, joined.collect()))
+    assert found == sorted(map(str, one.select(joined.columns).collect())) and len(found) == 3
+    assert {r.client_id: r.current_month_spend for r in joined.collect()} == {first: 5.0, second: 9.0, third: 2.0}
+
+
 def requests(spark, *rows):
     return spark.createDataFrame(list(rows), ADVISOR_REQUEST)
 

@@ -1,11 +1,15 @@
 import json
+import os
+import subprocess
+import sys
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from spendlake.operators.forecast import load_model_if_saved
 from spendlake.schemas import BRONZE_TRANSACTIONS, TIME_SERIES_FEATURES
-from spendlake.session import materialize, scratch_dir, shuffle_partitions_for
+from spendlake.session import BASE_CONF, is_local, materialize, scratch_dir, shuffle_partitions_for
 from spendlake.sources import (
     asset_table,
     card_product_table,
@@ -22,6 +26,7 @@ from spendlake.sources import (
 )
 from spendlake.sources.lake import write_bucketed
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 HEADER = ",".join(BRONZE_TRANSACTIONS.fieldNames())
 USER_HEADER = (
     "id,current_age,retirement_age,birth_year,birth_month,gender,address,latitude,longitude,"
@@ -132,9 +137,24 @@ def test_bucketed_table_needs_no_shuffle(spark, tmp_path, plan_of):
     df = write_bucketed(rows, "b_test", str(tmp_path / "b"), 4, ["client_id"], ["client_id"])
     assert "Exchange" not in plan_of(df.groupBy("client_id").count())
     assert df.count() == 100
+    again = write_bucketed(rows.filter("client_id > 3"), "b_test", str(tmp_path / "b"), 2, ["client_id"], ["client_id"])
+    assert again.count() == rows.filter("client_id > 3").count()
+    assert len([p for p in (tmp_path / "b").iterdir() if p.is_dir()]) == 1  # the folder replaced is gone
+    bad = rows.withColumn("month_start", F.raise_error(F.lit("stop")).cast("long"))
+    with pytest.raises(Exception, match="stop"):
+        write_bucketed(bad, "b_test", str(tmp_path / "b"), 2, ["client_id"], ["client_id"])
+    assert spark.table("b_test").count() == again.count()  # a failed run leaves the table as it was
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("b_test_")]
     spark.sql("DROP TABLE b_test")
 
 
+@pytest.mark.parametrize("text", ['{"1": "a", "2": ', '["a", "b"]', "", "7"])
+def test_unreadable_dictionary_fails(spark, tmp_path, text):
+    (tmp_path / "mcc.json").write_text(text)
+    with pytest.raises(Exception, match="MALFORMED_RECORD|no JSON object"):
+        read_mcc_json(spark, str(tmp_path / "mcc.json")).collect()
+
+
 def test_missing_table_is_empty(spark, tmp_path):
     path = str(tmp_path / "none")
     assert not table_exists(spark, path)
@@ -176,6 +196,40 @@ def test_cluster_must_name_a_shared_folder():
         scratch_dir(Session())
 
 
+def test_scratch_goes_with_the_application(tmp_path):
+    code = (
+        "from spendlake.session import get_spark, materialize\n"
+        f"spark = get_spark('t', 'local[1]', {{'spark.checkpoint.dir': {str(tmp_path)!r}}})\n"
+        "df = materialize(spark.range(3))\n"
+        "print(df.inputFiles()[0], df.count())\n"
+    )
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=ROOT, timeout=300)
+    assert done.returncode == 0 and str(tmp_path) in done.stdout
+    deadline = time.time() + 30
+    while list(tmp_path.rglob("*.parquet")) and time.time() < deadline:
+        time.sleep(0.5)
+    assert not list(tmp_path.rglob("*.parquet"))
+
+
+def test_local_masters_only():
+    assert [is_local(m) for m in ("local", "local[4]", "local[*]", "local-cluster[2,1,1024]", "yarn")] == [
+        True, True, True, False, False,
+    ]
+
+
+def test_shuffles_start_from_many_partitions(spark, plan_of):
+    assert int(BASE_CONF["spark.sql.adaptive.coalescePartitions.initialPartitionNum"]) >= 10_000
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, BASE_CONF[key])
+        wide = spark.createDataFrame([("a",)], "client_id string")
+        plan = plan_of(wide.groupBy("client_id").count())
+        assert f", {BASE_CONF[key]}), ENSURE_REQUIREMENTS" in plan
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_shuffle_sizing():
     assert shuffle_partitions_for(0) == 8
     assert shuffle_partitions_for(10 << 40) == 81920
