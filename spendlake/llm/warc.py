@@ -83,7 +83,10 @@ def record(page_id: int | None, url: str | None, digest: str, refers_to: int | N
 
 def train_dictionary(pages: DataFrame) -> bytes:
     """Dictionary from the beginnings of a bounded sample of records; empty if they are too few."""
-    sample = bottom_rows(pages.select("page_id", "url", F.substring(payload(), 1, SAMPLE_BYTES).alias("body")), "page_id", SAMPLE_RECORDS)
+    chosen = bottom_rows(pages.select("page_id").filter("page_id is not null").distinct(), "page_id", SAMPLE_RECORDS)
+    sample = pages.select("page_id", "url", F.substring(payload(), 1, SAMPLE_BYTES).alias("body"))
+    # the ids of at most SAMPLE_RECORDS pages are sent out, their beginnings come back
+    sample = sample.join(F.broadcast(chosen), "page_id").dropDuplicates(["page_id"]).orderBy("page_id")
     records = [
         record(r.page_id, r.url, hashlib.sha256(r.body).hexdigest(), None, bytes(r.body)) for r in sample.collect()
     ]
