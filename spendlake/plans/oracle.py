@@ -552,10 +552,9 @@ ORACLE: dict[str, str] = {
     "forecast_runs": _query(
         TRAINING,
         " UNION ALL ".join(
-            f"SELECT 'spend_forecaster' AS run_name, target, '200' AS trees, '6' AS depth, '0.1' AS rate, "
-            f"train_rows, test_rows, naive_mae FROM ({_report(*t)})"
-            for t in _TARGETS
-            if t[0] != "raw"
+            f"SELECT 'spend_forecaster' AS run_name, target, '{trees}' AS trees, '{depth}' AS depth, "
+            f"'0.1' AS rate, train_rows, test_rows, naive_mae FROM ({_report(*t)})"
+            for t, trees, depth in ((_TARGETS[1], 200, 6), (_TARGETS[2], 100, 4))
         ),
     ),
     "grid_search": "SELECT * FROM (VALUES (3), (4), (6)) a(max_depth), (VALUES (0.01::DOUBLE), (0.1::DOUBLE)) b(step_size), "
