@@ -5,9 +5,8 @@
 3. A vantage-point tree over a bounded sample splits the space into shards. At each node a point
    with distance at most ``radius`` beyond the inner ball is also sent inside as a guest, so by the
    triangle bound every pair within ``max_bits`` meets in at least one shard.
-4. Inside a shard the same split goes on in memory down to small leaves, where all pairs that hold
-   at least one non-guest are compared. A leaf reports each linked point with one partner, never
-   all pairs of a dense group.
+4. Inside a shard the same split goes on in memory down to small leaves, where all pairs are
+   compared. A leaf reports each linked point with one partner, never all pairs of a dense group.
 5. Components of those links name each document's group.
 """
 
@@ -130,33 +129,33 @@ def build_tree(sample: np.ndarray, per_leaf: float, radius: int) -> tuple[list[t
     return nodes, leaves
 
 
-def route(
-    points: np.ndarray, nodes: list[tuple], radius: int
-) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """``(shard, points, home)`` for every shard that the points reach; home is false for guests."""
-    stack = [(0 if nodes else -1, points, np.ones(len(points), bool))]
+def route(points: np.ndarray, nodes: list[tuple], radius: int) -> Iterator[tuple[int, np.ndarray]]:
+    """``(shard, points)`` for every shard that the points reach.
+
+    Two points in reach of each other go the same way at every node, or meet inside: if one is
+    beyond the cut, the other is beyond it too or less than ``radius`` nearer.
+    """
+    stack = [(0 if nodes else -1, points)]
     while stack:
-        at, own, home = stack.pop()
+        at, own = stack.pop()
         if not len(own):
             continue
         if at < 0:
-            yield -at - 1, own, home
+            yield -at - 1, own
             continue
         vantage, cut, inside, outside = nodes[at]
         far = _distance(own, vantage)
-        near, beyond = far <= cut + radius, far > cut
-        stack.append((inside, own[near], home[near] & (far[near] <= cut)))
-        stack.append((outside, own[beyond], home[beyond]))
+        stack.append((inside, own[far <= cut + radius]))
+        stack.append((outside, own[far > cut]))
 
 
 def _route_batches(batches, nodes, radius) -> Iterator[pa.RecordBatch]:
     held, size = [], 0
 
     def sent() -> Iterator[pa.RecordBatch]:
-        for shard, own, home in route(np.concatenate(held), nodes, radius):
+        for shard, own in route(np.concatenate(held), nodes, radius):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(own), shard, np.int32)), pa.array(own.view(np.int64)), pa.array(home)],
-                ["shard", "fp", "home"],
+                [pa.array(np.full(len(own), shard, np.int32)), pa.array(own.view(np.int64))], ["shard", "fp"]
             )
         held.clear()
 
@@ -183,14 +182,13 @@ def _settle(adjacent: np.ndarray) -> np.ndarray:
         label = new
 
 
-def _compare(points: np.ndarray, home: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _compare(points: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Links of an unsplittable set, block against block, a spanning set of links per block pair."""
     size = 1024
     for i in range(0, len(points), size):
         for j in range(i, len(points), size):
             a, b = points[i : i + size], points[j : j + size]
             close = np.bitwise_count(a[:, None] ^ b[None, :]) <= radius
-            close &= home[i : i + size, None] | home[None, j : j + size]
             if i == j:
                 np.fill_diagonal(close, False)
             if not close.any():
@@ -206,31 +204,26 @@ def _compare(points: np.ndarray, home: np.ndarray, radius: int) -> Iterator[tupl
             yield both[linked], both[label[linked]]
 
 
-def link(points: np.ndarray, home: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Links among the points of one shard whose components are those of all pairs in reach.
-
-    Pairs of two guests are left to the shard where one of them is at home.
-    """
-    stack = [(points, home)]
+def link(points: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Links among the points of one shard whose components are those of all pairs in reach."""
+    stack = [points]
     while stack:
-        own, mine = stack.pop()
-        if len(own) < 2 or not mine.any():
+        own = stack.pop()
+        if len(own) < 2:
             continue
         split = _best_split(own, radius) if len(own) > LEAF_ROWS else None
         if split is None:
-            yield from _compare(own, mine, radius)
+            yield from _compare(own, radius)
             continue
         vantage, cut = split
         far = _distance(own, vantage)
-        near, beyond = far <= cut + radius, far > cut
-        stack.append((own[near], mine[near] & (far[near] <= cut)))
-        stack.append((own[beyond], mine[beyond]))
+        stack.append(own[far <= cut + radius])
+        stack.append(own[far > cut])
 
 
 def _link_shard(table: pa.Table, radius: int) -> pa.Table:
     points = table.column("fp").to_numpy().view(np.uint64)
-    home = table.column("home").to_numpy(zero_copy_only=False).astype(bool)
-    found = list(link(points, home, radius))
+    found = list(link(points, radius))
     a = np.concatenate([x for x, _ in found]) if found else np.zeros(0, np.uint64)
     b = np.concatenate([y for _, y in found]) if found else np.zeros(0, np.uint64)
     return pa.table({"a": a.view(np.int64), "b": b.view(np.int64)})
@@ -244,7 +237,7 @@ def near_links(distinct: DataFrame, max_bits: int = MAX_BITS, shard_rows: int =
     ).view(np.uint64)
     nodes, _ = build_tree(sample, shard_rows * len(sample) / max(rows, 1), max_bits)
     routed = distinct.select("fp").mapInArrow(
-        partial(_route_batches, nodes=nodes, radius=max_bits), "shard int, fp long, home boolean"
+        partial(_route_batches, nodes=nodes, radius=max_bits), "shard int, fp long"
     )
 
     def links(table: pa.Table) -> pa.Table:
