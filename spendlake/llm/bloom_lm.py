@@ -3,9 +3,10 @@
 Counts of single words and of word pairs are gathered from all training texts by one shuffle of
 packed hash arrays. A count is stored by its logarithm: a word or pair of level ``q`` is put into
 the filter ``q`` times, under a different name each time, and is looked up by asking for levels
-one after the other until a probe misses. The filter has a fixed largest size and is broadcast;
-where not everything fits, the pairs of lowest count are left out, all of one level together, and
-are scored by their words alone. The plain word score beside it uses exact counts, by a join.
+one after the other until a probe misses. The filter is cut into segments by hash, as many as the
+text asks for and each as large as its words and pairs ask for, so that none is left out. It is not
+broadcast: every chunk of texts sends its distinct words and pairs to their segments, with the
+counts that training texts add, and gets levels back, for words the exact counts too.
 """
 
 from __future__ import annotations
@@ -19,20 +20,22 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spendlake.llm.common import map_arrow, materialize, text_rows, with_row_id
+from spendlake.llm.common import map_arrow, text_rows, with_row_id
 from spendlake.llm.wordhash import BLANK_SEPARATED, hashed_words, mix
 
-#: The filter never exceeds 32 MiB, its segments 8 MiB.
-FILTER_BITS = 1 << 28
-SEGMENT_BITS = 1 << 26
 PROBES = 5
 BITS_PER_PROBE = 1 / np.log(2)
-#: Exact counts of this many frequent words at most are broadcast; the others' come by a join.
+#: Bounds nothing any more: the exact counts of all words come from their segments.
 FREQUENT_WORDS = 1 << 20
-#: Text that one counting group stands for.
-PART_BYTES = 32 << 20
-#: Pairs held by a task before they are sent on.
-HELD_GRAMS = 1 << 22
+#: Text that one segment stands for.
+PART_BYTES = 16 << 20
+#: Bits of a pair's hash below its part: of the few million pairs of a part one in 10**5 meets
+#: another, far fewer than the filter invents; words keep all bits.
+PAIR_BITS = 40
+#: Grams looked up at once.
+LOOKED_UP = 1 << 18
+#: Tokens of a chunk; a longer text is a chunk of its own.
+CHUNK_TOKENS = 1 << 20
 WORD_STEPS, PAIR_STEPS = 4, 1  # levels per doubling of the count
 #: Largest weight of pairs against single words, and the occurrences of a word that give it half.
 PAIR_WEIGHT = 0.4
@@ -45,7 +48,7 @@ _LEVEL = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 class Model(NamedTuple):
-    """The filter's segments and what the scores need besides."""
+    """Segments of the filter and the counts that were put into them."""
 
     bits: np.ndarray
     offsets: np.ndarray
@@ -54,8 +57,8 @@ class Model(NamedTuple):
     words: int
     texts: int
     pair_share: float
-    frequent: np.ndarray
-    frequent_counts: np.ndarray
+    known: np.ndarray
+    known_counts: np.ndarray
 
 
 def held_out(doc_id: Column) -> Column:
@@ -82,48 +85,104 @@ def _part_of(hashes: np.ndarray, part_bits: int) -> np.ndarray:
     return (hashes >> np.uint64(64 - part_bits)).astype(np.int64) if part_bits else np.zeros(len(hashes), np.int64)
 
 
-def _merge(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    if not len(hashes):
-        return hashes, counts
-    order = np.argsort(hashes)
-    hashes, counts = hashes[order], counts[order]
-    first = np.flatnonzero(np.concatenate(([True], hashes[1:] != hashes[:-1])))
-    return hashes[first], np.add.reduceat(counts, first)
+def _pairs_of(which: np.ndarray, lengths: np.ndarray, kinds: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs as indices ``(before, token)`` and each token's pair; ``kinds`` stands for the start."""
+    before = np.empty_like(which)
+    before[1:] = which[:-1]
+    before[np.cumsum(lengths) - lengths] = kinds
+    keys, pair = np.unique(before * (kinds + 1) + which, return_inverse=True)
+    return keys // (kinds + 1), keys % (kinds + 1), pair
 
 
-def _count_batches(batches, part_bits: int) -> Iterator[pa.RecordBatch]:
-    """Words (order 1) and pairs (order 2) with their counts, packed by part; columns text."""
-    held: dict[int, list] = {1: [], 2: []}
+def _by_part(kinds: np.ndarray, first: np.ndarray, second: np.ndarray, part_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Part and hash of pairs of indices in ``PAIR_BITS + part_bits`` bits, and their order."""
+    hashes = pair_hash(np.append(kinds, START)[first], kinds[second]) >> np.uint64(64 - PAIR_BITS - part_bits)
+    return hashes, np.argsort(hashes, kind="stable")
+
+
+def _packed(values: np.ndarray, width: int) -> bytes:
+    """Whole numbers of at most ``width`` bytes, compressed byte by byte."""
+    if not len(values):
+        return b""
+    planes = values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+    return len(values).to_bytes(4, "little") + pa.compress(planes, "zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, width: int) -> np.ndarray:
+    if not data:
+        return np.zeros(0, np.uint64)
+    n = int.from_bytes(data[:4], "little")
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :width] = np.frombuffer(pa.decompress(data[4:], n * width, "zstd", asbytes=True), np.uint8).reshape(width, n).T
+    return out.reshape(-1).view("<u8")
+
+
+_ASKED = pa.schema(
+    [
+        ("part", pa.int64()), ("chunk", pa.int64()), ("words", pa.binary()), ("word_counts", pa.binary()),
+        ("pairs", pa.binary()), ("pair_counts", pa.binary()), ("doc_ids", pa.list_(pa.int64())),
+        ("held", pa.list_(pa.bool_())), ("lengths", pa.binary()), ("order", pa.binary()), ("tokens", pa.binary()),
+    ]
+)
+_ASKED_DDL = (
+    "part long, chunk long, words binary, word_counts binary, pairs binary, pair_counts binary, "
+    "doc_ids array<long>, held array<boolean>, lengths binary, order binary, tokens binary"
+)
+
+
+def _ask_batches(batches, part_bits: int) -> Iterator[pa.RecordBatch]:
+    """Per chunk a row with its texts as word numbers (a part below zero), and for every part a row with
+    its distinct words and pairs and how often training texts have them; columns doc_id, text, held, row_id."""
+    pieces: list[tuple] = []
     size = 0
 
-    def packed() -> Iterator[pa.RecordBatch]:
-        for order, found in held.items():
-            hashes, counts = _merge(
-                np.concatenate([h for h, _ in found]), np.concatenate([c for _, c in found])
+    def sent() -> Iterator[pa.RecordBatch]:
+        chunk = pieces[0][0]
+        ids, held = [i for p in pieces for i in p[1]], np.concatenate([p[2] for p in pieces])
+        lengths = np.concatenate([p[3] for p in pieces])
+        kinds, which = np.unique(np.concatenate([p[4] for p in pieces]), return_inverse=True)
+        pieces.clear()
+        first, second, pair = _pairs_of(which, lengths, len(kinds))
+        pairs, order = _by_part(kinds, first, second, part_bits)
+        learned = np.repeat(~held, lengths)
+        word_counts = np.bincount(which[learned], minlength=len(kinds))
+        pair_counts = np.bincount(pair[learned], minlength=len(pairs))[order]
+        pairs = pairs[order]
+        parts = np.arange((1 << part_bits) + 1)
+        of_word = np.searchsorted(_part_of(kinds, part_bits), parts)
+        of_pair = np.searchsorted((pairs >> np.uint64(PAIR_BITS)).astype(np.int64), parts)
+        frequent = np.argsort(-np.bincount(which, minlength=len(kinds)), kind="stable")
+        rank = np.empty_like(frequent)
+        rank[frequent] = np.arange(len(frequent))
+        rows = [
+            {
+                "part": -1 - chunk, "chunk": chunk, "doc_ids": ids, "held": held.tolist(),
+                "lengths": _packed(lengths, 8), "order": _packed(frequent, 4), "tokens": _packed(rank[which], 4),
+            }
+        ]
+        for part in range(1 << part_bits):  # also without words: its answer has totals
+            w, p = slice(of_word[part], of_word[part + 1]), slice(of_pair[part], of_pair[part + 1])
+            rows.append(
+                {
+                    "part": part, "chunk": chunk, "words": _packed(kinds[w], 8), "word_counts": _packed(word_counts[w], 4),
+                    "pairs": _packed(pairs[p], 8), "pair_counts": _packed(pair_counts[p], 4),
+                }
             )
-            bounds = np.searchsorted(_part_of(hashes, part_bits), np.arange((1 << part_bits) + 1))
-            for part in np.flatnonzero(np.diff(bounds)).tolist():
-                own = slice(bounds[part], bounds[part + 1])
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "part": pa.array([part], pa.int64()), "size": pa.array([order], pa.int32()),
-                        "hashes": pa.array([hashes[own].tobytes()]),
-                        "counts": pa.array([counts[own].astype(np.uint32).tobytes()]),
-                    }
-                )
-            held[order] = []
+        for at in range(0, len(rows), 256):
+            yield pa.RecordBatch.from_pylist(rows[at : at + 256], _ASKED)
 
     for batch in batches:
-        for _, _, tokens, before in token_groups(text_rows(batch)):
-            for order, grams in ((1, tokens), (2, pair_hash(before, tokens))):
-                found, counts = np.unique(grams, return_counts=True)
-                held[order].append((found, counts))
-                size += len(found)
-            if size > HELD_GRAMS:
-                yield from packed()
+        ids, row_ids = batch.column(0).to_pylist(), batch.column(3).to_pylist()
+        held = np.array(batch.column(2).to_pylist(), bool)
+        for a, lengths, tokens, _ in token_groups(text_rows(batch)):
+            b = a + len(lengths)
+            pieces.append((row_ids[a], ids[a:b], held[a:b], lengths, tokens))
+            size += len(tokens)
+            if size >= CHUNK_TOKENS:
+                yield from sent()
                 size = 0
-    if size:
-        yield from packed()
+    if pieces:
+        yield from sent()
 
 
 def levels(counts: np.ndarray, steps: int) -> np.ndarray:
@@ -149,11 +208,12 @@ def _positions(grams: np.ndarray, level: int, probe: int, size: np.ndarray | int
 
 
 def build_segment(
-    words: np.ndarray, word_counts: np.ndarray, pairs: np.ndarray, pair_counts: np.ndarray, most_bits: int
+    words: np.ndarray, word_counts: np.ndarray, pairs: np.ndarray, pair_counts: np.ndarray, most_bits: float = np.inf
 ) -> tuple[np.ndarray, int]:
     """Packed bits of one segment and the number of pair occurrences it holds.
 
-    Words go in first. Pairs follow from the highest level down while whole levels fit.
+    A segment is as large as its levels ask for. Under a caller's ``most_bits`` words go in first
+    and pairs follow from the highest level down while whole levels fit; scores set no such bound.
     """
     word_level, pair_level = levels(word_counts, WORD_STEPS), levels(pair_counts, PAIR_STEPS)
     room = most_bits / (PROBES * BITS_PER_PROBE)
@@ -177,78 +237,54 @@ def build_segment(
     return np.packbits(bits, bitorder="little"), int(pair_counts[kept].sum())
 
 
-_REDUCED = "part long, hash long, count long, pair_tokens long, bits binary"
+_ANSWERED_DDL = _ASKED_DDL + ", n_tokens long, n_kinds long"
+_ANSWERED = pa.schema([*_ASKED, ("n_tokens", pa.int64()), ("n_kinds", pa.int64())])
 
 
-def _reduce_part(table: pa.Table, most_bits: int) -> pa.Table:
-    """Exact word counts of one part, then a row with its filter segment."""
-    merged = {}
-    size = table.column("size").to_numpy()
-    hashes, counts = table.column("hashes").to_pylist(), table.column("counts").to_pylist()
-    for order in (1, 2):
-        rows = np.flatnonzero(size == order)
-        merged[order] = _merge(
-            np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(hashes[i], np.uint64) for i in rows)]),
-            np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(counts[i], np.uint32).astype(np.int64) for i in rows)]),
-        )
-    (words, word_counts), (pairs, pair_counts) = merged[1], merged[2]
-    bits, pair_tokens = build_segment(words, word_counts, pairs, pair_counts, most_bits)
-    part, n = table.column("part")[0].as_py(), len(words)
-    return pa.table(
-        {
-            "part": pa.array(np.full(n + 1, part, np.int64)),
-            "hash": pa.array([*words.view(np.int64).tolist(), None], pa.int64()),
-            "count": pa.array([*word_counts.tolist(), None], pa.int64()),
-            "pair_tokens": pa.array([None] * n + [pair_tokens], pa.int64()),
-            "bits": pa.array([None] * n + [bits.tobytes()], pa.binary()),
-        }
-    )
-
+def _gathered(table: pa.Table, name: str, counts: str, width: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Distinct grams of all chunks, their counts, and the places of each chunk's grams among them."""
+    grams = [_unpacked(x, 8) for x in table.column(name).to_pylist()]
+    ends = np.cumsum([len(x) for x in grams])
+    found, at = np.unique(np.concatenate(grams), return_inverse=True)
+    added = np.concatenate([_unpacked(x, width) for x in table.column(counts).to_pylist()])
+    total = np.bincount(at, weights=added, minlength=len(found)).astype(np.int64)
+    return found, total, np.split(at, ends[:-1])
 
-def train(docs: DataFrame, filter_bits: int = FILTER_BITS) -> tuple[Model, DataFrame]:
-    """The model from all texts of ``docs`` (``text``), and the exact ``hash, count`` of every word."""
-    seen = docs.select(
-        F.count("*").alias("texts"), F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0)).alias("size")
-    ).first()
-    part_bits = max(0, int(seen["size"] // PART_BYTES).bit_length())
-    most_bits = 1 << (max(64, min(SEGMENT_BITS, filter_bits >> part_bits)).bit_length() - 1)
 
-    def reduce(table: pa.Table) -> pa.Table:
-        return _reduce_part(table, most_bits)
+def _answer_part(table: pa.Table) -> pa.Table:
+    """Fill one segment with all that training texts have of it, and look up all that is asked.
 
-    reduced = materialize(
-        docs.select("text")
-        .transform(map_arrow, partial(_count_batches, part_bits=part_bits), "part long, size int, hashes binary, counts binary")
-        .groupBy("part").applyInArrow(reduce, _REDUCED)
-    )
-    counts = reduced.filter("hash is not null").select("hash", "count")
-    level = F.floor(F.log2("count")).cast("int").alias("level")
-    by_level = {
-        r.level: (r.words, r.tokens)
-        for r in counts.groupBy(level).agg(F.count("*").alias("words"), F.sum("count").alias("tokens")).collect()
-    }
-    least, words = max(by_level, default=0) + 1, 0
-    while least > 0 and words + by_level.get(least - 1, (0, 0))[0] <= FREQUENT_WORDS:
-        least -= 1
-        words += by_level.get(least, (0, 0))[0]
-    frequent = counts.filter(F.col("count") >= (1 << least)).orderBy("hash").toArrow()
-    hashes = frequent.column("hash").to_numpy().view(np.uint64)
-    order = np.argsort(hashes)
-    segments = reduced.filter("bits is not null").select("part", "bits", "pair_tokens").orderBy("part").collect()
-    sizes, offsets = np.full(1 << part_bits, 64, np.uint64), np.zeros(1 << part_bits, np.int64)
-    at, pieces = 8, [np.zeros(8, np.uint8)]  # parts without words point at an empty segment
-    for row in segments:
-        piece = np.frombuffer(row.bits, np.uint8)
-        offsets[row.part], sizes[row.part] = at, 8 * len(piece)
-        pieces.append(piece)
-        at += len(piece)
-    tokens = sum(t for _, t in by_level.values())
+    An answer has the words' hashes, exact counts and levels and the pairs' levels (as ``pair_counts``),
+    and the segment's tokens and distinct words. Texts pass as they are.
+    """
+    part = table.column("part")[0].as_py()
+    if part < 0:
+        return pa.table([*table.columns, *(pa.nulls(len(table), f.type) for f in list(_ANSWERED)[-2:])], _ANSWERED)
+    chunks = table.column("chunk").to_pylist()
+    words, word_counts, of_word = _gathered(table, "words", "word_counts", 4)
+    pairs, pair_counts, of_pair = _gathered(table, "pairs", "pair_counts", 4)
+    known, seen = word_counts > 0, pair_counts > 0
+    bits, pair_tokens = build_segment(words[known], word_counts[known], pairs[seen], pair_counts[seen])
+    tokens = int(word_counts.sum())
     model = Model(
-        np.concatenate(pieces), offsets, sizes, tokens, sum(w for w, _ in by_level.values()), seen.texts,
-        sum(r.pair_tokens for r in segments) / max(tokens, 1),
-        hashes[order], frequent.column("count").to_numpy()[order],
+        bits, np.zeros(1, np.int64), np.array([8 * len(bits)], np.uint64), tokens, int(known.sum()), 0,
+        pair_tokens / max(tokens, 1), words[known], word_counts[known],
+    )
+    word_level, pair_level = (
+        np.concatenate([look_up(x[i : i + LOOKED_UP], model, 0) for i in range(0, max(len(x), 1), LOOKED_UP)])
+        for x in (words, pairs)
     )
-    return model, counts.filter(F.col("count") < (1 << least))
+    rows = [
+        {
+            "part": part, "chunk": chunk, "words": _packed(words[w], 8), "word_counts": _packed(word_counts[w], 8),
+            "order": _packed(word_level[w], 2), "pair_counts": _packed(pair_level[p], 2),
+            "n_tokens": model.tokens, "n_kinds": model.words,
+        }
+        for chunk, w, p in zip(chunks, of_word, of_pair)
+    ]
+    answers = pa.Table.from_pylist(rows, _ANSWERED)
+    pa.default_memory_pool().release_unused()
+    return answers
 
 
 def look_up(grams: np.ndarray, model: Model, part_bits: int) -> np.ndarray:
@@ -269,81 +305,69 @@ def look_up(grams: np.ndarray, model: Model, part_bits: int) -> np.ndarray:
     return level
 
 
-def _score_batches(batches, model) -> Iterator[pa.RecordBatch]:
-    """Scores, and the words whose exact counts are still wanting; columns doc_id, text, row_id."""
-    m: Model = model.value
-    part_bits = len(m.sizes).bit_length() - 1
+_SCORED = (
+    "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+)
+
+
+def _score_chunk(table: pa.Table, part_bits: int, n_texts: int) -> pa.Table:
+    """Scores of one chunk's texts from its own row and the answers of all parts."""
+    rows = sorted(table.to_pylist(), key=lambda r: r["part"])
+    texts, answers = rows[0], rows[1:]
     of_word, of_pair = level_counts(WORD_STEPS), level_counts(PAIR_STEPS)
-    total = m.tokens + 0.5 * (m.words + 1)
-    for batch in batches:
-        texts = text_rows(batch)
-        n_tokens, n_known = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
-        base, score = np.zeros(len(texts)), np.zeros(len(texts))
-        wanting: list[np.ndarray] = []
-        for a, counts, tokens, before in token_groups(texts):
-            rows = slice(a, a + len(counts))
-            starts = np.cumsum(counts) - counts
-            n_tokens[rows] = counts
-            kinds, which = np.unique(np.concatenate((tokens, [START])), return_inverse=True)
-            at = np.searchsorted(m.frequent, kinds)
-            at[at == len(m.frequent)] = 0
-            exact = np.where(m.frequent[at] == kinds, m.frequent_counts[at], 0) if len(m.frequent) else np.zeros(len(kinds), np.int64)
-            exact = exact[which[:-1]]
-            n_known[rows] = np.add.reduceat((exact > 0).astype(np.int64), starts)
-            plain = np.where(exact > 0, np.log10((exact + 0.5) / total), 0.0)
-            base[rows] = np.add.reduceat(plain, starts)
-            rare = exact == 0
-            wanting += np.split(tokens[rare], np.cumsum(np.add.reduceat(rare.astype(np.int64), starts))[:-1])
-            about = of_word[look_up(kinds, m, part_bits)]
-            about[which[-1]] = m.texts
-            single = (about[which[:-1]] + 0.5) / total
-            # the token before: the previous one of the same row, or the start
-            previous = np.concatenate(([which[-1]], which[:-2]))
-            previous[starts] = which[-1]
-            context = about[previous]
-            pair = np.minimum(of_pair[look_up(pair_hash(before, tokens), m, part_bits)], context)
-            weight = PAIR_WEIGHT * context / (context + PAIR_PRIOR)
-            p = weight * pair / np.maximum(context, 1) + (1 - weight * m.pair_share) * single
-            score[rows] = np.add.reduceat(np.log10(np.minimum(p, 1.0)), starts)
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column(0), batch.column(2), pa.array(n_tokens), pa.array(n_known), pa.array(base), pa.array(score),
-                pa.array([w.view(np.int64) for w in wanting], pa.list_(pa.int64())),
-            ],
-            ["doc_id", "row_id", "n_tokens", "n_known", "base", "score", "wanting"],
-        )
-
-
-_SCORED = "doc_id long, row_id long, n_tokens long, n_known long, base double, score double, wanting array<long>"
-
-
-def language_scores(docs: DataFrame, filter_bits: int = FILTER_BITS) -> DataFrame:
+    train_tokens = sum(r["n_tokens"] for r in answers)
+    total = train_tokens + 0.5 * (sum(r["n_kinds"] for r in answers) + 1)
+    kinds, exact, word_level, levels_in_order = (
+        np.concatenate([_unpacked(r[name], width) for r in answers])
+        for name, width in (("words", 8), ("word_counts", 8), ("order", 2), ("pair_counts", 2))
+    )
+    lengths = _unpacked(texts["lengths"], 8).astype(np.int64)
+    which = _unpacked(texts["order"], 4).astype(np.int64)[_unpacked(texts["tokens"], 4).astype(np.int64)]
+    starts = np.cumsum(lengths) - lengths
+    first, second, pair = _pairs_of(which, lengths, len(kinds))
+    _, order = _by_part(kinds, first, second, part_bits)
+    pair_level = np.empty(len(first), np.int64)
+    pair_level[order] = levels_in_order
+    about = np.append(of_word[word_level.astype(np.int64)], n_texts)
+    context = about[first]
+    pairs = np.minimum(of_pair[pair_level], context)
+    weight = PAIR_WEIGHT * context / (context + PAIR_PRIOR)
+    p = weight * pairs / np.maximum(context, 1) + (1 - weight) * (about[second] + 0.5) / total
+    base, score = np.log10((exact + 0.5) / total), np.log10(np.minimum(p, 1.0))
+    return pa.table(
+        {
+            "doc_id": pa.array(texts["doc_ids"], pa.int64()),
+            "held_out": pa.array(texts["held"], pa.bool_()),
+            "n_tokens": lengths,
+            "n_known": np.add.reduceat((exact > 0).astype(np.int64)[which], starts),
+            "train_tokens": np.full(len(lengths), train_tokens, np.int64),
+            "base_score": np.add.reduceat(base[which], starts),
+            "score": np.add.reduceat(score[pair], starts),
+        }
+    )
+
+
+def language_scores(docs: DataFrame) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row.
 
     ``docs`` has ``doc_id, text``. Null and empty texts are one end token. Without training texts
     every count is zero and both scores are those of unknown words. Repeated rows keep their rows
     and count each; further columns are ignored; an empty table gives no rows.
     """
-    learned = docs.filter(~held_out(F.col("doc_id")))
-    model, rest = train(learned.select(F.coalesce("text", F.lit("")).alias("text")), filter_bits)
-    total = model.tokens + 0.5 * (model.words + 1)
-    train_tokens = model.tokens
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-    scored = materialize(
-        with_row_id(docs.select("doc_id", "text")).transform(map_arrow, partial(_score_batches, model=sent), _SCORED)
-    )
-    asked = scored.select("row_id", F.explode("wanting").alias("hash")).groupBy("row_id", "hash").agg(F.count("*").alias("n"))
-    count = F.coalesce("count", F.lit(0))
-    more = asked.join(rest, "hash", "left").groupBy("row_id").agg(
-        F.sum(F.when(count > 0, F.col("n")).otherwise(0)).alias("more_known"),
-        F.sum(F.col("n") * F.log10((count + 0.5) / F.lit(total))).alias("more_base"),
-    )
-    return scored.join(more, "row_id", "left").select(
-        "doc_id",
-        held_out(F.col("doc_id")).alias("held_out"),
-        "n_tokens",
-        (F.col("n_known") + F.coalesce("more_known", F.lit(0))).cast("long").alias("n_known"),
-        F.lit(train_tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more_base", F.lit(0.0))).alias("base_score"),
-        "score",
+    held = held_out(F.col("doc_id"))
+    seen = docs.select(
+        F.coalesce(F.sum((~held).cast("long")), F.lit(0)).alias("texts"),
+        F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0)).alias("size"),
+    ).first()
+    part_bits = max(0, int(seen["size"] // PART_BYTES).bit_length())
+    answered = (
+        with_row_id(docs.select("doc_id", "text", held.alias("held")))
+        .transform(map_arrow, partial(_ask_batches, part_bits=part_bits), _ASKED_DDL)
+        .groupBy("part").applyInArrow(_answer_part, _ANSWERED_DDL)
     )
+    n_texts = seen["texts"]
+
+    def score(table: pa.Table) -> pa.Table:
+        return _score_chunk(table, part_bits, n_texts)
+
+    return answered.groupBy("chunk").applyInArrow(score, _SCORED)

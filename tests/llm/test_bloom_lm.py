@@ -106,3 +106,46 @@ def test_tokens():
     assert (first, counts.tolist()) == (0, [3, 1, 2])
     assert tokens[0] == tokens[4] and tokens[2] == tokens[3] == tokens[5] == b.END
     assert before.tolist() == [b.START, tokens[0], tokens[1], b.START, b.START, tokens[4]]
+
+
+def test_nothing_is_left_out_beyond_the_room_of_a_fixed_segment():
+    words, pairs = grams(1_000_000, 5), grams(9_000_000, 6)  # 10 million levels: the former 2**26 bits had room for 9.3
+    bits, kept = b.build_segment(words, np.ones(len(words), np.int64), pairs, np.ones(len(pairs), np.int64))
+    assert kept == len(pairs)
+    at = np.array([0]), np.array([8 * len(bits)], np.uint64)
+    model = b.Model(bits, *at, 1, 1, 1, 0.0, words[:0], words[:0])
+    assert (b.look_up(pairs[::50], model, 0) >= 1).all()
+    assert (b.look_up(grams(100_000, 9), model, 0) > 0).mean() < 0.06
+
+
+def test_parts_and_chunks_leave_scores_alone(docs_of, monkeypatch):
+    rng = np.random.default_rng(7)
+    rows = [(i, " ".join(f"w{k}" for k in rng.zipf(1.3, 200).clip(1, 500))) for i in range(150)]
+    one = {r.doc_id: r for r in b.language_scores(docs_of(rows)).collect()}
+    assert len(one) == len(rows)
+    counts, pairs = Counter(), Counter()
+    texts = [t.split() + [None] for i, t in rows if zlib.crc32(str(i).encode()) % 5 != 1]
+    for w in texts:
+        counts.update(w)
+        pairs.update(zip(["<s>", *w], w))
+    total = sum(counts.values()) + 0.5 * (len(counts) + 1)
+    word, pair = b.level_counts(b.WORD_STEPS), b.level_counts(b.PAIR_STEPS)
+    level = lambda c, steps, of: of[b.levels(np.array([c]), steps)[0]] if c else 0.0
+
+    def wanted(text):
+        w, out = text.split() + [None], 0.0
+        for first, second in zip(["<s>", *w], w):
+            context = len(texts) if first == "<s>" else level(counts[first], b.WORD_STEPS, word)
+            weight = b.PAIR_WEIGHT * context / (context + b.PAIR_PRIOR)
+            joint = min(level(pairs[first, second], b.PAIR_STEPS, pair), context)
+            single = (level(counts[second], b.WORD_STEPS, word) + 0.5) / total
+            out += math.log10(min(1.0, weight * joint / max(context, 1) + (1 - weight) * single))
+        return out
+
+    want = np.array([wanted(t) for _, t in rows])
+    assert np.abs(np.array([one[i].score for i, _ in rows]) / want - 1).max() < 0.05  # false levels only
+    monkeypatch.setattr(b, "PART_BYTES", 1 << 12)
+    monkeypatch.setattr(b, "CHUNK_TOKENS", 1000)
+    many = {r.doc_id: r for r in b.language_scores(docs_of(rows)).collect()}
+    assert np.abs(np.array([many[i].score for i, _ in rows]) / want - 1).max() < 0.05
+    assert [many[i].base_score for i in one] == pytest.approx([one[i].base_score for i in one])
