@@ -1,8 +1,9 @@
 """Main text of web pages by two-pass block rules.
 
 A page is cut into blocks of text at block-level tags. The first pass decides blocks: containers
-that are never article text, or always, decide by structure; otherwise length, link density and
-stop-word density do. The second pass gives each undecided block the label of its nearest decided
+that are never article text decide by structure; otherwise length, link density and stop-word
+density do, inside an article link density alone. Class and id words count only where they make up a
+whole name, and not for an element that holds the page's article or most of its text. The second pass gives each undecided block the label of its nearest decided
 neighbours. The text between tags is handled piece by piece; a page is one row's work.
 """
 
@@ -43,6 +44,9 @@ _BLOCK = set(
 _SHORT_LIVED = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "dt", "dd", "li", "option", "td", "th", "tr"}
 _NEVER = set("nav aside footer form head menu button select dialog svg math template object canvas audio video".split())
 _ALWAYS = {"article", "main"}
+_HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+#: Inside an article these may be all links.
+_MAY_LINK = _HEADINGS | {"td", "th", "caption", "figcaption"}
 _NEVER_ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 _NEVER_NAMES = set(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr "
@@ -51,6 +55,11 @@ _NEVER_NAMES = set(
     "share sharing social related recommended recommendations subscribe subscription newsletter signup login search "
     "searchbox pagination pager copyright toolbar skip".split()
 )
+#: Words that may stand beside those in a name without changing what it says.
+_NEUTRAL_NAMES = set(
+    "list lists item items body container wrapper wrap box block area left right top bottom bar inner outer div link "
+    "links button buttons icon icons form site page primary secondary".split()
+)
 _COMMENT_NAMES = {"comment", "comments", "commentlist", "reply", "replies", "respond", "disqus"}
 _STOP = frozenset(STOP_WORDS)
 
@@ -60,54 +69,82 @@ class Block(NamedTuple):
     link_chars: int
     never: bool
     always: bool
+    tag: str = ""
+
+
+class _Named:
+    """An element whose name says that it holds no article text; what it holds may say otherwise."""
+
+    def __init__(self, parent: _Named | None, comments: bool, around: int):
+        self.parent, self.comments, self.around = parent, comments, around
+        self.chars = self.articles = 0
+        self.never = True
+
+    def settle(self, chars: int, articles: int) -> None:
+        """Against the page's text and its articles: one around this element is no other article."""
+        others = articles - self.articles - (0 if self.comments else self.around)
+        holds = others <= 0 and (self.articles > 0 or (not self.comments and 2 * self.chars > chars))
+        self.never = not holds or (self.parent is not None and self.parent.never)
 
 
 def _attributes(source: str) -> dict[str, str]:
     return {m[1].lower(): unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(source)}
 
 
-def _names(attributes: dict[str, str]) -> set[str]:
-    return {p.lower() for key in ("class", "id") for p in _NAME_PART.findall(attributes.get(key, ""))}
+def _has_name(attributes: dict[str, str], listed: set[str]) -> bool:
+    """Whether a class or the id consists of listed words, and neutral ones beside them."""
+    for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".split():
+        words = {p.lower() for p in _NAME_PART.findall(name)}
+        if words & listed and words <= listed | _NEUTRAL_NAMES:
+            return True
+    return False
 
 
-def _is_never(tag: str, source: str, in_article: bool) -> bool:
+def _is_never(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
     """Whether an element holds no article text whatever its words are."""
     if tag in _NEVER or (tag == "header" and not in_article):
         return True
-    if not source.strip() or tag in ("html", "body", "main"):
+    if not attributes or tag in ("html", "body", "main"):
         return False
-    attributes = _attributes(source)
-    names = _names(attributes)
     if tag == "article":
-        return bool(names & _COMMENT_NAMES)
+        return _has_name(attributes, _COMMENT_NAMES)
     style = attributes.get("style", "").replace(" ", "").lower()
     return (
-        bool(names & _NEVER_NAMES)
-        or ("header" in names and not in_article)
-        or attributes.get("role", "").lower() in _NEVER_ROLES
+        attributes.get("role", "").lower() in _NEVER_ROLES
         or "hidden" in attributes
         or attributes.get("aria-hidden", "").lower() == "true"
         or "display:none" in style
     )
 
 
+def _is_named(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
+    """Whether an element's class or id says that it holds no article text; a heading's is an anchor."""
+    if not attributes or tag in ("html", "body", "main", "article") or tag in _HEADINGS:
+        return False
+    return _has_name(attributes, _NEVER_NAMES if in_article else _NEVER_NAMES | {"header"})
+
+
 def blocks(html: str) -> list[Block]:
     """Blocks of text in page order, with what their containers say."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, never, always
+    holders: list[_Named | None] = []  # of each block, the innermost named element
+    named: list[_Named] = []
+    articles = 0
+    stack: list[tuple[str, bool, bool, _Named | None, int]] = []  # tag, never, always, named, articles around
     parts: list[str] = []
     link_parts: list[str] = []
     links, breaks, at = 0, 0, 0
 
-    def state() -> tuple[bool, bool]:
-        return (stack[-1][1], stack[-1][2]) if stack else (False, False)
+    def state() -> tuple[bool, bool, _Named | None, int]:
+        return stack[-1][1:] if stack else (False, False, None, 0)
 
     def flush() -> None:
         if parts:
             text = " ".join(unescape("".join(parts)).split())
             if text:
                 link = len(" ".join(unescape(" ".join(link_parts)).split()))
-                out.append(Block(text, link, *state()))
+                out.append(Block(text, link, *state()[:2], stack[-1][0] if stack else ""))
+                holders.append(state()[2])
             parts.clear()
             link_parts.clear()
 
@@ -139,7 +176,6 @@ def blocks(html: str) -> list[Block]:
             end = re.compile(f"</{tag}(?=[\\s/>])[^>]*>", re.I).search(html, at)
             at = end.end() if end else len(html)
             continue
-        never, always = state()
         if tag in _BLOCK:
             flush()
             links = 0
@@ -149,20 +185,46 @@ def blocks(html: str) -> list[Block]:
             if tag == "body":
                 while stack and stack[-1][0] == "head":
                     stack.pop()
-            never, always = state()
         if closing:
             depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
             if depth is not None:
                 flush()
                 del stack[depth:]
         elif tag not in _VOID:
-            own = _is_never(tag, match[3], always)
-            if tag in _BLOCK or tag in _NEVER or own:
+            never, always, holder, around = state()
+            attributes = _attributes(match[3]) if match[3].strip() else {}
+            own = _is_never(tag, attributes, always)
+            if not own and _is_named(tag, attributes, always):
+                flush()
+                holder = _Named(holder, _has_name(attributes, _COMMENT_NAMES), around)
+                named.append(holder)
+            if tag in _ALWAYS and not never and not own:
+                articles, around = articles + 1, around + 1
+                if holder:
+                    holder.articles += 1
+            if tag in _BLOCK or tag in _NEVER or own or holder is not state()[2]:
                 if own:
                     flush()
-                stack.append((tag, never or own, always or tag in _ALWAYS))
+                stack.append((tag, never or own, always or tag in _ALWAYS, holder, around))
     flush()
-    return out
+    if not named:
+        return out
+    for block, holder in zip(out, holders):
+        if holder and not block.never:
+            holder.chars += len(block.text)
+    for one in reversed(named):
+        if one.parent:
+            one.parent.chars += one.chars
+            one.parent.articles += one.articles
+    chars = sum(len(block.text) for block in out if not block.never)
+    for one in named:
+        one.settle(chars, articles)
+    return [b._replace(never=True) if h and h.never else b for b, h in zip(out, holders)]
+
+
+def _in_article(block: Block) -> bool:
+    """A block inside an article is its text unless it is mostly links."""
+    return block.link_chars <= MAX_LINK_SHARE * len(block.text) or block.tag in _MAY_LINK
 
 
 def _first_pass(block: Block) -> bool | None:
@@ -170,7 +232,7 @@ def _first_pass(block: Block) -> bool | None:
     if block.never:
         return False
     if block.always:
-        return True
+        return _in_article(block)
     chars = len(block.text)
     if block.link_chars > MAX_LINK_SHARE * chars or "©" in block.text:
         return False
@@ -185,8 +247,14 @@ def _first_pass(block: Block) -> bool | None:
 
 def classify(page: list[Block]) -> list[bool]:
     """Second pass: undecided blocks take their nearest decided neighbour's label; at equal distance
-    one that is article text is enough. A page that decides nothing is all article text."""
+    one that is article text is enough. A page that decides nothing is all article text.
+
+    An article that is nothing but links stays.
+    """
+    inside = [b for b in page if b.always and not b.never]
     labels = [_first_pass(block) for block in page]
+    if inside and not any(map(_in_article, inside)):
+        labels = [not b.never if b.always else label for b, label in zip(page, labels)]
     if all(x is None for x in labels):
         return [True] * len(page)
     decided = np.array([i for i, x in enumerate(labels) if x is not None])

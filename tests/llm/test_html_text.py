@@ -52,3 +52,38 @@ def test_table(spark):
     assert [r.text for r in out if r.page_id == 1] == ["ünï", "ünï"]
     assert next(r for r in out if r.page_id == 3).text == "\n\n".join(["w w"] * 30_000)
     assert h.extract_text(table.limit(0)).count() == 0
+
+
+ADVERT = "Buy cheap shoes online now best prices guaranteed quick delivery free returns worldwide click"
+
+
+@pytest.mark.parametrize(
+    "html,expected",
+    [
+        ("<div class='content has-sidebar'><article><p>x</p></article></div>", "x"),
+        ("<div id=no-sidebar><article><p>x</p></article></div>", "x"),
+        ("<div class=sidebar><article><p>x</p></article></div>", "x"),
+        (f"<div class=widget><p>{LONG}</p></div><p>Short.</p>", f"{LONG}\n\nShort."),
+        (
+            "<article><h2 id='related-work'>R</h2><h2 id=related>S</h2><p class='notice-board'>n</p>"
+            "<div class='social-science'>s</div></article>",
+            "R\n\nS\n\nn\n\ns",
+        ),
+        ("<article class='post has-comments'><p>x</p></article>", "x"),
+        ("<article>x</article><ol class='comment-list'><li class='comment even'><article id='div-comment-5'>y</article></ol>", "x"),
+        ("<article>x</article><div class=related><article>y</article></div>", "x"),
+        ("<div class=ad>more words than the article</div><article>x</article>", "x"),
+        ("<main><p>x</p><div class=comments><article>y</article></div></main>", "x"),
+        ("<article><p>some words</p><span class='ad-box'>buy</span></article>", "some words"),
+        (f"<article><p>{LONG}</p><ul><li><a href=1>One</a><li><a href=2>Two</a></ul></article>", LONG),
+        (f"<article><h1><a href=x>Title</a></h1><p>{LONG}</p><pre>{ADVERT}</pre></article>", f"Title\n\n{LONG}\n\n{ADVERT}"),
+        (f"<article><p>{ADVERT}</p></article>", ADVERT),
+        ("<article><ul><li><a href=1>One</a></ul></article>", "One"),
+    ],
+)
+def test_names_are_evidence_and_links_count_inside_articles(html, expected):
+    assert h.main_text(html) == expected
+
+
+def test_deeply_nested_names():
+    assert h.main_text("<article>x</article>" + "<div class=ad>" * 20_000 + "y") == "x"
