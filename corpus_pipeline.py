@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from spendlake.llm.catalog import MIX_TARGETS, labelled_domains
 from spendlake.llm.common import materialize, read_input
-from spendlake.llm.decontaminate import drop_contaminated
+from spendlake.llm.decontaminate import drop_contaminated_rows
 from spendlake.llm.mixing import mix
 from spendlake.llm.secret_ledger import redact_secrets
 from spendlake.llm.simhash import drop_near_duplicates
@@ -33,7 +33,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no benchmark item contaminates."""
-    return drop_contaminated(docs, read_input(spark, sf_dir, "benchmark"))
+    return drop_contaminated_rows(docs, read_input(spark, sf_dir, "benchmark"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -197,13 +197,15 @@ def contamination(
     items: DataFrame,
     window_words: int = WINDOW_WORDS,
     shingle_words: int = SHINGLE_WORDS,
+    row_id: str | None = None,
 ) -> DataFrame:
     """Per row of ``docs``: ``doc_id, n_words, n_hit, item_ids, contaminated``.
 
     ``n_hit`` counts the document's words inside any occurrence of an item's window, ``item_ids``
     are the items that have one, as strings. Null and empty texts have no words and are clean;
     items without words or id match nothing. Repeated documents each keep a row, repeated items
-    count once. Extra columns are ignored. Empty tables give no rows, or only clean ones.
+    count once. Extra columns are ignored. Empty tables give no rows, or only clean ones. A written
+    column of row numbers, named by ``row_id``, is used and comes last in the result, as ``row_id``.
     """
     spark = docs.sparkSession
     windows = materialize(item_windows(items.filter("item_id is not null"), window_words, shingle_words))
@@ -212,8 +214,9 @@ def contamination(
     )
     chosen = materialize(prefixes(windows, docs, lengths))
     bitmap = spark.sparkContext.broadcast(_bitmap(chosen.select("hash").distinct()))
+    texts = docs.select("doc_id", "text", F.col(row_id).alias("row_id")) if row_id else with_row_id(docs.select("doc_id", "text"))
     probed = materialize(
-        with_row_id(docs.select("doc_id", "text")).transform(
+        texts.transform(
             map_arrow, partial(_probe, bitmap=bitmap, lengths=lengths, window_words=window_words), _PROBE_SCHEMA
         )
     )
@@ -238,15 +241,25 @@ def contamination(
         n_hit.alias("n_hit"),
         F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
         ((n_hit > 0) & (n_hit * MAX_CLEAN_RATIO >= F.col("n_words"))).alias("contaminated"),
+        *(["row_id"] if row_id else []),
     )
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """The documents that are not contaminated, with all their columns.
 
-    Rows that share a ``doc_id`` share its fate: one contaminated row removes them all.
+    Rows that share a ``doc_id`` share its fate, rows without one too: one contaminated row removes
+    them all. ``drop_contaminated_rows`` judges each row for itself.
     """
     key = pick_name(docs, "bad_id")
     bad = contamination(docs, items, **options).filter("contaminated")
     bad = bad.select(F.col("doc_id").alias(key)).distinct()
     return docs.join(bad.hint("shuffle_hash"), docs.doc_id.eqNullSafe(bad[key]), "left_anti")
+
+
+def drop_contaminated_rows(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
+    """The rows that are not contaminated, with all their columns, whatever other rows of their id are."""
+    key, own = pick_name(docs, "bad_row"), pick_name(docs, "own_row")
+    rows = materialize(with_row_id(docs, own))
+    bad = contamination(rows, items, row_id=own, **options).filter("contaminated").select(F.col("row_id").alias(key))
+    return rows.join(bad.hint("shuffle_hash"), rows[own] == bad[key], "left_anti").drop(own)

@@ -67,3 +67,15 @@ def test_item_digest(spark):
     row = spark.sql("SELECT array('10', '2') AS x, array() AS y")
     got = row.select(decontaminate.item_digest(row.x), decontaminate.item_digest(row.y.cast("array<string>"))).first()
     assert list(got) == [hashlib.sha256(s).hexdigest() for s in (b"10,2", b"")]
+
+
+def test_each_row_has_its_own_verdict(docs_of):
+    item = words(7, 20)
+    rows = [(None, item), (None, words(8, 50)), (None, None), (2, item), (2, words(9, 50)), (3, item), (4, "clean")]
+    items = docs_of([]).sparkSession.createDataFrame([(1, item, None, None)], ITEMS)
+    docs = docs_of(rows)
+    for odd in (docs, docs.withColumn("own_row", docs.doc_id).withColumn("bad_row", docs.doc_id)):
+        kept = decontaminate.drop_contaminated_rows(odd, items)
+        assert kept.columns == odd.columns
+        assert {(r.doc_id, r.text) for r in kept.collect()} == {x for x in rows if x[1] != item}
+        assert kept.count() == 4
