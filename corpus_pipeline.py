@@ -15,7 +15,7 @@ from spendlake.llm.common import materialize, read_input
 from spendlake.llm.decontaminate import drop_contaminated_rows
 from spendlake.llm.mixing import mix
 from spendlake.llm.secret_ledger import redact_secrets
-from spendlake.llm.simhash import drop_near_duplicates
+from spendlake.llm.simhash import one_row_of_each_group
 from spendlake.llm.toxicity import drop_toxic
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -27,8 +27,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the least id."""
-    return drop_near_duplicates(docs)
+    """One row of each group of near-duplicates, that with the least id."""
+    return one_row_of_each_group(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendlake.llm.common import HASH_SEED, map_arrow, materialize, pick_name, text_rows
+from spendlake.llm.common import HASH_SEED, map_arrow, materialize, pick_name, text_rows, with_row_id
 from spendlake.llm.components import connected
 
 SHINGLE_WORDS = 3
@@ -69,14 +69,20 @@ def _fingerprint_batches(
     for batch in batches:
         prints = np.array([fingerprint(t, shingle_words) for t in text_rows(batch)], np.uint64)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(prints.view(np.int64))], ["doc_id", "fp"]
+            [batch.column(0), pa.array(prints.view(np.int64)), *batch.columns[2:]],
+            ["doc_id", "fp", *batch.schema.names[2:]],
         )
 
 
-def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """``doc_id, fp``: the fingerprint as a signed long, one row per input row; null text is empty."""
-    return docs.select("doc_id", "text").transform(
-        map_arrow, partial(_fingerprint_batches, shingle_words=shingle_words), "doc_id long, fp long"
+def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, row_id: str | None = None) -> DataFrame:
+    """``doc_id, fp``: the fingerprint as a signed long, one row per input row; null text is empty.
+
+    A column of row numbers, named by ``row_id``, comes last as ``row_id``.
+    """
+    row = [F.col(row_id).alias("row_id")] if row_id else []
+    return docs.select("doc_id", "text", *row).transform(
+        map_arrow, partial(_fingerprint_batches, shingle_words=shingle_words),
+        "doc_id long, fp long" + (", row_id long" if row_id else ""),
     )
 
 
@@ -246,6 +252,16 @@ def near_links(distinct: DataFrame, max_bits: int = MAX_BITS, shard_rows: int =
     return routed.groupBy("shard").applyInArrow(links, "a long, b long")
 
 
+def _grouped(distinct: DataFrame, max_bits: int, shard_rows: int) -> DataFrame:
+    """``fp, least, root`` of the distinct fingerprints ``fp, least``."""
+    roots = connected(near_links(distinct, max_bits, shard_rows))
+    return materialize(
+        distinct.join(roots, distinct.fp == roots.node, "left").select(
+            "fp", "least", F.coalesce("root", "fp").alias("root")
+        )
+    )
+
+
 def near_duplicates(
     docs: DataFrame,
     shingle_words: int = SHINGLE_WORDS,
@@ -261,12 +277,7 @@ def near_duplicates(
     """
     prints = materialize(fingerprints(docs, shingle_words))
     distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    roots = connected(near_links(distinct, max_bits, shard_rows))
-    grouped = materialize(
-        distinct.join(roots, distinct.fp == roots.node, "left").select(
-            "fp", "least", F.coalesce("root", "fp").alias("root")
-        )
-    )
+    grouped = _grouped(distinct, max_bits, shard_rows)
     named = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
     members = grouped.join(named, "root").select(F.col("fp").alias("member"), "component_id")
     return prints.join(members, prints.fp == members.member).select("doc_id", "fp", "component_id")
@@ -276,7 +287,7 @@ def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """One document of each group, the one that names it, with all columns of ``docs``.
 
     Of rows repeating that ``doc_id`` one stays. Of a group whose rows all lack a ``doc_id`` none
-    can be named, so all its rows stay.
+    can be named, so all its rows stay. Where ids repeat or lack, ``one_row_of_each_group`` is exact.
     """
     groups = near_duplicates(docs, **options)
     kept = groups.filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("copies"))
@@ -290,3 +301,22 @@ def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     if unnamed.limit(1).count():
         once = once.union(docs.filter("doc_id is null"))
     return once
+
+
+def one_row_of_each_group(
+    docs: DataFrame,
+    shingle_words: int = SHINGLE_WORDS,
+    max_bits: int = MAX_BITS,
+    shard_rows: int = SHARD_ROWS,
+) -> DataFrame:
+    """Exactly one row of each group, with all columns of ``docs``: that of the least ``doc_id``.
+
+    Rows without ``doc_id`` come after all others; of rows with the same id any one may stay.
+    """
+    own, key = pick_name(docs, "own_row"), pick_name(docs, "kept_row")
+    rows = materialize(with_row_id(docs, own))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("lacks"), "doc_id", "row_id"))
+    distinct = materialize(fingerprints(rows, shingle_words, own).groupBy("fp").agg(first.alias("least")))
+    kept = _grouped(distinct, max_bits, shard_rows).groupBy("root").agg(F.min("least").alias("least"))
+    kept = kept.select(F.col("least.row_id").alias(key))
+    return rows.join(kept.hint("shuffle_hash"), rows[own] == kept[key], "left_semi").drop(own)

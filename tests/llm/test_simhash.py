@@ -108,3 +108,20 @@ def test_components_of_hub_and_chain(spark):
     roots = {r.node: r.root for r in connected(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert roots == {i: 0 for i in range(500)} | {i: 1000 for i in range(1000, 1101)}
     assert connected(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_one_row_of_each_group_whatever_the_ids(docs_of, none, edge):
+    a, b, c, d = ("alpha beta gamma delta", "one two three four", "red green blue black", "north south east west")
+    rows = [
+        (1, a), (1, b), (2, b),  # two texts under one id; the second's copy has another
+        (None, c), (None, c), (None, d), (7, d),  # a group without ids, and one with a row without
+    ]
+    for table in (docs_of(rows), docs_of(rows[::-1]), docs_of(rows).selectExpr("*", "doc_id AS own_row")):
+        kept = simhash.one_row_of_each_group(table)
+        assert kept.columns == table.columns
+        got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=lambda r: r[1])
+        assert got == [(1, a), (7, d), (1, b), (None, c)]
+    assert simhash.one_row_of_each_group(none).count() == 0
+    fps = simhash.near_duplicates(edge).select("fp", "component_id").distinct().collect()
+    named = {r.component_id for r in fps}
+    assert {r.doc_id for r in simhash.one_row_of_each_group(edge).select("doc_id").collect()} == named
