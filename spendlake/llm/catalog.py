@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from spendlake.llm.bloom_lm import language_scores
 from spendlake.llm.common import hex64, read_input
 from spendlake.llm.decontaminate import contamination, item_digest
+from spendlake.llm.exact_dedup import deduplicate
+from spendlake.llm.hard_negatives import hard_negatives
 from spendlake.llm.html_text import extract_text
 from spendlake.llm.importance import resample
 from spendlake.llm.mixing import mix
+from spendlake.llm.phrases import collocations
 from spendlake.llm.quality import judge_quality
 from spendlake.llm.secret_ledger import BASE_RULES, secrets, span_list
 from spendlake.llm.simhash import near_duplicates
@@ -114,3 +117,20 @@ def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(read_input(spark, sf_dir, "pages"))
+
+
+@query
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deduplicate(spark, f"{sf_dir}/documents.parquet")
+
+
+@query
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(read_input(spark, sf_dir, "documents"))
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = read_input(spark, sf_dir, "embeddings").withColumn("label", label)
+    return hard_negatives(rows, F.col("id") % 50 == 0)

@@ -75,3 +75,56 @@ SELECT page_id, payload_bytes, p.payload_digest,
        CASE WHEN page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN page_id <> first_id THEN first_id END AS refers_to
 FROM p LEFT JOIN f ON p.payload_digest = f.payload_digest"""
+ORACLE["op11_exact_dedup"] = r"""WITH t AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS text FROM documents),
+g AS (SELECT text, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY text)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t.text) AS text_sha256
+FROM t JOIN g ON t.text = g.text"""
+
+ORACLE["op12_phrases"] = rf"""WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (SELECT lang, size, array_to_string(list_slice(w, i, i + size - 1), ' ') AS phrase FROM (
+  SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i
+  FROM worded CROSS JOIN (SELECT unnest(range(1, 6)) AS size) WHERE len(w) >= size)),
+f AS (SELECT lang, size, phrase, count(*) AS f FROM grams GROUP BY lang, size, phrase HAVING count(*) >= 100),
+totals AS (SELECT lang, sum(len(w)) AS n FROM worded GROUP BY lang),
+cuts AS (SELECT lang, size, phrase, f, string_split(phrase, ' ') AS w, unnest(range(1, size)) AS k FROM f WHERE size > 1),
+scores AS (
+  SELECT c.lang, c.phrase, c.size, c.f AS a, k, l.f AS l, r.f AS r, CAST(n AS BIGINT) AS n,
+         CAST((1000::HUGEINT * c.f * n) // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+  FROM cuts c JOIN totals ON totals.lang = c.lang
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(list_slice(w, 1, k), ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(list_slice(w, k + 1, c.size), ' ')),
+lowest AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_phrases AS (
+  SELECT lang, f, array_to_string(list_slice(w, i, i + width - 1), ' ') AS phrase FROM (
+    SELECT lang, f, w, width, unnest(range(1, size - width + 2)) AS i FROM (
+      SELECT lang, f, size, string_split(phrase, ' ') AS w, unnest(range(2, size)) AS width FROM f WHERE size > 2))),
+swallowed AS (SELECT lang, phrase, max(f) AS f FROM inner_phrases GROUP BY lang, phrase),
+ranked AS (
+  SELECT x.*, row_number() OVER (PARTITION BY x.lang ORDER BY score DESC, a DESC, x.phrase) AS rank
+  FROM lowest x LEFT JOIN swallowed s ON s.lang = x.lang AND s.phrase = x.phrase
+  WHERE s.f IS NULL OR 100 * s.f < 100 * a)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000"""
+
+ORACLE["op13_hard_negatives"] = """WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS alike,
+         CAST(list_dot_product(a.e, b.e) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT alike
+  AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) <= 3"""
