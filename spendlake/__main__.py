@@ -29,6 +29,9 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     )
     parser.add_argument("--parse-dates", action="store_true", help="store dates as timestamps")
     parser.add_argument("--by-month", action="store_true", help="partition silver transactions by month")
+    parser.add_argument(
+        "--incremental", action="store_true", help="take only files added to the transaction folder since the last run"
+    )
     parser.add_argument("--min-history", type=int, default=0, help="earlier months a series row needs")
     parser.add_argument("--shuffle-bytes", type=int, help="size of the largest expected exchange")
     parser.add_argument("--train", choices=sorted(TARGETS), help="also train on this target and advise")
@@ -48,6 +51,7 @@ def main(argv: list[str] | None = None) -> None:
     lake = daily.run_pipeline(
         spark, args.transactions, args.users, args.mcc, args.out, args.format,
         args.bucketed_as, args.buckets, args.stages, args.parse_dates, args.by_month, args.min_history,
+        incremental=args.incremental,
     )
     if args.train:
         daily.refresh_forecaster(spark, lake, args.train, args.trees, args.depth)

@@ -103,6 +103,40 @@ def time_series_features(months: DataFrame, min_history: int = 0) -> DataFrame:
     return features.filter(F.col("current_month_spend").isNotNull())
 
 
+def calendar_features(months: DataFrame, absent_is_zero: bool = False) -> DataFrame:
+    """The same features by the calendar: spend one, two and three months before, and their mean.
+
+    Unlike :func:`time_series_features`, whose lags count active months, a month without spending is
+    a gap here: null, or 0 with ``absent_is_zero``, which also divides the mean by all three months. All
+    four are range frames over the number of the month, in one window and so one sort. The row of
+    unreadable dates has no place in the calendar and so no features.
+    """
+    place = (F.year("month_start") * 12 + F.month("month_start")).alias("_place")
+    series = Window.partitionBy("client_id").orderBy("_place")
+    spend, dated = F.col("spend"), F.col("_place").isNotNull()
+
+    def before(first: int, last: int, value: Column) -> Column:
+        return F.when(dated, value.over(series.rangeBetween(-first, -last)))
+
+    features = {name: before(n, n, F.max(spend)) for n, name in enumerate(LAGS, start=1)}
+    mean = before(3, 1, F.sum(spend)) / 3 if absent_is_zero else before(3, 1, F.avg(spend))
+    features["avg_spend_last_3_months"] = mean
+
+    def filled(value: Column) -> Column:
+        return F.when(dated, F.coalesce(value, F.lit(0))) if absent_is_zero else value
+
+    return (
+        months.select("client_id", "month_start", "spend", place)
+        .select(
+            "client_id",
+            month_label(F.col("month_start")).alias("txn_month"),
+            from_exact(spend).alias("current_month_spend"),
+            *[cents_from_exact(filled(value)).alias(name) for name, value in features.items()],
+        )
+        .filter(F.col("current_month_spend").isNotNull())
+    )
+
+
 def smoothed_spend(series: DataFrame, column: str = "smoothed_target_spend") -> DataFrame:
     """Adds the mean spend of this and the two months before it, rounded to cents."""
     frame = Window.partitionBy("client_id").orderBy("txn_month").rowsBetween(-2, 0)

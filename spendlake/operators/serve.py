@@ -100,6 +100,44 @@ def client_snapshots(series: DataFrame, profiles: DataFrame) -> DataFrame:
     return spend.join(facts, "client_id").select(*REQUEST_COLUMNS)
 
 
+def series_as_of(asks: DataFrame, series: DataFrame) -> DataFrame:
+    """For each ``(client_id, as_of_month)`` the last row of the series up to that month, nulls without one.
+
+    An as-of join without a range join: the months asked for are merged into the client's months and
+    look back from there. Repeated asks are merged first, so that a client's window holds at most twice
+    the calendar however often the client is asked for; the answer is joined back to all of them.
+    Unreadable months on either side answer nothing.
+    """
+    values = [c for c in series.columns if c != "client_id"]
+    dated = series.withColumn("_month", normalize_month(F.col("txn_month"))).filter(F.col("_month").isNotNull())
+    wanted = asks.select(
+        F.col("client_id").cast("string").alias("_client"), normalize_month(F.col("as_of_month")).alias("_month")
+    )
+    known = dated.select(
+        F.col("client_id").cast("string").alias("_client"), "_month", F.lit(0).alias("_ask"), F.struct(*values).alias("_row")
+    )
+    merged = known.unionByName(wanted.distinct().withColumn("_ask", F.lit(1)), allowMissingColumns=True)
+    past = Window.partitionBy("_client").orderBy("_month", "_ask").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    answers = (
+        merged.withColumn("_row", F.last("_row", ignorenulls=True).over(past))
+        .filter((F.col("_ask") == 1) & F.col("_month").isNotNull()).select("_client", "_month", "_row")
+    )
+    keyed = asks.withColumns(
+        {"_client": F.col("client_id").cast("string"), "_month": normalize_month(F.col("as_of_month"))}
+    )
+    return keyed.join(answers, ["_client", "_month"], "left").select(*asks.columns, "_row.*")
+
+
+def client_snapshots_as_of(asks: DataFrame, series: DataFrame, profiles: DataFrame) -> DataFrame:
+    """:func:`client_snapshots` as they stood at a month asked for; clients found on both sides only."""
+    spend = series_as_of(asks.select("client_id", "as_of_month"), series).filter(F.col("txn_month").isNotNull())
+    facts = latest_profile(profiles).select(
+        "client_id", "monthly_income", F.col("risk_tolerance_score").alias("risk_score"), "investment_horizon"
+    )
+    spend = spend.withColumn("client_id", F.col("client_id").cast("string"))
+    return spend.join(facts, "client_id").select("as_of_month", "txn_month", *REQUEST_COLUMNS)
+
+
 def client_snapshot(series: DataFrame, profiles: DataFrame, client_id: str) -> DataFrame:
     """The snapshot of one client, or no row where either table lacks the client.
 

@@ -14,21 +14,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendlake.functions import is_number, month_label, parse_timestamp
-from spendlake.operators import allocate, cleaning, enrich, forecast, monthly, profile, serve
+from spendlake.operators import allocate, cleaning, enrich, forecast, frontier, monthly, profile, rejects, serve, sketches
 from spendlake.plans import daily, testdata
 from spendlake.schemas import BRONZE_USERS, USER_PORTFOLIO_FEATURES
 from spendlake.session import materialize, scratch_dir
 from spendlake.sources import (
+    look_up,
     read_inferred_csv,
     read_mcc_json,
     read_table,
     read_table_or_empty,
+    read_transaction_lines,
     read_transactions_csv,
+    read_user_lines,
     read_users_csv,
+    write_clustered,
     write_table,
 )
 from spendlake.sources.files import drop_mistyped
-from spendlake.streaming import stream_silver_transactions
+from spendlake.streaming import (
+    add_batch,
+    stream_distinct_transactions,
+    stream_silver_transactions,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -114,6 +122,33 @@ def csv_inferred(spark: SparkSession, sf: str) -> DataFrame:
     return read_inferred_csv(spark, _csv(testdata.bronze_users(spark, sf)))
 
 
+def rejected_transactions(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw transactions by why cleaning drops them, counted while the silver table is written."""
+    lake = daily.Lake(scratch_dir(spark))
+    raw = _csv(testdata.dirty_transactions(spark, sf))
+    daily.refresh_transactions(spark, raw, _mcc_file(spark), lake)
+    return lake.read(spark, daily.TRANSACTION_COUNTS).filter("rows > 0")
+
+
+def rejected_users(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw users by why cleaning drops them."""
+    lake = daily.Lake(scratch_dir(spark))
+    daily.refresh_users(spark, _csv(testdata.dirty_users(spark, sf)), lake)
+    return lake.read(spark, daily.USER_COUNTS).filter("rows > 0")
+
+
+def transactions_judged(spark: SparkSession, sf: str) -> DataFrame:
+    """Every raw transaction that fits the schema or not, with the reason for which it goes."""
+    lines = read_transaction_lines(spark, _csv(testdata.dirty_transactions(spark, sf)))
+    return rejects.judge_transactions(lines).filter("reason IS NOT NULL").select("date", "card_id", "reason")
+
+
+def users_judged(spark: SparkSession, sf: str) -> DataFrame:
+    """Every raw user that cleaning drops, with the reason."""
+    lines = read_user_lines(spark, _csv(testdata.dirty_users(spark, sf)))
+    return rejects.judge_users(lines).filter("reason IS NOT NULL").select("address", "reason")
+
+
 def csv_to_silver(spark: SparkSession, sf: str) -> DataFrame:
     lake = daily.Lake(scratch_dir(spark))
     raw = _csv(testdata.dirty_transactions(spark, sf))
@@ -242,12 +277,38 @@ def smoothed_spend(spark: SparkSession, sf: str) -> DataFrame:
     return monthly.smoothed_spend(monthly.monthly_spend(_months(spark, sf, with_category=False)))
 
 
+def calendar_features(spark: SparkSession, sf: str) -> DataFrame:
+    """Lags and mean by the calendar, months without spending being gaps."""
+    return monthly.calendar_features(_months(spark, sf, with_category=False))
+
+
+def calendar_features_filled(spark: SparkSession, sf: str) -> DataFrame:
+    """The same, months without spending counting as zero."""
+    return monthly.calendar_features(_months(spark, sf, with_category=False), absent_is_zero=True)
+
+
 def client_net_amount(spark: SparkSession, sf: str) -> DataFrame:
     return monthly.client_net_amount(
         testdata.silver_transactions(spark, sf, "client_id", "amount")
     )
 
 
+def distinct_clients_by_year(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct clients and merchants per year from stored sketches of months, beside the exact counts."""
+    rows = testdata.silver_transactions(spark, sf, "date", "client_id", "merchant_id")
+    stored = materialize(sketches.monthly_sketches(rows, "client_id", "merchant_id"))
+    year = F.year("month_start").alias("year")
+    estimates = sketches.united(stored, year, "client_id", "merchant_id")
+    exact = rows.groupBy(F.year("date").alias("year")).agg(
+        F.count_distinct("client_id").alias("clients"), F.count_distinct("merchant_id").alias("merchants")
+    )
+    return estimates.join(exact, "year").select(
+        "year", "rows", "clients", "merchants",
+        sketches.within_error(F.col("distinct_client_id"), F.col("clients")).alias("clients_within_error"),
+        sketches.within_error(F.col("distinct_merchant_id"), F.col("merchants")).alias("merchants_within_error"),
+    )
+
+
 def client_spend_totals(spark: SparkSession, sf: str) -> DataFrame:
     return monthly.client_spend_totals(_months(spark, sf))
 
@@ -308,6 +369,22 @@ def portfolio_return_and_risk(spark: SparkSession, sf: str) -> DataFrame:
     return allocate.return_and_risk_of_rows(rows)
 
 
+def _held(spark: SparkSession, sf: str, small: bool) -> DataFrame:
+    requests = testdata.allocation_requests(spark, sf)
+    return frontier.allocate_from(requests, testdata.part_assets(spark, sf), "budget", "risk", "horizon", small)
+
+
+def any_asset_holdings(spark: SparkSession, sf: str) -> DataFrame:
+    """Budgets spread over assets that are rows of a table."""
+    return frontier.holding_rows(_held(spark, sf, small=True))
+
+
+def any_asset_return_and_risk(spark: SparkSession, sf: str) -> DataFrame:
+    """The same by the join used for edges too large to broadcast."""
+    expected = frontier.add_expected(_held(spark, sf, small=False))
+    return expected.select("client_id", "status", "expected_annual_return", "expected_annual_risk")
+
+
 def card_offers(spark: SparkSession, sf: str) -> DataFrame:
     offers = allocate.offer_cards(testdata.silver_users(spark, sf)).select(
         F.col("id").alias("client_id"), "risk_budget", "status", "bundle", "revenue", "risk_cost"
@@ -346,6 +423,25 @@ def client_snapshots(spark: SparkSession, sf: str) -> DataFrame:
     return _round6(snapshots, "monthly_income")
 
 
+def client_snapshots_as_of(spark: SparkSession, sf: str) -> DataFrame:
+    """Snapshots of clients as they stood in the months of their pending orders."""
+    orders = testdata.table(spark, sf, "orders").filter("o_orderstatus = 'P'")
+    asks = orders.select(
+        F.col("o_custkey").cast("string").alias("client_id"), month_label(F.add_months("o_orderdate", -1)).alias("as_of_month")
+    )
+    months = materialize(_months(spark, sf, with_category=False))
+    profiles = profile.user_portfolio_features(testdata.silver_users(spark, sf), months)
+    return _round6(serve.client_snapshots_as_of(asks, monthly.time_series_features(months), profiles), "monthly_income")
+
+
+def client_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """The series of one client, the first by id, out of files clustered by client."""
+    path, series = scratch_dir(spark), _series(spark, sf)
+    write_clustered(series, path, "client_id", ["txn_month"], files=16)
+    first = read_table(spark, path).agg(F.min("client_id")).first()[0]  # one value
+    return look_up(spark, path, "client_id", first, series.schema)
+
+
 def client_snapshots_one_pass(spark: SparkSession, sf: str) -> DataFrame:
     return _round6(_requests(spark, sf), "monthly_income")
 
@@ -533,6 +629,54 @@ def stream_silver(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, out)
 
 
+def _deliver(df: DataFrame, folder: str) -> None:
+    """Add raw files to a folder."""
+    df.write.mode("append").csv(folder, header=True, quote="\u0000")
+
+
+def incremental_months(spark: SparkSession, sf: str) -> DataFrame:
+    """The roll-up after two deliveries, of which the second brings late rows and is then taken again."""
+    lake, folder, codes = daily.Lake(scratch_dir(spark)), scratch_dir(spark), _mcc_file(spark)
+    rows = testdata.dirty_transactions(spark, sf)
+    late = (F.col("date") >= "2000-07") | (F.col("merchant_state") == "S3")
+    _deliver(rows.filter(~late), folder)
+    daily.refresh_rollup(spark, folder, codes, lake)
+    _deliver(rows.filter(late), folder)
+    tables = daily.refresh_rollup(spark, folder, codes, lake)
+    again = spark.read.parquet(tables.silver).filter("batch_id = 1").drop("batch_id")
+    add_batch(materialize(again), 1, tables)
+    sums = [F.col(c).cast("double").alias(c) for c in ("spend", "discretionary")]
+    return tables.read_months(spark).select("client_id", "txn_month", *sums)
+
+
+def incremental_features(spark: SparkSession, sf: str) -> DataFrame:
+    """The daily job over two deliveries, the second run taking only the new files; gives the time series."""
+    folder, users, codes, out = scratch_dir(spark), _csv(testdata.bronze_users(spark, sf)), _mcc_file(spark), scratch_dir(spark)
+    rows = testdata.bronze_transactions(spark, sf)
+    for part in (F.col("date") < "1999", F.col("date") >= "1999"):
+        _deliver(rows.filter(part), folder)
+        lake = daily.run_pipeline(spark, folder, users, codes, out, incremental=True)
+    return lake.read(spark, daily.TIME_SERIES)
+
+
+def stream_distinct(spark: SparkSession, sf: str) -> DataFrame:
+    """Three deliveries: later ones repeat transactions, and bring some that are too late to be told from repeats."""
+    rows = testdata.dirty_transactions(spark, sf)
+    date, held_back = F.col("date"), (F.col("merchant_state") == "S3") & F.col("date").between("1996", "1997")
+    deliveries = (
+        (date < "1999") & ~held_back,
+        (date >= "1998-10") & (date < "2001"),
+        (date >= "2000-11") | held_back | date.startswith("1995-05"),
+    )
+    folder, out, checkpoint = (scratch_dir(spark) for _ in range(3))
+    codes = read_mcc_json(spark, _mcc_file(spark))
+    for part in deliveries:
+        _deliver(rows.filter(part), folder)
+        stream_distinct_transactions(spark, folder, codes, out, checkpoint, delay="180 days").awaitTermination()
+    silver = read_table(spark, out).withColumn("date", F.date_format("date", "yyyy-MM-dd HH:mm:ss"))
+    return silver.select("id", "date", "client_id")
+
+
 def financial_overview(spark: SparkSession, sf: str) -> DataFrame:
     """Flagship: per client, latest spend, features, and the recommended portfolio."""
     clients = serve.snapshots_from_months(testdata.silver_users(spark, sf), _months(spark, sf))
@@ -553,6 +697,10 @@ QUERIES: dict[str, Query] = {
         csv_transactions,
         csv_users,
         csv_inferred,
+        rejected_transactions,
+        rejected_users,
+        transactions_judged,
+        users_judged,
         csv_to_silver,
         table_overwrite,
         table_partitioned,
@@ -570,7 +718,10 @@ QUERIES: dict[str, Query] = {
         time_series_features,
         time_series_min_history,
         smoothed_spend,
+        calendar_features,
+        calendar_features_filled,
         client_net_amount,
+        distinct_clients_by_year,
         client_spend_totals,
         category_spend_profile,
         top_transactions,
@@ -581,12 +732,16 @@ QUERIES: dict[str, Query] = {
         allocation_rows,
         positive_allocations,
         portfolio_return_and_risk,
+        any_asset_holdings,
+        any_asset_return_and_risk,
         card_offers,
         client_ids,
         table_counts,
         latest_month,
         client_snapshots,
         client_snapshots_one_pass,
+        client_snapshots_as_of,
+        client_lookup,
         clients_without_history,
         client_histories,
         spend_trend,
@@ -609,5 +764,8 @@ QUERIES: dict[str, Query] = {
         daily_refresh,
         daily_refresh_bucketed,
         stream_silver,
+        stream_distinct,
+        incremental_months,
+        incremental_features,
     )
 }

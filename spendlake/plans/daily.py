@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendlake.operators.allocate import portfolio_recommendations
-from spendlake.operators.cleaning import clean_transactions, clean_users
 from spendlake.operators.enrich import add_category
 from spendlake.functions import month_label, month_start
 from spendlake.operators.forecast import (
@@ -28,16 +27,27 @@ from spendlake.operators.forecast import (
 )
 from spendlake.operators.monthly import client_months, time_series_features
 from spendlake.operators.profile import user_portfolio_features
+from spendlake.operators.rejects import (
+    TRANSACTION_REASONS,
+    USER_REASONS,
+    accepted_transactions,
+    accepted_users,
+    judge_transactions,
+    judge_users,
+    reason_table,
+    write_counting,
+)
 from spendlake.operators.serve import advisor_plan, client_snapshots
 from spendlake.session import materialize, shuffle_partitions_for, stored_bytes
 from spendlake.sources import (
     read_mcc_json,
     read_table,
-    read_transactions_csv,
-    read_users_csv,
+    read_transaction_lines,
+    read_user_lines,
     write_table,
 )
 from spendlake.sources.lake import DEFAULT_FORMAT, write_bucketed
+from spendlake.streaming import RollupTables, stream_client_months
 
 
 log = logging.getLogger(__name__)
@@ -61,7 +71,11 @@ class Lake(NamedTuple):
 
 SILVER_TRANSACTIONS = "silver/transactions"
 SILVER_USERS = "silver/users"
+TRANSACTION_COUNTS = "silver/transactions_counts"
+USER_COUNTS = "silver/users_counts"
 CLIENT_MONTHS = "gold/client_months"
+MONTH_PARTS = "gold/client_month_parts"
+ROLLUP_CHECKPOINT = "checkpoints/client_months"
 USER_FEATURES = "gold/user_portfolio_features"
 TIME_SERIES = "gold/time_series_features"
 RECOMMENDATIONS = "gold/portfolio_recommendations"
@@ -81,19 +95,50 @@ def refresh_transactions(
     """Raw transaction files to the silver table: one pass, no shuffle.
 
     ``by_month`` stores it partitioned by ``txn_month``, rebalanced so that a hot month becomes
-    several files, for readers that look at a span of months.
+    several files, for readers that look at a span of months. Beside the table stands how many raw
+    rows were taken and how many dropped for which reason, counted in the same pass.
     """
-    raw = read_transactions_csv(spark, csv_path)
-    silver = clean_transactions(add_category(raw, read_mcc_json(spark, mcc_path)), parse_dates)
-    if by_month:
-        month = month_label(month_start(F.col("date"), text=not parse_dates))
-        lake.write(silver.withColumn("txn_month", month), SILVER_TRANSACTIONS, partition_by=["txn_month"])
-    else:
-        lake.write(silver, SILVER_TRANSACTIONS)
+    lines = add_category(read_transaction_lines(spark, csv_path), read_mcc_json(spark, mcc_path))
+
+    def write(judged: DataFrame) -> None:
+        silver = accepted_transactions(judged, parse_dates)
+        if by_month:
+            month = month_label(month_start(F.col("date"), text=not parse_dates))
+            lake.write(silver.withColumn("txn_month", month), SILVER_TRANSACTIONS, partition_by=["txn_month"])
+        else:
+            lake.write(silver, SILVER_TRANSACTIONS)
+
+    counts = write_counting(judge_transactions(lines), TRANSACTION_REASONS, write)
+    lake.write(reason_table(spark, counts).coalesce(1), TRANSACTION_COUNTS)
 
 
 def refresh_users(spark: SparkSession, csv_path: str, lake: Lake) -> None:
-    lake.write(clean_users(read_users_csv(spark, csv_path)), SILVER_USERS)
+    """Raw user files to the silver table, with the counts of dropped rows beside it."""
+
+    def write(judged: DataFrame) -> None:
+        lake.write(accepted_users(judged), SILVER_USERS)
+
+    counts = write_counting(judge_users(read_user_lines(spark, csv_path)), USER_REASONS, write)
+    lake.write(reason_table(spark, counts).coalesce(1), USER_COUNTS)
+
+
+def rollup_tables(lake: Lake) -> RollupTables:
+    """The tables that the incremental roll-up keeps in a lake."""
+    paths = (lake.path(t) for t in (SILVER_TRANSACTIONS, MONTH_PARTS, CLIENT_MONTHS))
+    return RollupTables(*paths, lake.fmt)
+
+
+def refresh_rollup(
+    spark: SparkSession, csv_folder: str, mcc_path: str, lake: Lake, parse_dates: bool = False
+) -> RollupTables:
+    """Take the raw files that are new since the last run into silver and into the months they touch."""
+    tables = rollup_tables(lake)
+    run = stream_client_months(
+        spark, csv_folder, lambda session: read_mcc_json(session, mcc_path), tables,
+        lake.path(ROLLUP_CHECKPOINT), parse_dates,
+    )
+    run.awaitTermination()
+    return tables
 
 
 def refresh_client_months(
@@ -200,9 +245,14 @@ def run_pipeline(
     target: str = "smoothed",
     trees: int = 200,
     depth: int = 6,
+    incremental: bool = False,
 ) -> Lake:
     """All tables, or those of the named stages, in dependency order.
 
+    With ``incremental`` the transactions are a folder that files are added to: one stream takes the new
+    ones into silver and the roll-up, in place of the first and the third stage. It excludes
+    ``bucketed_as`` and ``by_month``.
+
     ``forecaster`` and ``advisor`` are stages as well, which run only when named: one trains and
     saves the model, the other plans with whichever model is saved.
 
@@ -212,11 +262,18 @@ def run_pipeline(
     unknown = set(stages) - {*STAGES, *MODEL_STAGES}
     if unknown:
         raise ValueError(f"unknown stages: {sorted(unknown)}")
+    if incremental and (bucketed_as or by_month):
+        raise ValueError("the incremental roll-up is stored by batch and month, neither bucketed nor otherwise")
     lake = Lake(out, fmt)
 
     def months() -> DataFrame:
+        if incremental:
+            return rollup_tables(lake).read_months(spark)
         return spark.table(bucketed_as) if bucketed_as else lake.read(spark, CLIENT_MONTHS)
 
+    if incremental and {"transactions", "client_months"} & set(stages):
+        refresh_rollup(spark, transactions_csv, mcc_json, lake, parse_dates)
+        stages = set(stages) - {"transactions", "client_months"}
     if "transactions" in stages:
         refresh_transactions(spark, transactions_csv, mcc_json, lake, parse_dates, by_month)
     if "users" in stages:
@@ -244,9 +301,11 @@ __all__ = [
     "refresh_client_months",
     "refresh_forecaster",
     "refresh_recommendations",
+    "refresh_rollup",
     "refresh_time_series",
     "refresh_transactions",
     "refresh_user_features",
     "refresh_users",
+    "rollup_tables",
     "run_pipeline",
 ]

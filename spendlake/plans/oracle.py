@@ -192,6 +192,42 @@ ASKS_OF_REQUESTS = """asks AS (
          monthly_income - smoothed_target_spend AS budget, risk_score AS risk,
          investment_horizon AS horizon FROM requests)"""
 
+REQUESTS_ASKED = """asks AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS client_id,
+         CASE WHEN c_mktsegment <> 'BUILDING' THEN c_acctbal END AS budget,
+         CASE WHEN c_mktsegment <> 'MACHINERY' THEN c_nationkey % 12
+              WHEN c_nationkey < 20 THEN c_nationkey % 4 END AS risk,
+         CASE WHEN c_nationkey <> 13 THEN c_custkey % 11 END AS horizon
+  FROM customer)"""
+
+# All basic solutions over the assets that are rows; of equal ones that of the widest mix, as the hull has it.
+ANY_ASSETS = f"""any_assets AS (
+  SELECT p_brand || '/' || p_type || '/' || (p_size % 3) AS asset, (sum(p_partkey) % 997) / 1000.0::DOUBLE AS ret,
+         (sum(p_size) % 97) / 8.0::DOUBLE AS risk,
+         CASE WHEN sum(p_size) % 10 = 0 THEN -1 ELSE sum(p_size) % 10 END AS min_horizon
+  FROM part GROUP BY p_brand, p_type, p_size % 3 HAVING sum(p_partkey) % 11 <> 0),
+pairs AS (
+  SELECT asset AS lo, asset AS hi, risk AS lo_risk, risk AS hi_risk, ret AS lo_ret, ret AS hi_ret, min_horizon FROM any_assets
+  UNION ALL
+  SELECT a.asset, b.asset, a.risk, b.risk, a.ret, b.ret, greatest(a.min_horizon, b.min_horizon)
+  FROM any_assets a JOIN any_assets b ON a.risk < b.risk AND a.ret < b.ret),
+kinds AS (SELECT DISTINCT risk, horizon FROM asks WHERE risk IS NOT NULL AND horizon IS NOT NULL),
+mixes AS (
+  SELECT kinds.risk, horizon, pairs.* EXCLUDE (min_horizon),
+         CASE WHEN lo = hi THEN 0.0 ELSE (kinds.risk - lo_risk) / (hi_risk - lo_risk) END AS share
+  FROM kinds JOIN pairs ON horizon >= min_horizon
+   AND ((lo = hi AND lo_risk <= kinds.risk) OR (lo <> hi AND lo_risk < kinds.risk AND kinds.risk < hi_risk))),
+chosen AS (
+  SELECT * FROM mixes QUALIFY row_number() OVER (PARTITION BY risk, horizon ORDER BY
+    round((1 - share) * lo_ret + share * hi_ret, 9) DESC, lo_risk, hi_risk DESC, lo, hi) = 1),
+held AS (
+  SELECT client_id, budget, share, lo, hi, lo_risk, hi_risk, lo_ret, hi_ret,
+         CASE WHEN budget <= 0 THEN 'NO_BUDGET'
+              WHEN budget IS NULL OR asks.risk IS NULL OR asks.horizon IS NULL THEN 'MISSING_INPUT'
+              WHEN lo IS NULL THEN 'INFEASIBLE' ELSE 'OPTIMAL' END AS status,
+         {_half_up("(budget * (1 - share))", 2)} AS lo_amount, {_half_up("(budget * share)", 2)} AS hi_amount
+  FROM asks LEFT JOIN chosen ON chosen.risk = asks.risk AND chosen.horizon = asks.horizon)"""
+
 RECOMMENDED = (*GOLD, ASKS_OF_FEATURES, ALLOCATION)
 ADVISED = (*GOLD, SERIES, REQUESTS, ASKS_OF_REQUESTS, ALLOCATION)
 _PORTFOLIO = f"""budget AS monthly_disposable_income, risk AS risk_tolerance_score,
@@ -246,6 +282,23 @@ judged AS (
   FROM records)"""
 
 
+# The first reason for which cleaning drops a raw row, in the order in which they are asked.
+JUDGED = """judged_lines AS (
+  SELECT date, card_id,
+         CASE WHEN l_tax = 0.08 THEN 'malformed line'
+              WHEN l_tax = 0.05 AND l_returnflag = 'N' THEN 'missing id'
+              WHEN l_tax = 0.04 AND l_returnflag = 'R' THEN 'missing client'
+              WHEN l_tax = 0.07 THEN 'amount is no number'
+              WHEN l_tax = 0.06 AND l_returnflag = 'A' THEN 'amount out of bounds'
+              WHEN abs(amount) >= 1000000 THEN 'amount out of bounds' END AS reason
+  FROM lines)"""
+JUDGED_USERS = """judged_users AS (
+  SELECT address,
+         CASE retirement_age - current_age WHEN 3 THEN 'mistyped field' WHEN 7 THEN 'missing id'
+              WHEN 5 THEN 'yearly income is no number' END AS reason
+  FROM users)"""
+
+
 def _query(ctes: tuple[str, ...], body: str) -> str:
     return f"WITH {', '.join(ctes)}\n{body}"
 
@@ -285,6 +338,27 @@ _SNAPSHOTS = _query(
 )
 
 
+def _calendar(gap: str, mean: str) -> str:
+    """Features by the calendar from a self-join of the months on their numbers."""
+    ago = ", ".join(
+        f"CAST(coalesce(max(spend) FILTER (back = {n}), {gap}) AS DOUBLE) AS {name}"
+        for n, name in ((1, "spend_1_month_ago"), (2, "spend_2_months_ago"), (3, "spend_3_months_ago"))
+    )
+    value = f"coalesce(CAST({mean} AS DOUBLE), {gap})"
+    return _query(
+        (
+            LINES,
+            MONTHS,
+            "placed AS (SELECT *, CAST(substr(txn_month, 1, 4) AS INTEGER) * 12 + CAST(substr(txn_month, 6) AS INTEGER) AS place "
+            "FROM months)",
+            "pairs AS (SELECT a.client_id, a.txn_month, a.spend AS own, a.place - b.place AS back, b.spend FROM placed a "
+            "LEFT JOIN placed b ON a.client_id = b.client_id AND a.place - b.place BETWEEN 1 AND 3)",
+        ),
+        f"SELECT client_id, txn_month, CAST(own AS DOUBLE) AS current_month_spend, {ago}, "
+        f"{_half_up(value, 2)} AS avg_spend_last_3_months FROM pairs GROUP BY client_id, txn_month, own",
+    )
+
+
 def _supervised(features: str, naive: str, label: str, flag: str) -> str:
     return _query(
         TRAINING,
@@ -349,6 +423,18 @@ ORACLE: dict[str, str] = {
         )
         + ", credit_score, num_credit_cards FROM users",
     ),
+    "rejected_transactions": _query(
+        (LINES, JUDGED), "SELECT coalesce(reason, 'accepted') AS reason, count(*) AS rows FROM judged_lines GROUP BY 1"
+    ),
+    "rejected_users": _query(
+        (USERS, JUDGED_USERS), "SELECT coalesce(reason, 'accepted') AS reason, count(*) AS rows FROM judged_users GROUP BY 1"
+    ),
+    "transactions_judged": _query(
+        (LINES, JUDGED), "SELECT date, card_id, reason FROM judged_lines WHERE reason IS NOT NULL"
+    ),
+    "users_judged": _query(
+        (USERS, JUDGED_USERS), "SELECT address, reason FROM judged_users WHERE reason IS NOT NULL"
+    ),
     "csv_to_silver": _SILVER,
     "table_overwrite": _MONTHLY,
     "table_partitioned": _query((LINES,), f"SELECT {_SILVER_COLUMNS}, txn_month FROM lines"),
@@ -390,6 +476,14 @@ ORACLE: dict[str, str] = {
         (LINES, MONTHS, SERIES),
         "SELECT client_id, txn_month, current_month_spend, smoothed_target_spend FROM series",
     ),
+    "calendar_features": _calendar("NULL", "avg(spend)"),
+    "calendar_features_filled": _calendar("0", "sum(spend) / 3"),
+    "distinct_clients_by_year": _query(
+        (LINES,),
+        "SELECT CAST(substr(date, 1, 4) AS INTEGER) AS year, count(*) AS rows, count(DISTINCT client_id) AS clients, "
+        "count(DISTINCT merchant_id) AS merchants, TRUE AS clients_within_error, TRUE AS merchants_within_error "
+        "FROM lines GROUP BY 1",
+    ),
     "client_net_amount": _query(
         (LINES,),
         "SELECT client_id, CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS net_amount "
@@ -419,13 +513,7 @@ ORACLE: dict[str, str] = {
     "portfolio_recommendations": _query(RECOMMENDED, _RECOMMENDATION),
     "allocation_statuses": _query(
         (
-            """asks AS (
-  SELECT CAST(c_custkey AS VARCHAR) AS client_id,
-         CASE WHEN c_mktsegment <> 'BUILDING' THEN c_acctbal END AS budget,
-         CASE WHEN c_mktsegment <> 'MACHINERY' THEN c_nationkey % 12
-              WHEN c_nationkey < 20 THEN c_nationkey % 4 END AS risk,
-         CASE WHEN c_nationkey <> 13 THEN c_custkey % 11 END AS horizon
-  FROM customer)""",
+            REQUESTS_ASKED,
             ALLOCATION,
         ),
         "SELECT client_id, status, "
@@ -439,6 +527,20 @@ ORACLE: dict[str, str] = {
         f"SELECT client_id, {_weighted('annual_return')} AS expected_annual_return, "
         f"{_weighted('risk')} AS expected_annual_risk FROM plan WHERE status = 'OPTIMAL'",
     ),
+    "any_asset_holdings": _query(
+        (REQUESTS_ASKED, ANY_ASSETS),
+        "SELECT client_id, status, lo AS asset, lo_amount AS amount FROM held WHERE status = 'OPTIMAL' "
+        "UNION ALL SELECT client_id, status, hi, hi_amount FROM held WHERE status = 'OPTIMAL' AND lo <> hi "
+        "UNION ALL SELECT client_id, status, NULL, NULL FROM held WHERE status <> 'OPTIMAL'",
+    ),
+    "any_asset_return_and_risk": _query(
+        (REQUESTS_ASKED, ANY_ASSETS),
+        "SELECT client_id, status, CASE status WHEN 'OPTIMAL' THEN "
+        + _half_up("(lo_amount * lo_ret + CASE WHEN lo <> hi THEN hi_amount * hi_ret ELSE 0 END)", 2)
+        + " WHEN 'NO_BUDGET' THEN 0 END AS expected_annual_return, CASE status WHEN 'OPTIMAL' THEN "
+        + _half_up("(lo_amount * lo_risk + CASE WHEN lo <> hi THEN hi_amount * hi_risk ELSE 0 END)", 2)
+        + " WHEN 'NO_BUDGET' THEN 0 END AS expected_annual_risk FROM held",
+    ),
     "card_offers": _query(
         (
             USERS,
@@ -465,6 +567,20 @@ ORACLE: dict[str, str] = {
     ),
     "client_snapshots": _SNAPSHOTS,
     "client_snapshots_one_pass": _SNAPSHOTS,
+    "client_snapshots_as_of": _query(
+        (*GOLD, SERIES, """asks AS (
+  SELECT CAST(o_custkey AS VARCHAR) AS client_id, strftime(o_orderdate - INTERVAL 1 MONTH, '%Y-%m') AS as_of_month
+  FROM orders WHERE o_orderstatus = 'P')"""),
+        "SELECT asks.client_id, as_of_month, txn_month, round(monthly_income, 6) AS monthly_income, "
+        "risk_tolerance_score AS risk_score, investment_horizon, current_month_spend, spend_1_month_ago, "
+        "spend_2_months_ago FROM asks ASOF JOIN series "
+        "ON asks.client_id = series.client_id AND asks.as_of_month >= series.txn_month "
+        "JOIN features ON features.client_id = asks.client_id",
+    ),
+    "client_lookup": _query(
+        (LINES, MONTHS, SERIES),
+        f"SELECT {_SERIES_COLUMNS} FROM series WHERE client_id = (SELECT min(client_id) FROM months)",
+    ),
     "clients_without_history": _query(
         (LINES, USERS, MONTHS),
         "SELECT id AS client_id FROM users WHERE id NOT IN "
@@ -562,4 +678,16 @@ ORACLE: dict[str, str] = {
     "daily_refresh": _query(RECOMMENDED, _RECOMMENDATION),
     "daily_refresh_bucketed": _TIME_SERIES,
     "stream_silver": _SILVER,
+    "stream_distinct": _query(
+        (LINES,),
+        f"SELECT DISTINCT id, date, client_id FROM lines WHERE abs(amount) < 1000000 AND {_KEPT} AND l_tax <> 0.08 "
+        # held back until they were too late
+        "AND NOT (merchant_state = 'S3' AND date BETWEEN '1996' AND '1997')",
+    ),
+    "incremental_months": _query(
+        (LINES, f"silver AS (SELECT * FROM lines WHERE abs(amount) < 1000000 AND {_KEPT} AND l_tax <> 0.08)",
+         MONTHS.replace("FROM lines", "FROM silver")),
+        "SELECT client_id, txn_month, CAST(spend AS DOUBLE) AS spend, CAST(discretionary AS DOUBLE) AS discretionary FROM months",
+    ),
+    "incremental_features": _TIME_SERIES,
 }

@@ -165,6 +165,22 @@ def allocation_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def part_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An asset per brand, type and size class of parts, some with a minimum horizon or without a return."""
+    key, size = F.sum("p_partkey"), F.sum("p_size")
+    return (
+        table(spark, sf_dir, "part")
+        .groupBy("p_brand", "p_type", (F.col("p_size") % 3).alias("class"))
+        .agg(key.alias("key"), size.alias("size"))
+        .select(
+            F.concat_ws("/", "p_brand", "p_type", "class").alias("asset"),
+            F.when(F.col("key") % 11 != 0, F.col("key") % 997 / 1000).alias("annual_return"),
+            (F.col("size") % 97 / 8).alias("risk"),
+            F.when(F.col("size") % 10 != 0, F.col("size") % 10).cast("int").alias("min_horizon"),
+        )
+    )
+
+
 def silver_transactions(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
     """The named silver columns, or all, typed straight from the tables.
 

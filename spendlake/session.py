@@ -6,6 +6,8 @@ import math
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -124,6 +126,31 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{own}/{uuid.uuid4().hex}"
 
 
+#: State of streams on disk instead of the heap, all stores of an executor within one bound, changes uploaded as logs.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    # a store takes the disk its rows need, not four megabytes beforehand
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
+
+
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """Streams started and states read inside keep their state in RocksDB; the session's settings come back."""
+    before = {key: spark.conf.get(key, None) for key in STATE_CONF}
+    try:
+        for key, value in STATE_CONF.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 

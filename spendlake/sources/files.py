@@ -29,6 +29,10 @@ def strict_csv_options(check_header: bool = True) -> dict[str, str]:
     }
 
 
+#: Holds the whole line where it has too few or too many fields.
+MALFORMED = "_malformed"
+
+
 def _all_text(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
 
@@ -75,6 +79,32 @@ def read_users_csv(
     return _read_csv(spark, path, BRONZE_USERS, check_header)
 
 
+def _read_lines(
+    spark: SparkSession, path: str | list[str], schema: T.StructType, check_header: bool
+) -> DataFrame:
+    options = {**strict_csv_options(check_header), "mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED}
+    return spark.read.options(**options).schema(_all_text(schema).add(MALFORMED, "string")).csv(path)
+
+
+def read_transaction_lines(
+    spark: SparkSession, path: str | list[str], check_header: bool = True
+) -> DataFrame:
+    """All lines of raw transactions, as text; those that do not fit the schema are in :data:`MALFORMED`."""
+    return _read_lines(spark, path, BRONZE_TRANSACTIONS, check_header)
+
+
+def read_user_lines(spark: SparkSession, path: str | list[str], check_header: bool = True) -> DataFrame:
+    """All lines of raw users, as text; those that do not fit the schema are in :data:`MALFORMED`."""
+    return _read_lines(spark, path, BRONZE_USERS, check_header)
+
+
+def typed_or_null(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Type the columns of an all-text frame; adds ``mistyped``, the first column that does not parse, or null."""
+    typed = [f for f in schema if not isinstance(f.dataType, T.StringType)]
+    first = F.coalesce(*[F.when(~_parses(f), F.lit(f.name)) for f in typed], F.lit(None).cast("string"))
+    return df.withColumn("mistyped", first).withColumns({f.name: F.col(f.name).try_cast(f.dataType) for f in typed})
+
+
 def read_mcc_json(spark: SparkSession, path: str) -> DataFrame:
     """Rows ``(mcc, category_name)`` from one flat JSON object ``{"5812": "Restaurants", ...}``.
 

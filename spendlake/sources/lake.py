@@ -7,9 +7,12 @@ from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DEFAULT_FORMAT = "parquet"
+#: Of clustered tables: bytes of a file before compression, files at most, bytes of a row group.
+FILE_BYTES, MOST_FILES, ROW_GROUP_BYTES = 1 << 30, 100_000, 16 << 20
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT) -> DataFrame:
@@ -44,12 +47,13 @@ def write_bucketed(
 
     Later group-bys, windows and joins on ``keys`` read it without a shuffle. Only for tables
     in which no key value can be hot, because one task reads one bucket. Each run writes a folder
-    of its own below ``path`` and takes over the name once it is whole; a run that fails leaves the
-    earlier table as it was. The folder replaced is deleted last.
+    of its own below ``path`` and takes over the name once it is whole; the earlier table is named
+    aside until then, and a run that fails gives it its name back. The folder replaced is deleted last.
     """
     spark = df.sparkSession
     run = uuid.uuid4().hex
-    fresh = f"{name}_{run}"
+    fresh, aside = f"{name}_{run}", f"{name}_{run}_old"
+    old = _location(spark, name)
     try:
         (
             df.repartition(buckets, *keys)
@@ -59,19 +63,49 @@ def write_bucketed(
             .option("path", f"{path}/{run}")
             .saveAsTable(fresh)
         )
-        old = _location(spark, name)
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        if old is not None:
+            spark.sql(f"ALTER TABLE {name} RENAME TO {aside}")
         spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
     except Exception:
         spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+        if spark.catalog.tableExists(aside):
+            spark.sql(f"ALTER TABLE {aside} RENAME TO {name}")
         raise
     if old is not None:
+        spark.sql(f"DROP TABLE {aside}")
         folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(old)
         files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
         files.delete(folder, True)
     return spark.table(name)
 
 
+def write_clustered(
+    df: DataFrame, path: str, key: str, order: Sequence[str] = (), files: int | None = None
+) -> None:
+    """Replace the Parquet table at ``path``, its files being ranges of ``key``, with Bloom filters on it.
+
+    A look-up of one key then opens the files whose range holds it, and of their row groups those whose
+    filter knows it. Ranges are cut by key and then by ``order``, so that a hot key fills several files.
+    ``files`` follows from the bytes unless given.
+    """
+    if files is None:
+        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+        files = min(MOST_FILES, max(1, -(-size // FILE_BYTES)))
+    (
+        df.repartitionByRange(files, key, *order).sortWithinPartitions(key, *order)
+        .write.mode("overwrite")
+        .option(f"parquet.bloom.filter.enabled#{key}", "true")
+        .option("parquet.block.size", ROW_GROUP_BYTES)
+        .parquet(path)
+    )
+
+
+def look_up(spark: SparkSession, path: str, key: str, value: object, schema: T.StructType | None = None) -> DataFrame:
+    """The rows of one key of a clustered table. Give ``schema`` to spare the reading of a footer."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path).filter(F.col(key) == F.lit(value))
+
+
 def _location(spark: SparkSession, name: str) -> str | None:
     """Folder of a catalog table, or None if there is no such table."""
     if not spark.catalog.tableExists(name):

@@ -1,0 +1,97 @@
+import random
+
+import pyarrow.parquet as pq
+from pyspark.sql import functions as F
+
+from spendlake.operators.serve import client_snapshots_as_of, series_as_of
+from spendlake.schemas import TIME_SERIES_FEATURES
+from spendlake.sources import look_up, write_clustered
+from spendlake.sources.lake import MOST_FILES
+
+PROFILE = "client_id string, monthly_income double, risk_tolerance_score int, investment_horizon int"
+
+
+def series(spark, *rows):
+    return spark.createDataFrame([(c, m, s, None, None, None, None) for c, m, s in rows], TIME_SERIES_FEATURES)
+
+
+def asks(spark, *rows):
+    return spark.createDataFrame(list(rows), "client_id string, as_of_month string, note int")
+
+
+def test_last_row_up_to_the_month(spark):
+    known = series(spark, ("a", "2020-01", 1.0), ("a", "2020-03", 3.0), ("a", None, 9.0), ("b", "2020-02", 2.0), (None, "2020-01", 7.0))
+    wanted = asks(
+        spark, ("a", "2019-12", 0), ("a", "2020-01", 1), ("a", "2020-02", 2), ("a", "2020-02", 3), ("a", "2025-01", 4),
+        ("z", "2020-02", 5), ("b", "no month", 6), ("b", None, 7), (None, "2020-05", 8), ("b", "2020-02-17", 9),
+    )
+    got = {r.note: r.current_month_spend for r in series_as_of(wanted, known).collect()}
+    assert got == {0: None, 1: 1.0, 2: 1.0, 3: 1.0, 4: 3.0, 5: None, 6: None, 7: None, 8: None, 9: 2.0}
+
+
+def test_many_against_a_plain_search(spark):
+    rng = random.Random(1)
+
+    def month():
+        return f"20{rng.randint(10, 14)}-{rng.randint(1, 12):02}"
+
+    known = sorted({(f"c{rng.randint(0, 8)}", month()) for _ in range(150)})
+    values = {k: float(i) for i, k in enumerate(known)}
+    wanted = [("c1" if rng.random() < 0.4 else f"c{rng.randint(0, 9)}", month(), i) for i in range(900)]
+    answers = series_as_of(asks(spark, *wanted), series(spark, *[(*k, v) for k, v in values.items()])).collect()
+    got = {r.note: (r.txn_month, r.current_month_spend) for r in answers}
+    assert len(got) == len(answers) == 900
+    for client, at, note in wanted:
+        past = [m for c, m in known if c == client and m <= at]
+        assert got[note] == ((past[-1], values[(client, past[-1])]) if past else (None, None))
+
+
+def test_snapshots_need_both_sides(spark):
+    known = series(spark, ("a", "2020-01", 1.0), ("b", "2020-01", 2.0))
+    profiles = spark.createDataFrame([("a", 10.0, 3, 4)], PROFILE)
+    rows = client_snapshots_as_of(asks(spark, ("a", "2020-02", 1), ("a", "2019-01", 1), ("b", "2020-02", 1)), known, profiles).collect()
+    assert [(r.client_id, r.as_of_month, r.txn_month, r.current_month_spend, r.risk_score) for r in rows] == [("a", "2020-02", "2020-01", 1.0, 3)]
+
+
+def test_no_range_join(spark, plan_of):
+    plan = plan_of(series_as_of(asks(spark, ("a", "2020-02", 1)), series(spark, ("a", "2020-01", 1.0))))
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_a_look_up_reads_one_range(spark, tmp_path):
+    path = str(tmp_path / "clustered")
+    rows = spark.range(0, 40_000, numPartitions=4).select(
+        F.format_string("c%05d", F.col("id") % 4000).alias("client_id"), F.col("id").alias("n")
+    )
+    hot = spark.range(20_000).select(F.lit("c02000").alias("client_id"), F.col("id").alias("n"))
+    write_clustered(rows.unionByName(hot), path, "client_id", ["n"], files=8)
+    parts = sorted((tmp_path / "clustered").glob("*.parquet"))
+    assert len(parts) == 8 <= MOST_FILES
+    sizes, holding = [], []
+    for part in parts:
+        meta = pq.ParquetFile(part).metadata
+        sizes.append(meta.num_rows)
+        stats = [meta.row_group(i).column(0).statistics for i in range(meta.num_row_groups)]
+        holding.append(any(s.min <= "c03999" <= s.max for s in stats))
+        assert meta.num_row_groups >= 1
+    assert max(sizes) < 3 * 60_000 / 8  # the hot client fills several files
+    assert sum(holding) == 1
+    found = look_up(spark, path, "client_id", "c03999", rows.schema)
+    assert found.count() == 10
+    plan = found._jdf.queryExecution()
+    plan.executedPlan().executeCollect()
+    scan = plan.executedPlan()
+    while not scan.children().isEmpty():
+        scan = scan.children().head()
+    assert "EqualTo(client_id,c03999)" in plan.executedPlan().toString()
+    assert scan.metrics().apply("numOutputRows").value() < 60_000 / 4
+    assert look_up(spark, path, "client_id", "c0399", rows.schema).count() == 0
+
+
+def test_bloom_filters_are_written(spark, tmp_path):
+    path = tmp_path / "t"
+    write_clustered(spark.range(1000).select(F.col("id").cast("string").alias("k")), str(path), "k", files=1)
+    plain = tmp_path / "p"
+    spark.range(1000).select(F.col("id").cast("string").alias("k")).coalesce(1).sort("k").write.parquet(str(plain))
+    sizes = [sum(f.stat().st_size for f in folder.glob("*.parquet")) for folder in (path, plain)]
+    assert sizes[0] > sizes[1] + 500

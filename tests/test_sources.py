@@ -148,6 +148,26 @@ def test_bucketed_table_needs_no_shuffle(spark, tmp_path, plan_of):
     spark.sql("DROP TABLE b_test")
 
 
+def test_a_failed_swap_gives_the_name_back(spark, tmp_path, monkeypatch):
+    rows = spark.range(20).selectExpr("cast(id as string) client_id")
+    write_bucketed(rows, "b_swap", str(tmp_path / "b"), 2, ["client_id"], ["client_id"])
+    run = type(spark).sql
+
+    def failing(self, query, *args, **kwargs):
+        if "_old" not in query and query.endswith("RENAME TO b_swap"):
+            raise RuntimeError("stop")
+        return run(self, query, *args, **kwargs)
+
+    monkeypatch.setattr(type(spark), "sql", failing)
+    with pytest.raises(RuntimeError):
+        write_bucketed(rows.limit(1), "b_swap", str(tmp_path / "b"), 2, ["client_id"], ["client_id"])
+    assert spark.table("b_swap").count() == 20
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("b_swap_")]
+    monkeypatch.undo()
+    assert write_bucketed(rows.limit(1), "b_swap", str(tmp_path / "b"), 2, ["client_id"], ["client_id"]).count() == 1
+    spark.sql("DROP TABLE b_swap")
+
+
 @pytest.mark.parametrize("text", ['{"1": "a", "2": ', '["a", "b"]', "", "7"])
 def test_unreadable_dictionary_fails(spark, tmp_path, text):
     (tmp_path / "mcc.json").write_text(text)
