@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendlake.functions import is_number, month_label, parse_timestamp
-from spendlake.operators import allocate, cleaning, enrich, forecast, frontier, monthly, profile, rejects, serve, sketches
+from spendlake.operators import allocate, assortment, cleaning, enrich, forecast, frontier, monthly, profile, rejects, serve, sketches
 from spendlake.plans import daily, testdata
 from spendlake.schemas import BRONZE_USERS, USER_PORTFOLIO_FEATURES
 from spendlake.session import materialize, scratch_dir
@@ -392,6 +392,15 @@ def card_offers(spark: SparkSession, sf: str) -> DataFrame:
     return _round6(offers, "risk_budget")
 
 
+def any_card_offers(spark: SparkSession, sf: str) -> DataFrame:
+    """Bundles of up to three of thirty products that are rows of a table."""
+    bundles = assortment.product_bundles(*testdata.part_products(spark, sf), max_cards=3)
+    offers = assortment.offer_bundles(testdata.silver_users(spark, sf), bundles).select(
+        F.col("id").alias("client_id"), "risk_budget", "status", "bundle", "revenue", "risk_cost"
+    )
+    return _round6(offers, "risk_budget")
+
+
 # -- serving -----------------------------------------------------------------------------------
 
 
@@ -735,6 +744,7 @@ QUERIES: dict[str, Query] = {
         any_asset_holdings,
         any_asset_return_and_risk,
         card_offers,
+        any_card_offers,
         client_ids,
         table_counts,
         latest_month,

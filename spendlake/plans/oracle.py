@@ -555,6 +555,33 @@ ORACLE: dict[str, str] = {
         "'MISSING_INPUT' WHEN bundle IS NULL THEN 'INFEASIBLE' ELSE 'OPTIMAL' END AS status, "
         "bundle, revenue, risk_cost FROM ranked WHERE place = 1",
     ),
+    "any_card_offers": _query(
+        (
+            USERS,
+            """cards AS (
+  SELECT p_size % 30 AS n, 'Card_' || (p_size % 30) AS product, 50 + sum(p_partkey) % 400 AS revenue,
+         60 + sum(p_partkey) % 289 AS risk_cost
+  FROM part GROUP BY p_size % 30),
+allowed AS (SELECT a.n AS a, b.n AS b FROM cards a JOIN cards b ON a.n < b.n WHERE b.n <> a.n + 1 AND a.n + b.n <> 35),
+any_bundles AS (
+  SELECT '' AS bundle, 0 AS revenue, 0 AS risk_cost
+  UNION ALL SELECT product, revenue, risk_cost FROM cards
+  UNION ALL SELECT x.product || '+' || y.product, x.revenue + y.revenue, x.risk_cost + y.risk_cost
+  FROM allowed JOIN cards x ON x.n = a JOIN cards y ON y.n = b
+  UNION ALL SELECT x.product || '+' || y.product || '+' || z.product, x.revenue + y.revenue + z.revenue,
+                   x.risk_cost + y.risk_cost + z.risk_cost
+  FROM allowed p JOIN allowed q ON q.a = p.b JOIN allowed r ON r.a = p.a AND r.b = q.b
+  JOIN cards x ON x.n = p.a JOIN cards y ON y.n = p.b JOIN cards z ON z.n = q.b)""",
+            "budgets AS (SELECT id AS client_id, credit_score - total_debt / "
+            "nullif(yearly_income, 0) * 50 AS budget FROM users)",
+            "ranked AS (SELECT client_id, budget, bundle, revenue, risk_cost, row_number() OVER "
+            "(PARTITION BY client_id ORDER BY revenue DESC, risk_cost, bundle) AS place "
+            "FROM budgets LEFT JOIN any_bundles ON risk_cost <= budget)",
+        ),
+        "SELECT client_id, round(budget, 6) AS risk_budget, CASE WHEN budget IS NULL THEN "
+        "'MISSING_INPUT' WHEN bundle IS NULL THEN 'INFEASIBLE' ELSE 'OPTIMAL' END AS status, "
+        "bundle, CAST(revenue AS BIGINT) AS revenue, CAST(risk_cost AS BIGINT) AS risk_cost FROM ranked WHERE place = 1",
+    ),
     "client_ids": _query((LINES, MONTHS), "SELECT DISTINCT client_id FROM months"),
     "table_counts": _query(
         GOLD,

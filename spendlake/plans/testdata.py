@@ -165,6 +165,20 @@ def allocation_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def part_products(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Thirty card products from the sizes of parts, and the pairs that exclude each other."""
+    position = (F.col("p_size") % 30).alias("position")
+    products = table(spark, sf_dir, "part").groupBy(position).agg(
+        (50 + F.sum("p_partkey") % 400).alias("revenue"), (60 + F.sum("p_partkey") % 289).alias("risk_cost")
+    )
+    products = products.withColumn("product", F.concat(F.lit("Card_"), F.col("position").cast("string")))
+    place = F.col("position")
+    exclusions = products.select("product", F.explode(F.array(place + 1, 35 - place)).alias("p")).select(
+        "product", F.concat(F.lit("Card_"), F.col("p").cast("string")).alias("other")
+    )
+    return products, exclusions
+
+
 def part_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An asset per brand, type and size class of parts, some with a minimum horizon or without a return."""
     key, size = F.sum("p_partkey"), F.sum("p_size")
