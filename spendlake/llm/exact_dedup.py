@@ -16,12 +16,12 @@ Built-in functions only; no Python touches a row.
 from __future__ import annotations
 
 from collections.abc import Callable
-from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendlake.llm.common import materialize, scratch_dir
+from spendlake.session import rocksdb_state
 
 #: Bytes of input that a micro-batch reads.
 BATCH_BYTES = 64 << 30
@@ -30,16 +30,6 @@ BITMAP_BITS = 1 << 24
 
 Digest = Callable[[Column], Column]
 
-# RocksDB instead of the heap, all stores of an executor within one bound, changes uploaded as logs.
-_STATE_CONF = {
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
-}
-
-
 def normalised(text: Column) -> Column:
     """Each run of white space as one space; null as empty."""
     # single spaces stay as they are and need no replacing
@@ -50,21 +40,6 @@ def sha256(text: Column) -> Column:
     return F.unhex(F.sha2(text, 256))
 
 
-@contextmanager
-def _conf(spark: SparkSession, settings: dict[str, str]):
-    before = {key: spark.conf.get(key, None) for key in settings}
-    try:
-        for key, value in settings.items():
-            spark.conf.set(key, value)
-        yield
-    finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
-
-
 def _located(files: DataFrame, digest: Digest) -> DataFrame:
     """``doc_id, text, digest, locator`` of each row of Parquet files; the text is normalised."""
     return files.select(
@@ -104,7 +79,7 @@ class StreamDedup:
         groups = _located(files, self.digest).groupBy("digest").agg(
             F.min(first).alias("first"), F.count(F.lit(1)).alias("n")
         )
-        with _conf(self.spark, _STATE_CONF):
+        with rocksdb_state(self.spark):
             run = (
                 groups.writeStream.format("noop").outputMode("update")
                 .option("checkpointLocation", self.root).trigger(availableNow=True).start()
@@ -112,15 +87,17 @@ class StreamDedup:
             run.awaitTermination()
 
     def groups(self) -> DataFrame:
-        """The state: ``digest, first (no_id, doc_id, locator), n``."""
-        with _conf(self.spark, _STATE_CONF):
+        """The state as a stored table: ``digest, first (no_id, doc_id, locator), n``."""
+        with rocksdb_state(self.spark):
             state = self.spark.read.format("statestore").load(self.root)
-        value = state.schema["value"].dataType.names
-        return state.select(
-            F.col("key.digest").alias("digest"),
-            F.col(f"value.{value[0]}").alias("first"),
-            F.col(f"value.{value[1]}").alias("n"),
-        )
+            value = state.schema["value"].dataType.names
+            return materialize(
+                state.select(
+                    F.col("key.digest").alias("digest"),
+                    F.col(f"value.{value[0]}").alias("first"),
+                    F.col(f"value.{value[1]}").alias("n"),
+                )
+            )
 
     def rows(self) -> DataFrame:
         """``doc_id, text, digest, locator`` of all rows of the files."""
@@ -128,7 +105,7 @@ class StreamDedup:
 
     def result(self) -> DataFrame:
         """One row per document: ``doc_id, keep_id, group_size, kept, text_sha256``."""
-        groups = materialize(self.groups())
+        groups = self.groups()
         rows = self.rows()
         found = rows.select("doc_id", "locator", "digest", F.sha2("text", 256).alias("text_sha256"))
         found = found.join(groups, "digest")
