@@ -56,6 +56,49 @@ RULES = BASE_RULES + MORE_RULES
 SPAN = "array<struct<start:int,rank:int,end:int,kind:string>>"
 
 
+#: Elements that one fold collects. A fold copies what it has collected with every element, so a
+#: long array is folded in blocks, and what the blocks come to in a fold of its own.
+BLOCK = 512
+
+
+def _blocks(values: Column) -> Column:
+    """An array cut into arrays of :data:`BLOCK` elements; none from none."""
+    starts = F.when(F.size(values) > 0, F.sequence(F.lit(1), F.size(values), F.lit(BLOCK))).otherwise(
+        F.array().cast("array<int>")
+    )
+    return F.transform(starts, lambda i: F.slice(values, i, F.lit(BLOCK)))
+
+
+def running(values: Column, first: Column, step, total) -> Column:
+    """For each of the integers in ``values`` what ``step`` has made of ``first`` and those before it.
+
+    ``total`` is what ``step`` makes of a whole array, as a function of it.
+    """
+
+    def fold(own: Column, start: Column) -> Column:
+        empty = F.struct(start.alias("at"), F.array().cast("array<int>").alias("out"))
+
+        def add(state: Column, value: Column) -> Column:
+            return F.struct(
+                step(state["at"], value).alias("at"), F.concat(state["out"], F.array(state["at"])).alias("out")
+            )
+
+        return F.aggregate(own, empty, add, lambda state: state["out"])
+
+    def joined(blocks: Column) -> Column:
+        return F.flatten(F.zip_with(blocks, fold(F.transform(blocks, total), first), fold))
+
+    return let(_blocks(values), joined)
+
+
+def running_sum(values: Column, first: Column) -> Column:
+    return running(values, first, lambda a, x: a + x, lambda own: F.aggregate(own, F.lit(0), lambda a, x: a + x))
+
+
+def running_max(values: Column, first: Column) -> Column:
+    return running(values, first, F.greatest, F.array_max)
+
+
 def rule_spans(text: Column, rule: Rule, rank: int) -> Column:
     """Spans of a rule's matches, in code points, end exclusive.
 
@@ -63,26 +106,27 @@ def rule_spans(text: Column, rule: Rule, rank: int) -> Column:
     """
     pattern = F.lit(rule.pattern)
 
-    def positions(parts: Column) -> Column:
-        def step(state: Column, i: Column) -> Column:
-            match = parts["matches"][i]
-            start = state["at"] + F.length(parts["pieces"][i])
-            end = start + F.length(match)
-            judged = match if rule.group == 0 else F.regexp_extract(match, rule.pattern, rule.group)
-            span = F.struct(
-                start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(rule.name).alias("kind")
-            )
-            more = F.when(F.length(judged) >= rule.least, F.array(span)).otherwise(F.array().cast(SPAN))
-            return F.struct(end.alias("at"), F.concat(state["out"], more.cast(SPAN)).alias("out"))
-
-        start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
-        steps = F.sequence(F.lit(0), F.size(parts["matches"]) - 1)
-        return F.aggregate(steps, start, step, lambda state: state["out"])
+    def located(parts: Column) -> Column:
+        steps = F.zip_with(
+            parts["matches"], F.slice(parts["pieces"], F.lit(1), F.size(parts["matches"])),
+            lambda match, piece: F.length(piece) + F.length(match),
+        )
+        # where each match ends: the lengths up to it, its own included
+        ends = let(steps, lambda own: F.zip_with(running_sum(own, F.lit(0)), own, lambda before, length: before + length))
+        return F.zip_with(parts["matches"], ends, span)
+
+    def span(match: Column, end: Column) -> Column:
+        judged = match if rule.group == 0 else F.regexp_extract(match, rule.pattern, rule.group)
+        found = F.struct(
+            (end - F.length(match)).alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(rule.name).alias("kind")
+        )
+        return F.when(F.length(judged) >= rule.least, found)
 
     parts = F.struct(
         F.regexp_extract_all(text, pattern, F.lit(0)).alias("matches"), F.split(text, rule.pattern, -1).alias("pieces")
     )
-    return F.when(F.regexp_like(text, pattern), let(parts, positions)).otherwise(F.array().cast(SPAN))
+    spans = F.filter(let(parts, located), lambda s: s.isNotNull()).cast(SPAN)
+    return F.when(F.regexp_like(text, pattern), spans).otherwise(F.array().cast(SPAN))
 
 
 def _content(text: str = "text") -> Column:
@@ -171,20 +215,39 @@ def span_list(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
+def cut(text: Column, pieces: Column) -> Column:
+    """The texts of ``pieces``, ascending structs of ``start`` and ``end`` that do not overlap.
+
+    Finding a place in a text takes a walk to it, so pieces are cut out of the stretch that their block covers.
+    """
+
+    def of(block: Column) -> Column:
+        first = block[0]["start"]
+        stretch = F.substring(text, first + 1, F.element_at(block, -1)["end"] - first)
+        return let(stretch, lambda short: F.transform(
+            block, lambda p: F.substring(short, p["start"] - first + 1, p["end"] - p["start"])
+        ))
+
+    return F.flatten(F.transform(_blocks(pieces), of))
+
+
 def redacted(text: Column, spans: Column) -> Column:
     """The text with each span, or run of overlapping spans, replaced by the first one's kind."""
 
-    def step(state: Column, span: Column) -> Column:
-        gap = F.substring(text, state["at"] + 1, F.greatest(span["start"] - state["at"], F.lit(0)))
-        more = F.when(span["start"] >= state["at"], F.concat(gap, F.lit("["), span["kind"], F.lit("]")))
-        return F.struct(
-            F.greatest(state["at"], span["end"]).alias("at"),
-            F.concat(state["out"], F.coalesce(more, F.lit(""))).alias("out"),
-        )
+    def replaced(own: Column) -> Column:
+        # the furthest end of the spans before each: one that starts there or later begins a run
+        reached = running_max(F.transform(own, lambda s: s["end"]), F.lit(0))
+        opens = F.zip_with(own, reached, lambda s, at: F.when(
+            s["start"] >= at, F.struct(at.alias("start"), s["start"].alias("end"), s["kind"].alias("kind"))
+        ))
+        return let(F.filter(opens, lambda p: p.isNotNull()), lambda gaps: filled(gaps, own))
+
+    def filled(gaps: Column, own: Column) -> Column:
+        kept = F.zip_with(cut(text, gaps), gaps, lambda gap, p: F.concat(gap, F.lit("["), p["kind"], F.lit("]")))
+        rest = F.substring(text, F.array_max(F.transform(own, lambda s: s["end"])) + 1, F.length(text))
+        return F.concat(F.array_join(kept, ""), rest)
 
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    rest = lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text)))
-    return F.aggregate(spans, start, step, rest)
+    return F.when(F.size(spans) > 0, let(spans, replaced)).otherwise(text)
 
 
 def redact_secrets(docs: DataFrame, ledger: str | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:

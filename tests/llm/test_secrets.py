@@ -100,3 +100,27 @@ def test_redaction_keeps_rows_and_columns(edge):
 
 def test_native_plan(spark, edge, plan_of):
     assert "Python" not in plan_of(s.redact_secrets(edge)) and "Arrow" not in plan_of(s.secrets(edge.select("path", "text")))
+
+
+def test_many_findings_in_one_text(spark):
+    """Positions and redaction take time in proportion to the findings, past the length of a fold's block."""
+    text = " ".join(f"{i:016x} é" for i in range(100_000))
+    rows = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    spans = s.secrets(rows.withColumnRenamed("doc_id", "path")).first().spans
+    assert [(x.start, x.end) for x in spans] == [(19 * i, 19 * i + 16) for i in range(100_000)]
+    assert s.redact_secrets(rows).first().text == " ".join(["[hex] é"] * 100_000)
+
+
+def test_overlapping_spans_across_blocks(spark, monkeypatch):
+    monkeypatch.setattr(s, "BLOCK", 3)
+    rng = random.Random(9)
+    rows = [(i, " ".join(rng.choice(CASES) for _ in range(rng.randint(0, 25)))) for i in range(40)]
+    assert sorted(spans_of(spark, rows=rows)) == [(i, plain(t)) for i, t in rows]
+    redacted = s.redact_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    for row in redacted:
+        text, at, out = rows[row.doc_id][1], 0, ""
+        for start, _, end, kind in plain(text):
+            if start >= at:
+                out += text[at:start] + f"[{kind}]"
+            at = max(at, end)
+        assert row.text == out + text[at:]
