@@ -98,8 +98,8 @@ def raw(spark, sf_dir, tmp_path_factory):
 
 def test_daily_job_takes_only_new_files(spark, sf_dir, raw, tmp_path):
     folder, out = str(tmp_path / "in"), str(tmp_path / "lake")
-    rows = testdata.dirty_transactions(spark, sf_dir)
-    parts = (F.col("date") < "1998", F.col("date") >= "1998")
+    rows = testdata.dirty_transactions(spark, sf_dir).filter("date < '1996'")
+    parts = (F.col("date") < "1995-09", F.col("date") >= "1995-09")
     for part in parts:
         rows.filter(part).repartition(3).write.mode("append").csv(folder, header=True, quote="\u0000")
         lake = daily.run_pipeline(spark, folder, f"{raw}/users", f"{raw}/mcc.json", out, incremental=True)
@@ -116,8 +116,8 @@ def test_daily_job_takes_only_new_files(spark, sf_dir, raw, tmp_path):
 
 def test_many_small_batches_and_a_lost_checkpoint(spark, sf_dir, raw, tables, tmp_path):
     folder = str(tmp_path / "in")
-    rows = testdata.bronze_transactions(spark, sf_dir)
-    rows.repartition(4).write.csv(folder, header=True, quote="\u0000")
+    rows = testdata.bronze_transactions(spark, sf_dir).filter("date < '1995-06'")
+    rows.repartition(3).write.csv(folder, header=True, quote="\u0000")
 
     def codes(session):
         return read_mcc_json(session, f"{raw}/mcc.json")
