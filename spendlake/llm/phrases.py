@@ -5,9 +5,9 @@ break between pieces. Then, for phrases of two words and more, two passes over t
 
 * **Candidates.** A phrase can be frequent only if the phrase without its last word and the one
   without its first are. Positions where the trie of frequent shorter phrases accepts are extended by
-  the next word. Of these a shard (chunks that one task holds together) reports those that it holds
-  at least ``min_count`` times its share of all words: a phrase below that in every shard is below
-  ``min_count`` in the sum, so that none is missed.
+  the next word. A shard (chunks that one task holds together) reports how often it holds each, up to
+  ``min_count`` and no further: sums of these tell whether ``min_count`` is reached, so that no frequent
+  phrase is missed, and nothing else becomes a candidate.
 * **Counts.** The candidates go into a double-array trie, which is broadcast. Numpy moves the states
   of all positions of a chunk one word on at a time, drops those that fail, and counts accepting
   states. The counts of the shards are summed.
@@ -32,10 +32,12 @@ from pyspark.sql import functions as F
 
 from spendlake.llm.common import map_arrow, materialize, text_rows, with_row_id
 
-#: Phrases of one broadcast trie: some 50 MB with five words each.
+#: Phrases of one broadcast trie: some 60 MB with five words each.
 TRIE_PHRASES = 1 << 19
+#: Places tried for a state's children before they go behind all others.
+PLACED = 16
 #: Words that a task holds at once when it looks for candidates.
-SHARD_WORDS = 1 << 23
+SHARD_WORDS = 1 << 21
 #: Parts of a language in the first of two rounds of its ranking.
 RANK_PARTS = 64
 NO_LANGUAGE = "und"
@@ -73,18 +75,25 @@ def coded_words(texts: list[bytes]) -> tuple[np.ndarray, pa.Array, int]:
     inside[1:-1] = (mapped != _SPACE) & (mapped != _BREAK)
     change = np.diff(inside)
     starts, ends = np.flatnonzero(change == 1), np.flatnonzero(change == -1)
+    del change
     offsets = np.zeros(len(starts) + 1, np.int64)
     np.cumsum(ends - starts, out=offsets[1:])
-    data = mapped[inside[1:-1].astype(bool)]
+    del ends
+    data = mapped[inside[1:-1].view(bool)]
+    del inside
     words = pa.Array.from_buffers(
         pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)]
     ).dictionary_encode()
     codes = words.indices.to_numpy().astype(np.int32)
-    piece = np.cumsum(mapped == _BREAK)[starts]
+    piece = np.searchsorted(np.flatnonzero(mapped == _BREAK), starts)
     cuts = np.flatnonzero(np.diff(piece)) + 1
     return np.insert(codes, cuts, -1), words.dictionary, len(starts)
 
 
+def _one_list(values: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+
 def _encode(batches, seed: int, word_hash) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         of: dict[bytes, list[bytes]] = {}
@@ -94,16 +103,15 @@ def _encode(batches, seed: int, word_hash) -> Iterator[pa.RecordBatch]:
             codes, words, n_words = coded_words(texts)
             if not n_words:
                 continue
-            own = words.to_pylist()
-            hashes = np.array([word_hash(lang, w, seed) for w in own], np.uint64)
-            counts = np.bincount(codes[codes >= 0], minlength=len(own))
+            hashes = np.fromiter((word_hash(lang, w, seed) for w in words.to_pylist()), np.uint64, len(words))
+            counts = np.bincount(codes[codes >= 0], minlength=len(words))
             yield pa.RecordBatch.from_pydict(
                 {
                     "n_words": pa.array([n_words]),
                     "codes": pa.array([codes.tobytes()], pa.binary()),
-                    "words": pa.array([words.cast(pa.string()).to_pylist()], pa.list_(pa.string())),
-                    "hashes": pa.array([hashes.view(np.int64)], pa.list_(pa.int64())),
-                    "counts": pa.array([counts], pa.list_(pa.int64())),
+                    "words": _one_list(words.cast(pa.binary()).cast(pa.string())),
+                    "hashes": _one_list(pa.array(hashes.view(np.int64))),
+                    "counts": _one_list(pa.array(counts)),
                     "lang": pa.array([lang.decode()]),
                 }
             )
@@ -139,9 +147,14 @@ def _encoded(docs: DataFrame, word_hash) -> tuple[DataFrame, DataFrame]:
 
 
 class Trie(NamedTuple):
-    """A double-array trie: the child of state ``s`` by word ``w`` is ``base[s] + w`` if ``check`` there is ``s``."""
+    """A double-array trie: the child of state ``s`` by digit ``d`` is ``base[s] + d`` if ``check`` there is ``s``.
+
+    A word is its place among the ``known`` hashes, written in ``digits`` digits of base 256: children
+    then lie close together, whatever the number of words.
+    """
 
-    known: np.ndarray  # sorted hashes; a word's place is its number
+    known: np.ndarray
+    digits: int
     base: np.ndarray
     check: np.ndarray
     accept: np.ndarray  # index of the phrase that ends in a state, or -1
@@ -152,86 +165,98 @@ class Trie(NamedTuple):
 class _Slots:
     """Free places of a growing double array. Place 0 is the root's."""
 
-    def __init__(self, size: int):
-        self.used = np.zeros(size, bool)
+    def __init__(self, room: int):
+        self.used = np.zeros(room, bool)
         self.used[0] = True
+        self.size = 1
         self.random = np.random.default_rng(0)
 
-    def grow(self, by: int) -> None:
-        self.used = np.concatenate((self.used, np.zeros(max(by, len(self.used)), bool)))
-
-    def place(self, words: np.ndarray) -> int:
-        """A base under which all ``words`` (sorted) fall on free places."""
-        first, last = int(words[0]), int(words[-1])
-        if last - first < len(self.used):
-            for base in self.random.integers(-first, len(self.used) - last, 64).tolist():
-                if not self.used[base + words].any():
-                    self.used[base + words] = True
+    def _grow(self, by: int) -> None:
+        self.size += by
+        if self.size > len(self.used):
+            more = max(self.size - len(self.used), len(self.used))
+            self.used = np.concatenate((self.used, np.zeros(more, bool)))
+
+    def place(self, digits: np.ndarray) -> int:
+        """A base under which all ``digits`` (sorted) fall on free places, behind all others if need be."""
+        first, last = int(digits[0]), int(digits[-1])
+        if last - first + 1 < self.size:
+            for base in self.random.integers(1 - first, self.size - last, PLACED).tolist():
+                if not self.used[base + digits].any():
+                    self.used[base + digits] = True
                     return base
-        base = len(self.used) - first
-        self.grow(last - first + 1)
-        self.used[base + words] = True
+        base = self.size - first
+        self._grow(last - first + 1)
+        self.used[base + digits] = True
         return base
 
-    def place_singles(self, words: np.ndarray) -> np.ndarray:
-        """A base for each of the words, one free place apiece."""
-        free = np.flatnonzero(~self.used)
-        if len(free) < len(words):
-            self.grow(len(words))
-            free = np.flatnonzero(~self.used)
-        free = free[: len(words)]
+    def place_singles(self, digits: np.ndarray) -> np.ndarray:
+        """A base for each of the digits, one free place apiece."""
+        free = np.flatnonzero(~self.used[: self.size])[: len(digits)]
+        lacking = len(digits) - len(free)
+        if lacking:
+            free = np.append(free, np.arange(self.size, self.size + lacking))
+            self._grow(lacking)
         self.used[free] = True
-        return free - words
+        return free - digits
+
+
+def _in_digits(words: np.ndarray, digits: int) -> np.ndarray:
+    """Each word's digits of base 256, the highest first, as further columns."""
+    return np.stack([(words >> (8 * d)) & 255 for d in reversed(range(digits))], axis=-1).reshape(len(words), -1)
 
 
 def build_trie(paths: np.ndarray, numbers: np.ndarray) -> Trie:
     """The trie of phrases that are given as rows of word hashes."""
     n, depth = paths.shape
     known, words = np.unique(paths, return_inverse=True)
-    words = words.reshape(n, depth)
-    slots = _Slots(max(2 * n * depth, 2 * len(known), 16))
+    digits = max(1, -(-int(len(known) - 1).bit_length() // 8))
+    steps = _in_digits(words.reshape(n, depth), digits)
+    slots = _Slots(max(2 * n, 16))
     node = np.zeros(n, np.int64)  # state that each phrase has reached
-    base_of, check_of = {}, {}
-    for level in range(depth):
-        key, which = np.unique(node * len(known) + words[:, level], return_inverse=True)
-        parent, word = np.divmod(key, len(known))
+    edges = []
+    for level in range(depth * digits):
+        key, which = np.unique(node << 8 | steps[:, level], return_inverse=True)
+        parent, digit = key >> 8, key & 255
         starts = np.flatnonzero(np.concatenate(([True], np.diff(parent) != 0)))
         sizes = np.diff(np.append(starts, len(parent)))
         base = np.zeros(len(starts), np.int64)
         for i in np.argsort(-sizes, kind="stable")[: int((sizes > 1).sum())].tolist():
-            base[i] = slots.place(word[starts[i] : starts[i] + sizes[i]])
+            base[i] = slots.place(digit[starts[i] : starts[i] + sizes[i]])
         single = sizes == 1
-        base[single] = slots.place_singles(word[starts[single]])
-        at = np.repeat(base, sizes) + word
-        base_of[level], check_of[level] = (parent[starts], base), (at, parent)
+        base[single] = slots.place_singles(digit[starts[single]])
+        at = np.repeat(base, sizes) + digit
+        edges.append((parent[starts], base, at, parent))
         node = at[which.ravel()]
-    size = len(slots.used)
-    bases, checks = np.zeros(size, np.int32), np.full(size, -1, np.int32)
-    for level in range(depth):
-        bases[base_of[level][0]] = base_of[level][1]
-        checks[check_of[level][0]] = check_of[level][1]
-    accept = np.full(size, -1, np.int32)
+    bases, checks = np.zeros(slots.size, np.int32), np.full(slots.size, -1, np.int32)
+    for parents, base, at, parent in edges:
+        bases[parents] = base
+        checks[at] = parent
+    accept = np.full(slots.size, -1, np.int32)
     accept[node] = np.arange(n)
-    return Trie(known, bases, checks, accept, numbers, depth)
+    return Trie(known, digits, bases, checks, accept, numbers, depth)
 
 
 def word_numbers(trie: Trie, hashes: np.ndarray) -> np.ndarray:
     """The trie's number of each hash, -1 where it has none, and -1 once more for breaks (code -1)."""
     at = np.minimum(np.searchsorted(trie.known, hashes), len(trie.known) - 1)
-    return np.append(np.where(trie.known[at] == hashes, at, -1), -1)
+    return np.append(np.where(trie.known[at] == hashes, at, -1), -1).astype(np.int32)
 
 
 def walk(trie: Trie, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Positions where a phrase of the trie begins, and the states in which they end."""
     words = np.concatenate((words, np.full(trie.depth, -1, words.dtype)))
-    position = np.flatnonzero(words >= 0)
-    state = np.zeros(len(position), np.int64)
+    position = np.flatnonzero(words >= 0).astype(np.int32)
+    state = np.zeros(len(position), np.int32)
     for level in range(trie.depth):
         word = words[position + level]
-        ahead = trie.base[state] + word
-        ok = (word >= 0) & (ahead >= 0) & (ahead < len(trie.check))
-        ok &= trie.check[np.where(ok, ahead, 0)] == state
-        position, state = position[ok], ahead[ok]
+        inside = word >= 0
+        position, state, word = position[inside], state[inside], word[inside]
+        for digit in reversed(range(trie.digits)):
+            ahead = trie.base[state] + ((word >> (8 * digit)) & 255)
+            ok = (ahead >= 0) & (ahead < len(trie.check))
+            ok &= trie.check[np.where(ok, ahead, 0)] == state
+            position, state, word = position[ok], ahead[ok], word[ok]
     return position, state
 
 
@@ -258,8 +283,8 @@ def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray
         yield n_words, np.frombuffer(codes.as_buffer(), np.int32), own
 
 
-def _extensions(shard, trie: Trie, whole: bool, least: int) -> pa.RecordBatch:
-    """``(number of a phrase, hash of the word after it)`` found at least ``least`` times in the shard."""
+def _extensions(shard, trie: Trie, whole: bool, enough: int) -> pa.RecordBatch:
+    """``(number of a phrase, hash of the word after it)`` with its count in the shard, ``enough`` at most."""
     alphabet = np.unique(np.concatenate([hashes for _, _, hashes in shard]))
     found = []
     for _, codes, hashes in shard:
@@ -273,27 +298,27 @@ def _extensions(shard, trie: Trie, whole: bool, least: int) -> pa.RecordBatch:
         place = np.searchsorted(alphabet, hashes)
         found.append(trie.accept[state[ok]].astype(np.int64) * len(alphabet) + place[after[ok]])
     keys, counts = np.unique(np.concatenate(found), return_counts=True)
-    phrase, word = np.divmod(keys[counts >= least], len(alphabet))
+    phrase, word = np.divmod(keys, len(alphabet))
     return pa.RecordBatch.from_pydict(
-        {"number": pa.array(trie.numbers[phrase]), "token": pa.array(alphabet[word].view(np.int64))}
+        {
+            "number": pa.array(trie.numbers[phrase]),
+            "token": pa.array(alphabet[word].view(np.int64)),
+            "found": pa.array(np.minimum(counts, enough), pa.int64()),
+        }
     )
 
 
-def _gather(batches, shared, whole: bool, min_count: int, total: int, shard_words: int) -> Iterator[pa.RecordBatch]:
+def _gather(batches, shared, whole: bool, enough: int, shard_words: int) -> Iterator[pa.RecordBatch]:
     trie, shard, size = shared.value, [], 0
-
-    def report():
-        return _extensions(shard, trie, whole, max(1, -(-min_count * size // total)))
-
     for batch in batches:
         for chunk in _chunks(batch):
             if shard and size + chunk[0] > shard_words:
-                yield report()
+                yield _extensions(shard, trie, whole, enough)
                 shard, size = [], 0
             shard.append(chunk)
             size += chunk[0]
     if shard:
-        yield report()
+        yield _extensions(shard, trie, whole, enough)
 
 
 def _count(batches, shared) -> Iterator[pa.RecordBatch]:
@@ -309,15 +334,24 @@ def _count(batches, shared) -> Iterator[pa.RecordBatch]:
     )
 
 
-def _each_trie(chunks: DataFrame, phrases: DataFrame, size: int, function, schema: str) -> DataFrame:
-    """Rows of ``function(trie, whole)`` over all chunks, for every trie of the phrases."""
+def _each_trie(
+    chunks: DataFrame, phrases: DataFrame, size: int, function, schema: str, measure: str, least: int
+) -> DataFrame | None:
+    """Rows of ``function(trie, whole)`` over all chunks with ``measure`` summed, for every trie of the phrases.
+
+    Sums below ``least`` are left out. None without phrases. A task's output is as long as the trie, whatever
+    it reads, so there are as many tasks as cores and not as input splits.
+    """
     context, parts = chunks.sparkSession.sparkContext, []
-    columns = chunks.select("n_words", "codes", "hashes")
+    columns = chunks.select("n_words", "codes", "hashes").coalesce(context.defaultParallelism)
     for trie, whole in _tries(phrases, size):
         shared = context.broadcast(trie)
-        parts.append(materialize(map_arrow(columns, function(shared, whole), schema)))
+        rows = map_arrow(columns, function(shared, whole), f"{schema}, {measure} long")
+        keys = [c for c in rows.columns if c != measure]
+        sums = rows.groupBy(*keys).agg(F.sum(measure).alias(measure)).filter(F.col(measure) >= least)
+        parts.append(materialize(sums))
         shared.destroy()
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, parts) if parts else None
 
 
 def frequent_phrases(
@@ -333,19 +367,18 @@ def frequent_phrases(
     Phrases as ``lang, phrase, n_parts, f``; words as ``lang, phrase, f``, whatever their count.
     """
     chunks, words = _encoded(docs, word_hash)
-    total = chunks.agg(F.sum("n_words")).first()[0] or 0
     common = words.filter(F.col("f") >= min_count)
     level = materialize(with_row_id(common.withColumn("path", F.array("token")), "number"))
     levels = [level.withColumn("n_parts", F.lit(1))]
-    letters = level.select(F.col("lang").alias("word_lang"), F.col("phrase").alias("word"), "token")
+    letters = level.select(F.col("phrase").alias("word"), "token")
+    gather = partial(_gather, enough=min_count, shard_words=shard_words)
     for length in range(2, max_words + 1):
-        if level.isEmpty():
-            break
-        gather = partial(_gather, min_count=min_count, total=total, shard_words=shard_words)
         seen = _each_trie(
             chunks, level, trie_phrases, lambda trie, whole: partial(gather, shared=trie, whole=whole),
-            "number long, token long",
-        ).distinct()
+            "number long, token long", "found", min_count,
+        )
+        if seen is None:
+            break
         candidates = (
             seen.join(letters, "token").join(level.select("number", "lang", "phrase", "path"), "number")
             .select(
@@ -354,12 +387,11 @@ def frequent_phrases(
             )
         )
         candidates = materialize(with_row_id(candidates, "number"))
-        if candidates.isEmpty():
-            break
         counts = _each_trie(
-            chunks, candidates, trie_phrases, lambda trie, _: partial(_count, shared=trie), "number long, f long"
+            chunks, candidates, trie_phrases, lambda trie, _: partial(_count, shared=trie), "number long", "f", min_count
         )
-        counts = counts.groupBy("number").agg(F.sum("f").alias("f")).filter(F.col("f") >= min_count)
+        if counts is None:
+            break
         level = materialize(candidates.join(counts, "number"))
         levels.append(level.withColumn("n_parts", F.lit(length)))
     columns = ("lang", "phrase", "n_parts", "f")
