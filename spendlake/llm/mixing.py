@@ -3,13 +3,16 @@
 A multinomial classifier over hashed words, trained on a labelled table, gives every document a
 posterior over the domains. Each document then gets a rate, the number of times to draw it, such
 that expected domain token totals ``sum rate * tokens * posterior`` meet the targets: nonnegative
-least squares by projected gradient. A step moves a rate by the residual seen through the
-document's posterior, so the rates after any number of steps follow from the residuals alone;
-each step is one pass over the posteriors that returns one small vector, and no state is kept.
+least squares by projected gradient, with momentum. A step moves a rate by the residual seen through
+the document's posterior, so the rates after any number of steps follow from the residuals alone;
+each step is one pass over the posteriors that returns one small vector, and no state is kept. It ends
+where the totals meet the targets or the projected gradient vanishes, and warns with the residual if it has to
+end elsewhere.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from functools import partial
 from typing import NamedTuple
@@ -23,15 +26,19 @@ from pyspark.sql import types as T
 from spendlake.llm.common import bottom_rows, map_arrow, materialize, pick_name, text_rows
 from spendlake.llm.wordhash import ALPHANUMERIC, hashed_words
 
-#: Bounds of the labelled sample.
+#: Bound of the labelled sample.
 LABELLED_ROWS = 20_000
-LABELLED_BYTES = 1 << 15
 BUCKET_BITS = 16
 SMOOTHING = 0.1
 #: Evidence counts as at most this many independent words; the best of these on labelled rows is used.
 WORD_CAPS = (1.0, 2.0, 4.0, 8.0, 16.0, 32.0, 64.0)
-MAX_STEPS = 60
-TOLERANCE = 1e-6
+#: Beyond these the solver warns and ends: each is a pass over the posteriors.
+MAX_STEPS = 200
+#: Share of all tokens that the totals may miss the targets by, and root mean square change of a
+#: rate, weighted by tokens, below which the projected gradient counts as vanished.
+TOLERANCE, STILL = 1e-6, 1e-6
+#: Where the targets are out of reach: steps over which the squared error must fall by this share to go on.
+PATIENCE, PROGRESS = 10, 1e-4
 
 
 class Classifier(NamedTuple):
@@ -100,7 +107,7 @@ def fit_classifier(
     held = F.pmod(F.xxhash64("doc_id", F.lit("cap")), F.lit(4)) == 0
     train = materialize(  # at most labelled_rows ids are sent out
         docs.select("doc_id", "text")
-        .filter(F.octet_length("text") <= LABELLED_BYTES)
+        .filter(F.col("text").isNotNull())
         .join(F.broadcast(sample), "doc_id")
         .select("text", "domain", held.alias("held"))
     )
@@ -144,73 +151,104 @@ def _membership_batches(batches, model) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(n), pa.array(list(p), pa.list_(pa.float64()))], ["n", "p"])
 
 
-def rates(p: np.ndarray, steps: list[np.ndarray]) -> np.ndarray:
+class Descent(NamedTuple):
+    """What the rates follow from: the steps, and how far each went on from the point before it."""
+
+    steps: list[np.ndarray]
+    momentum: list[float]
+
+
+def _points(p: np.ndarray, descent: Descent) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The rates, those before the last step, and the point that step was taken from; from one draw each."""
+    rate = before = start = np.ones(len(p))
+    for step, on in zip(descent.steps, descent.momentum):
+        start = rate + on * (rate - before)
+        before, rate = rate, np.maximum(0.0, start - p @ step)
+    return rate, before, start
+
+
+def rates(p: np.ndarray, steps: list[np.ndarray], momentum: list[float] | None = None) -> np.ndarray:
     """Rates after the given steps, from one draw of each document, never below zero."""
-    rate = np.ones(len(p))
-    for step in steps:
-        rate = np.maximum(0.0, rate - p @ step)
-    return rate
+    return _points(p, Descent(steps, momentum or [0.0] * len(steps)))[0]
 
 
 def _matrix(column: pa.Array, size: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
 
 
-def _total_batches(batches, steps, size) -> Iterator[pa.RecordBatch]:
-    """Per task: expected tokens of each domain at the rates so far, then the moments of the posteriors."""
-    totals = np.zeros(size + size * size)
+def _total_batches(batches, descent: Descent, size: int) -> Iterator[pa.RecordBatch]:
+    """Per task: expected tokens of each domain at the rates so far, the moments of the posteriors, the
+    square of the last move, and whether it went on in the direction of the one before.
+    """
+    totals = np.zeros(size + size * size + 2)
     for batch in batches:
         n, p = batch.column(0).to_numpy(), _matrix(batch.column(1), size)
         weighted = p * n[:, None]
-        totals[:size] += rates(p, steps) @ weighted
-        totals[size:] += (p.T @ weighted).ravel()
+        rate, before, start = _points(p, descent)
+        totals[:size] += rate @ weighted
+        totals[size:-2] += (p.T @ weighted).ravel()
+        totals[-2] += n @ (rate - start) ** 2
+        totals[-1] += n @ ((rate - start) * (rate - before))
     yield pa.RecordBatch.from_arrays(
         [pa.array(np.arange(len(totals))), pa.array(totals)], ["at", "total"]
     )
 
 
-def _totals(membership: DataFrame, steps: list[np.ndarray], size: int) -> np.ndarray:
+def _totals(membership: DataFrame, descent: Descent, size: int) -> np.ndarray:
     rows = (
-        membership.mapInArrow(partial(_total_batches, steps=steps, size=size), "at long, total double")
+        membership.mapInArrow(partial(_total_batches, descent=descent, size=size), "at long, total double")
         .groupBy("at").agg(F.sum("total").alias("total"))
         .collect()
     )
-    out = np.zeros(size + size * size)
+    out = np.zeros(size + size * size + 2)
     for row in rows:
         out[row["at"]] = row.total
     return out
 
 
-def fit_rates(membership: DataFrame, targets: np.ndarray) -> list[np.ndarray]:
-    """Steps of projected gradient descent on the squared error of the domain totals.
+def fit_rates(membership: DataFrame, targets: np.ndarray, max_steps: int = MAX_STEPS) -> Descent:
+    """Projected gradient descent on the squared error of the domain totals.
 
-    The error is measured, and the steps are scaled, by the inverse second moments of the
-    posteriors, so that unequal domains converge alike. It ends when the totals meet the targets,
-    or stop improving because the documents cannot meet them.
+    The error is measured, and the steps are scaled, by the inverse second moments of the posteriors,
+    so that unequal domains converge alike and a step of one is the longest that cannot fail. Momentum
+    starts anew whenever a step goes back on it. It ends when the totals meet the targets, when the
+    projected gradient vanishes, or when the squared error, which is what is minimised, falls no more: then
+    the rates are a solution of the least squares. Otherwise, after ``max_steps``, it warns with the residual.
     """
-    size, steps, before = len(targets), [], np.inf
-    first = _totals(membership, steps, size)
-    moments = first[size:].reshape(size, size)
+    size, descent = len(targets), Descent([], [])
+    first = _totals(membership, descent, size)
+    tokens = max(first[:size].sum(), 1.0)
     goal = targets / targets.sum() * first[:size].sum()
-    scale = np.linalg.pinv(moments, rcond=1e-10)
-    error = first[:size] - goal
-    while len(steps) < MAX_STEPS:
-        size_of_error = np.abs(error).sum() / max(goal.sum(), 1.0)
-        if size_of_error < TOLERANCE or size_of_error > before * (1 - 1e-4):
+    scale = np.linalg.pinv(first[size:-2].reshape(size, size), rcond=1e-10)
+    error = before = first[:size] - goal
+    pace, errors = 1.0, []
+    while np.abs(error).sum() / tokens >= TOLERANCE:
+        if len(descent.steps) == max_steps:
+            left = np.abs(error).sum() / tokens
+            warnings.warn(f"{max_steps} steps leave {left:.3g} of all tokens off target", RuntimeWarning, stacklevel=2)
+            break
+        following = (1 + np.sqrt(1 + 4 * pace * pace)) / 2
+        on = (pace - 1) / following
+        descent.steps.append(scale @ (error + on * (error - before)))  # the error is linear in the rates
+        descent.momentum.append(on)
+        now = _totals(membership, descent, size)
+        before, error = error, now[:size] - goal
+        errors.append(error @ scale @ error)
+        if np.sqrt(now[-2] / tokens) < STILL:
+            break
+        if len(errors) > PATIENCE and errors[-1] > errors[-1 - PATIENCE] * (1 - PROGRESS):
             break
-        before = size_of_error
-        steps.append(scale @ error)
-        error = _totals(membership, steps, size)[:size] - goal
-    return steps
+        pace = following if now[-1] >= 0 else 1.0
+    return descent
 
 
-def _rate_batches(batches, model, steps, domains, columns) -> Iterator[pa.RecordBatch]:
+def _rate_batches(batches, model, descent, domains, columns) -> Iterator[pa.RecordBatch]:
     """The columns asked for that are there, then the added ones."""
     names = np.array(domains, object)
     for batch in batches:
         p, n = _posteriors(text_rows(batch), model.value)
         best = pa.array(names[p.argmax(axis=1)].tolist(), pa.string())
-        added = [pa.array(n), best, pa.array(list(p), pa.list_(pa.float64())), pa.array(rates(p, steps))]
+        added = [pa.array(n), best, pa.array(list(p), pa.list_(pa.float64())), pa.array(rates(p, *descent))]
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns[:-4]), *added], columns)
 
 
@@ -235,11 +273,11 @@ def mix(
     membership = materialize(
         docs.select("text").transform(map_arrow, partial(_membership_batches, model=model), "n long, p array<double>")
     )
-    steps = fit_rates(membership, np.array([float(targets[d]) for d in domains]))
+    descent = fit_rates(membership, np.array([float(targets[d]) for d in domains]))
     kinds = {
         "n_tokens": T.LongType(), "domain": T.StringType(), "posterior": T.ArrayType(T.DoubleType()), "rate": T.DoubleType()
     }
     added = [T.StructField(pick_name(docs, name), kind) for name, kind in kinds.items()]
     schema = T.StructType([*(f for f in docs.schema.fields if f.name not in leave_out), *added])
-    add = partial(_rate_batches, model=model, steps=steps, domains=domains, columns=schema.fieldNames())
+    add = partial(_rate_batches, model=model, descent=descent, domains=domains, columns=schema.fieldNames())
     return docs.transform(map_arrow, add, schema)

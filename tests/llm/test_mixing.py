@@ -50,6 +50,59 @@ def test_steps_match_plain_projected_gradient():
     assert np.allclose(mixing.rates(p, steps), rate)
 
 
+def table(seed):
+    """Tokens, posteriors and targets; the blurred posteriors of even seeds may not reach them."""
+    rng = np.random.default_rng(seed)
+    p = rng.dirichlet([0.4, 0.4, 0.4] if seed % 2 else [3.0, 2.0, 4.0], 120)
+    return rng.integers(0, 400, 120), p, rng.dirichlet([0.5, 0.5, 0.5])
+
+
+def solves(n, p, targets, rate):
+    """The conditions of a solution: no gradient at positive rates, none that points below zero at others."""
+    error = (rate * n) @ p - targets * n.sum()
+    gradient = p @ np.linalg.inv((p * n[:, None]).T @ p) @ error
+    assert (rate >= 0).all()
+    assert np.abs(gradient[(rate > 1e-4) & (n > 0)]).max() < 1e-4 and gradient[n > 0].min() > -1e-4
+    assert np.abs(error).sum() / n.sum() < 1e-3 or (rate == 0).any()
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_rates_solve_the_least_squares(monkeypatch, seed):
+    n, p, targets = table(seed)
+
+    def totals(_, descent, size):
+        rate, before, start = mixing._points(p, descent)
+        weighted = p * n[:, None]
+        moved = [n @ (rate - start) ** 2, n @ ((rate - start) * (rate - before))]
+        return np.concatenate((rate @ weighted, (p.T @ weighted).ravel(), moved))
+
+    monkeypatch.setattr(mixing, "_totals", totals)
+    solves(n, p, targets, mixing.rates(p, *mixing.fit_rates(None, targets, max_steps=3000)))
+
+
+def test_distributed_rates_solve_the_least_squares(spark):
+    n, p, targets = table(0)
+    membership = spark.createDataFrame([(int(a), b.tolist()) for a, b in zip(n, p)], "n long, p array<double>").repartition(3)
+    descent = mixing.fit_rates(membership, targets)
+    assert len(descent.steps) > 5
+    solves(n, p, targets, mixing.rates(p, *descent))
+
+
+def test_an_unfinished_descent_warns(spark):
+    rng = np.random.default_rng(0)
+    rows = [(int(a), b.tolist()) for a, b in zip(rng.integers(1, 99, 60), rng.dirichlet([2.0, 3.0, 2.0], 60))]
+    membership = spark.createDataFrame(rows, "n long, p array<double>")
+    with pytest.warns(RuntimeWarning, match="off target"):
+        mixing.fit_rates(membership, np.array([0.98, 0.01, 0.01]), max_steps=2)
+
+
+def test_labelled_texts_of_any_length_teach(docs_of, spark):
+    docs = docs_of([(1, "apple " * 20_000), (2, "bee " * 20_000), (3, "apple apple"), (4, "bee")])
+    labels = spark.createDataFrame([(1, "a"), (2, "b")], "doc_id long, domain string")
+    found = {r.doc_id: r._domain for r in mixing.mix(docs, labels, {"a": 1, "b": 1}).collect()}
+    assert found == {1: "a", 2: "b", 3: "a", 4: "b"}
+
+
 def test_whole_table(spark, sf_dir):
     rows = QUERIES["op3_mixing"](spark, sf_dir).collect()
     lang = {r.doc_id: r.lang for r in read_input(spark, sf_dir, "documents").collect()}
