@@ -98,7 +98,7 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         "n_words",
         "n_hit",
-        F.size("item_ids").cast("long").alias("n_items"),
+        "n_items",
         item_digest(F.col("item_ids")).alias("items_sha256"),
         "contaminated",
     )

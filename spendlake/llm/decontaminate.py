@@ -199,16 +199,17 @@ def contamination(
     shingle_words: int = SHINGLE_WORDS,
     row_id: str | None = None,
 ) -> DataFrame:
-    """Per row of ``docs``: ``doc_id, n_words, n_hit, item_ids, contaminated``.
+    """Per row of ``docs``: ``doc_id, n_words, n_hit, n_items, item_ids, contaminated``.
 
     ``n_hit`` counts the document's words inside any occurrence of an item's window, ``item_ids``
-    are the items that have one, as strings. Null and empty texts have no words and are clean;
-    items without words or id match nothing. Repeated documents each keep a row, repeated items
+    are the items that have one, as strings, and ``n_items`` their number. Null and empty texts have no
+    words and are clean; items without words match nothing. Items without id match like others and count
+    as one item, which the list cannot name. Repeated documents each keep a row, repeated items
     count once. Extra columns are ignored. Empty tables give no rows, or only clean ones. A written
     column of row numbers, named by ``row_id``, is used and comes last in the result, as ``row_id``.
     """
     spark = docs.sparkSession
-    windows = materialize(item_windows(items.filter("item_id is not null"), window_words, shingle_words))
+    windows = materialize(item_windows(items, window_words, shingle_words))
     lengths = sorted(
         r.length for r in windows.select(F.explode("shingles.length").alias("length")).distinct().collect()
     )
@@ -232,31 +233,23 @@ def contamination(
         .select("row_id", "item_id", start.alias("start"), (start + F.col("width")).alias("end"))
         .distinct()
     )
-    found = hits.groupBy("row_id").agg(F.collect_set(F.col("item_id").cast("string")).alias("item_ids"))
+    found = hits.groupBy("row_id").agg(
+        F.collect_set(F.col("item_id").cast("string")).alias("item_ids"),
+        F.max(F.col("item_id").isNull().cast("long")).alias("nameless"),
+    )
     per_row = _covered(hits.select("row_id", "start", "end").distinct()).join(found, "row_id")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     return probed.select("doc_id", "row_id", "n_words").join(per_row, "row_id", "left").select(
         "doc_id",
         "n_words",
         n_hit.alias("n_hit"),
+        F.coalesce(F.size("item_ids") + F.col("nameless"), F.lit(0).cast("long")).alias("n_items"),
         F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
         ((n_hit > 0) & (n_hit * MAX_CLEAN_RATIO >= F.col("n_words"))).alias("contaminated"),
         *(["row_id"] if row_id else []),
     )
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The documents that are not contaminated, with all their columns.
-
-    Rows that share a ``doc_id`` share its fate, rows without one too: one contaminated row removes
-    them all. ``drop_contaminated_rows`` judges each row for itself.
-    """
-    key = pick_name(docs, "bad_id")
-    bad = contamination(docs, items, **options).filter("contaminated")
-    bad = bad.select(F.col("doc_id").alias(key)).distinct()
-    return docs.join(bad.hint("shuffle_hash"), docs.doc_id.eqNullSafe(bad[key]), "left_anti")
-
-
 def drop_contaminated_rows(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """The rows that are not contaminated, with all their columns, whatever other rows of their id are."""
     key, own = pick_name(docs, "bad_row"), pick_name(docs, "own_row")

@@ -283,26 +283,6 @@ def near_duplicates(
     return prints.join(members, prints.fp == members.member).select("doc_id", "fp", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """One document of each group, the one that names it, with all columns of ``docs``.
-
-    Of rows repeating that ``doc_id`` one stays. Of a group whose rows all lack a ``doc_id`` none
-    can be named, so all its rows stay. Where ids repeat or lack, ``one_row_of_each_group`` is exact.
-    """
-    groups = near_duplicates(docs, **options)
-    kept = groups.filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("copies"))
-    unnamed = materialize(groups.filter("component_id is null").select("fp").distinct())
-    key, copies = pick_name(docs, "kept_id"), pick_name(docs, "kept_copies")
-    kept = materialize(kept.select(F.col("doc_id").alias(key), F.col("copies").alias(copies)))
-    found = docs.join(kept.hint("shuffle_hash"), docs.doc_id == kept[key]).drop(key)
-    once = found.filter(F.col(copies) == 1).drop(copies)
-    if kept.filter(F.col(copies) > 1).limit(1).count():
-        once = once.union(found.filter(F.col(copies) > 1).drop(copies).dropDuplicates(["doc_id"]))
-    if unnamed.limit(1).count():
-        once = once.union(docs.filter("doc_id is null"))
-    return once
-
-
 def one_row_of_each_group(
     docs: DataFrame,
     shingle_words: int = SHINGLE_WORDS,

@@ -14,9 +14,8 @@ def plain(docs, items, window=13):
     for item, text in items:
         w = tok(text)
         n = min(window, len(w))
-        if item is not None:
-            for k in range(len(w) - n + 1 if n else 0):
-                windows.setdefault(tuple(w[k : k + n]), set()).add(str(item))
+        for k in range(len(w) - n + 1 if n else 0):
+            windows.setdefault(tuple(w[k : k + n]), set()).add(item)
     out = []
     for doc, text in docs:
         w, hit, found = tok(text), set(), set()
@@ -25,14 +24,15 @@ def plain(docs, items, window=13):
                 if own := windows.get(tuple(w[k : k + n])):
                     hit.update(range(k, k + n))
                     found |= own
-        out.append((doc, len(w), len(hit), sorted(found), bool(hit) and 20 * len(hit) >= len(w)))
+        names = sorted(str(x) for x in found if x is not None)
+        out.append((doc, len(w), len(hit), len(found), names, bool(hit) and 20 * len(hit) >= len(w)))
     return out
 
 
 def run(spark, docs_of, docs, items, **options):
     table = spark.createDataFrame([(*x, None, None) for x in items], ITEMS)
     rows = decontaminate.contamination(docs_of(docs), table, **options).collect()
-    return [(r.doc_id, r.n_words, r.n_hit, sorted(r.item_ids), r.contaminated) for r in rows]
+    return [(r.doc_id, r.n_words, r.n_hit, r.n_items, sorted(r.item_ids), r.contaminated) for r in rows]
 
 
 def test_windows_of_every_length(spark, docs_of):
@@ -50,17 +50,25 @@ def test_windows_of_every_length(spark, docs_of):
 
 
 def test_no_items_and_no_documents(spark, docs_of):
-    assert sorted(run(spark, docs_of, [(1, "some words"), (2, None)], [])) == [(1, 2, 0, [], False), (2, 0, 0, [], False)]
+    assert sorted(run(spark, docs_of, [(1, "some words"), (2, None)], [])) == [(1, 2, 0, 0, [], False), (2, 0, 0, 0, [], False)]
     assert run(spark, docs_of, [], [(1, "some words")]) == []
 
 
-def test_contaminated_documents_go(spark, docs_of):
-    item = words(7, 20)
-    docs = docs_of([(1, item), (2, words(8, 50)), (2, words(8, 50)), (None, item), (None, None), (3, None)])
-    items = spark.createDataFrame([(1, item, None, None)], ITEMS)
-    kept = decontaminate.drop_contaminated(docs, items)
-    assert kept.columns == docs.columns
-    assert sorted(r.doc_id or 0 for r in kept.collect()) == [2, 2, 3]  # rows without id share their fate
+def test_items_without_id_as_the_sql_has_them(spark, tmp_path):
+    from spendlake.llm.catalog import QUERIES
+    from spendlake.llm.oracle import ORACLE
+    from tests.check import differences
+    import duckdb
+
+    item = words(21, 16)
+    items = [(None, item), (None, "short one"), (3, item), (None, "short one"), (4, None)]
+    docs = [(1, item), (2, "a short one " * 3), (3, "clean"), (4, None), (5, words(5, 400) + " short one"), (6, " ".join(item.split()[1:15]))]
+    connection = duckdb.connect()
+    for name, rows, schema in (("benchmark", items, "item_id long, text string"), ("documents", docs, "doc_id long, text string")):
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+    got = QUERIES["op7_decontamination"](spark, str(tmp_path))
+    assert differences(got, connection, ORACLE["op7_decontamination"]) == []
 
 
 def test_item_digest(spark):

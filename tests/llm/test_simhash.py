@@ -60,18 +60,7 @@ def test_edges(edge):
 
 def test_no_documents(none):
     assert simhash.near_duplicates(none).count() == 0
-    assert simhash.drop_near_duplicates(none).columns == none.columns
-
-
-def test_one_of_each_group_stays(edge, docs_of):
-    kept = simhash.drop_near_duplicates(edge)
-    assert kept.columns == edge.columns
-    ids = [r.doc_id for r in kept.select("doc_id").collect()]
-    groups = {r.component_id for r in simhash.near_duplicates(edge).collect()}
-    assert sorted(i for i in ids if i is not None) == sorted(g for g in groups if g is not None)
-    assert ids.count(None) in (0, 2)
-    repeated = docs_of([(8, "same text here"), (8, "same text here"), (9, "same text here")])
-    assert [r.doc_id for r in simhash.drop_near_duplicates(repeated).collect()] == [8]
+    assert simhash.one_row_of_each_group(none).columns == none.columns
 
 
 @pytest.mark.parametrize("shape", ["random", "dense", "chain"])
