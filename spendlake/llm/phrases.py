@@ -37,7 +37,9 @@ TRIE_PHRASES = 1 << 19
 #: Places tried for a state's children before they go behind all others.
 PLACED = 16
 #: Words that a task holds at once when it looks for candidates.
-SHARD_WORDS = 1 << 21
+SHARD_WORDS = 1 << 20
+#: Tasks for each core that look for candidates: what a task sums up beforehand stays in memory.
+GATHERING = 4
 #: Parts of a language in the first of two rounds of its ranking.
 RANK_PARTS = 64
 NO_LANGUAGE = "und"
@@ -335,15 +337,15 @@ def _count(batches, shared) -> Iterator[pa.RecordBatch]:
 
 
 def _each_trie(
-    chunks: DataFrame, phrases: DataFrame, size: int, function, schema: str, measure: str, least: int
+    chunks: DataFrame, phrases: DataFrame, size: int, function, schema: str, measure: str, least: int, tasks: int = 1
 ) -> DataFrame | None:
     """Rows of ``function(trie, whole)`` over all chunks with ``measure`` summed, for every trie of the phrases.
 
-    Sums below ``least`` are left out. None without phrases. A task's output is as long as the trie, whatever
-    it reads, so there are as many tasks as cores and not as input splits.
+    Sums below ``least`` are left out. None without phrases. A task's output hardly grows with what it reads,
+    so there are ``tasks`` for each core and not one for each input split.
     """
     context, parts = chunks.sparkSession.sparkContext, []
-    columns = chunks.select("n_words", "codes", "hashes").coalesce(context.defaultParallelism)
+    columns = chunks.select("n_words", "codes", "hashes").coalesce(tasks * context.defaultParallelism)
     for trie, whole in _tries(phrases, size):
         shared = context.broadcast(trie)
         rows = map_arrow(columns, function(shared, whole), f"{schema}, {measure} long")
@@ -375,7 +377,7 @@ def frequent_phrases(
     for length in range(2, max_words + 1):
         seen = _each_trie(
             chunks, level, trie_phrases, lambda trie, whole: partial(gather, shared=trie, whole=whole),
-            "number long, token long", "found", min_count,
+            "number long, token long", "found", min_count, GATHERING,
         )
         if seen is None:
             break
