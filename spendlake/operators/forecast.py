@@ -8,14 +8,18 @@ the smoothed spend of the following month and is the honest one.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
+from functools import reduce
+from itertools import product
 from multiprocessing.pool import ThreadPool
 from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +32,8 @@ LAG_COLUMNS = (*LAGS, "avg_spend_last_3_months")
 # Smallest divisor of the percentage error: the float64 machine epsilon.
 EPSILON = 2.220446049250313e-16
 HOLDOUT_MONTHS = 2
+#: Values that trees tell a feature's values apart by; Spark ML's default.
+BINS = 32
 
 
 class Target(NamedTuple):
@@ -144,26 +150,77 @@ def gbt(trees: int = 100, depth: int = 4, rate: float = 0.1, seed: int = 42) ->
 def fit_forecaster(
     rows: DataFrame, target: str = "smoothed", trees: int = 100, depth: int = 4, rate: float = 0.1
 ) -> GBTRegressionModel:
-    """Boosted trees on the training part.
+    """Boosted trees on the training part, through its :func:`cells`; with a checkpoint folder set, Spark ML
+    cuts the lineage of the residuals every ten trees.
+    """
+    features = TARGETS[target].features
+    return fit_cells(gbt(trees, depth, rate), cells(supervised(rows, target).filter("NOT is_test"), features))
+
+
+def steps(frame: DataFrame, features: Sequence[str], bins: int = BINS) -> list[list[float]]:
+    """Up to ``bins`` values of each feature, ascending and at even ranks, found in one pass over all rows.
+
+    Zero, which missing history counts as, is one of them wherever it occurs, and takes no rank of the others.
+    """
+    ranks = [(i + 0.5) / (bins - 1) for i in range(bins - 1)]
+
+    def found(name: str) -> Column:
+        x = F.col(name).cast("double")
+        zero = F.when(F.count_if(x == 0) > 0, F.array(F.lit(0.0)))
+        others = F.percentile_approx(F.when((x != 0) & ~F.isnan(x), x), ranks)
+        empty = F.array().cast("array<double>")
+        return F.array_sort(F.array_distinct(F.concat(F.coalesce(zero, empty), F.coalesce(others, empty))))
+
+    return [list(values) for values in frame.agg(*[found(name).alias(name) for name in features]).first()]
 
-    Spark ML keeps its binned input, spilling to disk, and with a checkpoint folder set it cuts
-    the lineage of the residuals every ten trees.
+
+def nearest(x: Column, values: Sequence[float], give: Sequence | None = None) -> Column:
+    """The nearest of the ascending ``values``, of two the lower, by the midpoints at which Spark ML splits them.
+
+    ``give`` holds what to give in place of each value. Unknown stays unknown.
     """
-    train = supervised(rows, target).filter("NOT is_test")
-    return gbt(trees, depth, rate).fit(stored_vectors(train, target).select("features", "label"))
+    give = values if give is None else give
+
+    def found(a: int, b: int) -> Column:
+        if b - a <= 1:
+            return F.lit(give[a]) if values else F.lit(None)
+        half = (a + b) // 2
+        return F.when(x <= (values[half - 1] + values[half]) / 2, found(a, half)).otherwise(found(half, b))
+
+    return F.when(x.isNotNull() & ~F.isnan(x), found(0, len(values)))
 
 
-def stored_vectors(frame: DataFrame, target: str) -> DataFrame:
-    """Month, assembled features and label, stored once in partitions sized by bytes.
+def cells(frame: DataFrame, features: Sequence[str], bins: int = BINS) -> DataFrame:
+    """``features, label, weight``: the rows that no split can tell apart as one, with their mean label and number.
 
-    Every level of every tree is a job over this table. On small data its cost is the number of
-    tasks, so there are as many as the bytes ask for, however many cores are idle.
+    Trees split a feature halfway between two of its :func:`steps`, so that all rows nearest to the same
+    steps go the same way. Of their labels a tree of squared error takes only the sum and the number: fitted
+    on the weighted cells it is the tree of all rows. There are at most ``bins`` cells for each
+    feature's step, however many rows. They are stored once for all levels of all trees, in partitions
+    sized by bytes; unknown features fail as they do in the assembler.
     """
-    vectors = with_vector(frame, TARGETS[target].features).select("txn_month", "features", "label")
-    stored = materialize(vectors.hint("rebalance"))
+    values = steps(frame, features, bins)
+
+    snapped = [nearest(F.col(f).cast("double"), v).cast("double").alias(f) for f, v in zip(features, values)]
+    summed = (
+        frame.select(*snapped, "label")
+        .groupBy(*features)
+        .agg(F.avg("label").alias("label"), F.count(F.lit(1)).cast("double").alias("weight"))
+    )
+    stored = materialize(with_vector(summed, features).select("features", "label", "weight").hint("rebalance"))
     return stored.coalesce(len(stored.inputFiles()) or 1)
 
 
+def fit_cells(trees: GBTRegressor, stored: DataFrame) -> GBTRegressionModel:
+    """A model of all rows of the cells.
+
+    Spark ML looks for splits in a sample of as many rows as the square of ``maxBins``; here it is all cells,
+    whose features have few values, so that each midpoint between two steps is a split.
+    """
+    bins = max(trees.getMaxBins(), math.ceil(math.sqrt(stored.count())))
+    return trees.copy({trees.maxBins: bins, trees.weightCol: "weight"}).fit(stored)
+
+
 def score(rows: DataFrame, model: GBTRegressionModel, target: str = "smoothed") -> DataFrame:
     """Prediction next to label and naive forecast, for the train and the test part."""
     frame = with_vector(supervised(rows, target), TARGETS[target].features)
@@ -242,59 +299,119 @@ def fit_forecasters(rows: DataFrame, targets: Sequence[str], **options) -> list[
         pool.close()
 
 
+def grow(x: np.ndarray, label: np.ndarray, weight: np.ndarray, depth: int) -> np.ndarray:
+    """What a regression tree of the weighted cells predicts for each cell, split as Spark ML splits.
+
+    ``x`` numbers the step of each feature. A node goes by the first of the splits that lessen its variance
+    most, and stays whole where none does. Cells without weight only walk the tree.
+    """
+    bins, node = int(x.max(initial=0)) + 1, np.zeros(len(x), np.int64)
+    total = weight * label
+    for level in range(depth):
+        shape = (1 << level, bins)
+        gains = np.full((shape[0], x.shape[1], bins), -np.inf)
+        for f in range(x.shape[1]):
+            place = node * bins + x[:, f]
+            n, s = (np.bincount(place, v, shape[0] * bins).reshape(shape).cumsum(1) for v in (weight, total))
+            n_right, s_right = n[:, -1:] - n, s[:, -1:] - s
+            both = (n > 0) & (n_right > 0)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                gain = s**2 / n + s_right**2 / n_right - s[:, -1:] ** 2 / n[:, -1:]
+            gains[:, f][both] = gain[both]
+        best = gains.reshape(shape[0], -1).argmax(1)
+        found = gains.reshape(shape[0], -1)[np.arange(shape[0]), best] > 0
+        feature, split = best // bins, best % bins
+        node = 2 * node + (found[node] & (x[np.arange(len(x)), feature[node]] > split[node]))
+    n, s = (np.bincount(node, v, 1 << depth) for v in (weight, total))
+    return (s / np.maximum(n, 1))[node]
+
+
+def boosted(
+    x: np.ndarray, label: np.ndarray, weight: np.ndarray, depth: int, rate: float, trees: Sequence[int]
+) -> list[np.ndarray]:
+    """Predictions for each cell after each of the ascending numbers of ``trees``, boosted as by :func:`gbt`.
+
+    As in Spark ML the first tree counts whole, and the others, on twice the residual, by ``rate``.
+    """
+    marks, out = set(trees), []
+    p = grow(x, label, weight, depth)
+    for tree in range(1, trees[-1] + 1):
+        if tree > 1:
+            p = p + rate * grow(x, 2 * (label - p), weight, depth)
+        if tree in marks:
+            out.append(p)
+    return out
+
+
+def _fit_point(part: pa.Table, trees: Sequence[int]) -> pa.Table:
+    """The predictions of one depth and rate for the cells of one fold."""
+    x = part.column("cell").combine_chunks().flatten().to_numpy().reshape(len(part), -1).astype(np.int64)
+    label, weight = (part.column(c).to_numpy() for c in ("label", "weight"))
+    depth, rate = (part.column(c)[0].as_py() for c in ("max_depth", "step_size"))
+    after = np.stack(boosted(x, label, weight, depth, rate, trees), axis=1)
+    kept = part.select(["fold", "cell", "max_depth", "step_size"])
+    return kept.append_column("after", pa.array(list(after), pa.list_(pa.float64())))
+
+
 def grid_search(
     rows: DataFrame,
     target: str = "smoothed",
     grid: dict[str, Sequence] | None = None,
     folds: int = 3,
-    parallelism: int = 18,
 ) -> DataFrame:
     """Mean validation error per grid point, best first: ``max_depth, step_size, trees, mae``.
 
     Boosting adds trees one by one, so a model of 200 trees contains the one of 100. Each depth,
-    rate and fold is therefore fitted once with the largest tree count, and one pass over the
-    validation rows gives the error at every smaller count. The assembled rows are stored once for
-    all fits, of which ``parallelism`` run side by side: a fit is a long row of small jobs that leave
-    most cores idle, so many together take hardly longer than one.
+    rate and fold is therefore fitted once with the largest tree count. What Spark ML's trees can tell
+    apart are the :func:`cells` of a fold's training rows, in number bounded by the steps: all rows are
+    counted into them, each fit is one task over the cells of its fold instead of a job per level of each
+    tree, and every validation row is compared with the predictions of its cell.
     """
     grid = GRID if grid is None else grid
-    spark = rows.sparkSession
     train, _ = holdout_split(rows, target)
-    frame = stored_vectors(supervised(train, target), target)
+    features = TARGETS[target].features
+    frame = materialize(supervised(train, target).select("txn_month", *features, "label"))
     bounds = time_folds(train, folds).collect()  # one row per fold
     if any(fold["test_start"] is None for fold in bounds):
         raise ValueError(f"fewer than {folds + 1} months to cut into folds")
-    trees = sorted(grid["maxIter"])
-    base = gbt(trees=trees[-1])
-    points = (
-        ParamGridBuilder()
-        .addGrid(base.maxDepth, list(grid["maxDepth"]))
-        .addGrid(base.stepSize, list(grid["stepSize"]))
-        .build()
-    )
+    trees = sorted(set(grid["maxIter"]))
     month = F.col("txn_month")
 
-    def run(job: tuple) -> list[tuple]:
-        point, fold = job
-        model = base.copy(point).fit(frame.filter(month <= fold["train_end"]))
-        validation = frame.filter(month.between(fold["test_start"], fold["test_end"]))
-        errors = model.evaluateEachIteration(validation, "absolute")
-        return [
-            (point[base.maxDepth], point[base.stepSize], n, fold["fold"], float(errors[n - 1]))
-            for n in trees
-        ]
-
-    jobs = [(point, fold) for point in points for fold in bounds]
-    pool = ThreadPool(min(parallelism, len(jobs)))
-    try:
-        results = [r for part in pool.map(inheritable_thread_target(spark)(run), jobs) for r in part]
-    finally:
-        pool.close()
-    scores = spark.createDataFrame(
-        results, "max_depth int, step_size double, trees int, fold int, fold_mae double"
+    def folded(fold) -> DataFrame:
+        values = steps(frame.filter(month <= fold["train_end"]), features)
+        cell = F.array(*[nearest(F.col(f).cast("double"), v, range(len(v))).cast("int") for f, v in zip(features, values)])
+        part = frame.filter(month <= fold["test_end"])
+        return part.select(F.lit(fold["fold"]).alias("fold"), cell.alias("cell"), "label", (month > fold["train_end"]).alias("late"))
+
+    parts = reduce(DataFrame.unionByName, [folded(fold) for fold in bounds])
+    counted = parts.groupBy("fold", "cell").agg(
+        F.coalesce(F.avg(F.when(~F.col("late"), F.col("label"))), F.lit(0.0)).alias("label"),
+        F.count_if(~F.col("late")).cast("double").alias("weight"),
+    )
+    points = [F.struct(F.lit(int(d)).alias("max_depth"), F.lit(float(r)).alias("step_size")) for d, r in product(grid["maxDepth"], grid["stepSize"])]
+    key = ["fold", "max_depth", "step_size"]
+    fitted = (
+        counted.select("*", F.inline(F.array(*points)))
+        .repartition(len(points) * len(bounds), *key)
+        .groupBy(*key)
+        .applyInArrow(
+            lambda part: _fit_point(part, trees),
+            "fold int, cell array<int>, max_depth int, step_size double, after array<double>",
+        )
+        .groupBy("fold", "cell")
+        .agg(F.collect_list(F.struct("max_depth", "step_size", "after")).alias("models"))  # one per point
+    )
+    scored = (
+        parts.filter("late")
+        .join(fitted, ["fold", "cell"])
+        .select("fold", "label", F.inline("models"))
+        .select("fold", "label", "max_depth", "step_size", F.posexplode("after").alias("place", "prediction"))
+        .groupBy("fold", "max_depth", "step_size", F.element_at(F.lit(trees), F.col("place") + 1).alias("trees"))
+        .agg(F.avg(absolute_error(F.col("label"), F.col("prediction"))).alias("fold_mae"))
     )
+    # one row per point, fold and number of trees, stored: fitted once, however often the scores are read
     return (
-        scores.groupBy("max_depth", "step_size", "trees")
+        materialize(scored).groupBy("max_depth", "step_size", "trees")
         .agg(F.avg("fold_mae").alias("mae"))
         .orderBy("mae", "max_depth", "step_size", "trees")
     )
