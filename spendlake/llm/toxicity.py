@@ -6,8 +6,8 @@ back-off chain of pooled continuation counts, so an event neither class has seen
 their contexts say, and rare or inflected expressions still count through the beginnings they
 share. A document's evidence is the log-likelihood ratio per word, over the whole text, in its
 strongest word and in its three strongest; a logistic link fitted on labelled texts apart from the
-counted ones turns these into a probability. The models are broadcast as one exact hash table; where the
-labelled texts hold more events than it may, contexts are shortened for all events alike.
+counted ones turns these into a probability. The models are broadcast as one exact hash table of all events
+of the bounded labelled sample, in contexts of one length whatever their number.
 """
 
 from __future__ import annotations
@@ -29,8 +29,6 @@ LABELLED_ROWS = 20_000
 THRESHOLD = 0.3
 CONTEXT_BYTES = 6
 DISCOUNT = 0.75
-#: Events of a model, those not seen after a context included: the table takes some 50 MB.
-MOST_EVENTS = 1 << 21
 #: Words that count as a text's strongest.
 STRONGEST = 3
 FEATURES = 3
@@ -233,12 +231,14 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
-def _within(rows: DataFrame, most_events: int) -> tuple[DataFrame, int]:
-    """Counts by gram, with contexts as long as the number of events allows; the stored counts and that length."""
+def _within(rows: DataFrame, most_events: int | None) -> tuple[DataFrame, int]:
+    """Counts by gram and the length of their contexts: all of them, or as long as the caller's bound on events allows."""
     context = CONTEXT_BYTES
     while True:
         counts = rows.groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
         counts = materialize(counts)
+        if most_events is None:
+            return counts, context
         past = F.shiftrightunsigned("gram", 8)
         found = counts.count() + counts.select(past).distinct().count()
         if found <= most_events or not context:
@@ -248,12 +248,12 @@ def _within(rows: DataFrame, most_events: int) -> tuple[DataFrame, int]:
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS, most_events: int = MOST_EVENTS
+    docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS, most_events: int | None = None
 ) -> Model:
     """Train on a bounded sample of labelled rows that are not held out, texts of any length.
 
     A quarter of the sample fits the link, the rest the models. Conflicting labels of one
-    document count as toxic. Without labels every score is zero; with one class only, every score
+    document count as toxic. Contexts are shortened only for a caller that bounds the events. Without labels every score is zero; with one class only, every score
     is near that class's share.
     """
     spark = docs.sparkSession

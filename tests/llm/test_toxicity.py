@@ -167,3 +167,12 @@ def test_long_labelled_texts_teach(docs_of, labels_of):
     labels = labels_of([(i, 1, k % 2, None, None) for k, i in enumerate(learned)])
     rows = {r.doc_id: r.score for r in t.toxicity(docs_of([*docs, (900, "zorgva"), (901, "plain")]), labels).collect()}
     assert rows[900] > rows[901]
+
+
+def test_contexts_do_not_depend_on_the_number_of_events(docs_of, labels_of):
+    """More than two million events, at which all contexts were once shortened."""
+    learned = [i for i in range(400) if zlib.crc32(str(i).encode()) % 4 != 2][:140]
+    letters = np.random.default_rng(3).integers(97, 123, (140, 2800, 8)).astype(np.uint8)
+    docs = [(i, " ".join(bytes(w).decode() for w in letters[k])) for k, i in enumerate(learned)]
+    model = t.fit(docs_of(docs), labels_of([(i, 1, k % 2, None, None) for k, i in enumerate(learned)]))
+    assert (model.table.keys != 0).sum() > 1 << 21 and model.table.context == t.CONTEXT_BYTES
