@@ -35,7 +35,7 @@ def salted_left_join(
     """
     salted = left.withColumn("_salt", F.pmod(F.xxhash64(salt_by), F.lit(salts)).cast("int"))
     repeated = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(repeated, [key, "_salt"], "left").drop("_salt")
+    return salted.join(repeated.hint("shuffle_hash"), [key, "_salt"], "left").drop("_salt")
 
 
 def add_category(
@@ -57,13 +57,14 @@ def add_category(
 def add_users(transactions: DataFrame, users: DataFrame, salts: int | None = None) -> DataFrame:
     """Every transaction with the columns of its user; ``id`` becomes ``transaction_id``.
 
-    Both sides grow with the data, so nothing is broadcast by hint. By default AQE splits the
+    Both sides grow with the data, so nothing is broadcast. The users of a task are hashed, so that the
+    wide transactions need no sort, which would spill them. By default AQE splits the
     tasks of a hot client; ``salts`` spreads all clients up front, for a cluster without AQE.
     """
     left = transactions.withColumnRenamed("id", "transaction_id")
     right = users.withColumnRenamed("id", "client_id")
     if salts is None:
-        return left.join(right, "client_id", "left").select(
+        return left.join(right.hint("shuffle_hash"), "client_id", "left").select(
             *left.columns, *[c for c in right.columns if c != "client_id"]
         )
     joined = salted_left_join(left, right, "client_id", salt_by="transaction_id", salts=salts)
