@@ -646,7 +646,7 @@ def _deliver(df: DataFrame, folder: str) -> None:
 def incremental_months(spark: SparkSession, sf: str) -> DataFrame:
     """The roll-up after two deliveries, of which the second brings late rows and is then taken again."""
     lake, folder, codes = daily.Lake(scratch_dir(spark)), scratch_dir(spark), _mcc_file(spark)
-    rows = testdata.dirty_transactions(spark, sf)
+    rows = materialize(testdata.dirty_transactions(spark, sf))
     late = (F.col("date") >= "2000-07") | (F.col("merchant_state") == "S3")
     _deliver(rows.filter(~late), folder)
     daily.refresh_rollup(spark, folder, codes, lake)
@@ -661,7 +661,7 @@ def incremental_months(spark: SparkSession, sf: str) -> DataFrame:
 def incremental_features(spark: SparkSession, sf: str) -> DataFrame:
     """The daily job over two deliveries, the second run taking only the new files; gives the time series."""
     folder, users, codes, out = scratch_dir(spark), _csv(testdata.bronze_users(spark, sf)), _mcc_file(spark), scratch_dir(spark)
-    rows = testdata.bronze_transactions(spark, sf)
+    rows = materialize(testdata.bronze_transactions(spark, sf))
     for part in (F.col("date") < "1999", F.col("date") >= "1999"):
         _deliver(rows.filter(part), folder)
         lake = daily.run_pipeline(spark, folder, users, codes, out, incremental=True)

@@ -40,10 +40,13 @@ class RollupTables(NamedTuple):
         return spark.read.format(self.fmt).schema(MONTHS_SCHEMA).load(self.months)
 
 
-def _replace(df: DataFrame, path: str, fmt: str, *partitions: str) -> None:
-    """Write ``df``; partitions that it has rows of are replaced, all others keep their files."""
+def _replace(df: DataFrame, path: str, fmt: str, *partitions: str, rebalance: bool = True) -> None:
+    """Write ``df``; partitions that it has rows of are replaced, all others keep their files.
+
+    Without ``rebalance``, for rows of one partition, each task writes its own file and nothing is shuffled.
+    """
     (
-        df.hint("rebalance", *partitions)
+        (df.hint("rebalance", *partitions) if rebalance else df)
         .write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions).save(path)
     )
@@ -66,7 +69,7 @@ def add_batch(silver: DataFrame, batch_id: int, tables: RollupTables) -> list[st
     The same batch given again changes nothing, in whatever order batches are repeated.
     """
     spark, fmt = silver.sparkSession, tables.fmt
-    _replace(silver.withColumn("batch_id", F.lit(batch_id).cast("long")), tables.silver, fmt, "batch_id")
+    _replace(silver.withColumn("batch_id", F.lit(batch_id).cast("long")), tables.silver, fmt, "batch_id", rebalance=False)
     stored = spark.read.format(fmt).schema(silver.withColumn("batch_id", F.lit(0).cast("long")).schema)
     own = stored.load(tables.silver).filter(F.col("batch_id") == batch_id)
     sums = client_months(own).withColumn("batch_id", F.lit(batch_id).cast("long"))
