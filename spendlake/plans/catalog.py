@@ -558,10 +558,10 @@ def forecast_runs(spark: SparkSession, sf: str) -> DataFrame:
     """Two runs of the job's forecaster: the recorded ones whose saved model scores as the fitted one."""
     lake = daily.Lake(scratch_dir(spark))
     lake.write(_series(spark, sf), daily.TIME_SERIES)
-    fitted = []
+    rows, fitted = _training(spark, sf), []
     for target, trees, depth in (("smoothed", 200, 6), ("next", 100, 4)):
         model = daily.refresh_forecaster(spark, lake, target, trees, depth)
-        report = forecast.model_report(forecast.score(_training(spark, sf), model, target))
+        report = forecast.model_report(forecast.score(rows, model, target))
         fitted.append(report.select(F.lit(target).alias("target"), F.col("test_mae").alias("fitted_mae")))
     runs = lake.read(spark, daily.MODEL_RUNS)
     params = [F.col("params")[name].alias(name) for name in ("target", "trees", "depth", "rate")]
