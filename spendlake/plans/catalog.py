@@ -7,17 +7,17 @@ to the shared scratch folder, so their work grows with the tables too.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendlake.functions import is_number, month_label, parse_timestamp
 from spendlake.operators import allocate, assortment, cleaning, enrich, forecast, frontier, monthly, profile, rejects, serve, sketches
 from spendlake.plans import daily, testdata
 from spendlake.schemas import BRONZE_USERS, USER_PORTFOLIO_FEATURES
-from spendlake.session import materialize, scratch_dir
+from spendlake.session import materialize, scratch_dir, settings, shuffles_freed
 from spendlake.sources import (
     look_up,
     read_inferred_csv,
@@ -643,6 +643,34 @@ def _deliver(df: DataFrame, folder: str) -> None:
     df.write.mode("append").csv(folder, header=True, quote="\u0000")
 
 
+def _staged(
+    spark: SparkSession, sf: str, rows: Callable[[SparkSession, str, testdata.Share], DataFrame], deliveries: Sequence[Column]
+) -> str:
+    """A folder with the raw files of all deliveries, packed; a row may be in several of them."""
+    path = scratch_dir(spark)
+    taken = F.array_compact(F.array(*[F.when(part, F.lit(number)) for number, part in enumerate(deliveries)]))
+    # a file for each delivery is open in every task: else its rows would be sorted by delivery
+    with settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": str(len(deliveries))}):
+        for share in testdata.order_shares(spark, sf):
+            (
+                rows(spark, sf, share).select("*", F.explode(taken).alias("delivery"))
+                .write.mode("append").partitionBy("delivery")
+                .csv(path, header=True, quote="\u0000", compression="gzip")
+            )
+    return path
+
+
+def _deliver_staged(spark: SparkSession, staged: str, number: int, folder: str) -> None:
+    """Move the raw files of one delivery to a folder."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    source, target = hadoop.Path(f"{staged}/delivery={number}"), hadoop.Path(folder)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(target)
+    for file in files.listStatus(source) if files.exists(source) else ():
+        if not files.rename(file.getPath(), hadoop.Path(target, f"{number}-{file.getPath().getName()}")):
+            raise OSError(f"not moved: {file.getPath()}")
+
+
 def incremental_months(spark: SparkSession, sf: str) -> DataFrame:
     """The roll-up after two deliveries, of which the second brings late rows and is then taken again."""
     lake, folder, codes = daily.Lake(scratch_dir(spark)), scratch_dir(spark), _mcc_file(spark)
@@ -661,10 +689,11 @@ def incremental_months(spark: SparkSession, sf: str) -> DataFrame:
 def incremental_features(spark: SparkSession, sf: str) -> DataFrame:
     """The daily job over two deliveries, the second run taking only the new files; gives the time series."""
     folder, users, codes, out = scratch_dir(spark), _csv(testdata.bronze_users(spark, sf)), _mcc_file(spark), scratch_dir(spark)
-    rows = materialize(testdata.bronze_transactions(spark, sf))
-    for part in (F.col("date") < "1999", F.col("date") >= "1999"):
-        _deliver(rows.filter(part), folder)
-        lake = daily.run_pipeline(spark, folder, users, codes, out, incremental=True)
+    with shuffles_freed(spark):
+        staged = _staged(spark, sf, testdata.bronze_transactions, (F.col("date") < "1999", F.col("date") >= "1999"))
+        for number in range(2):
+            _deliver_staged(spark, staged, number, folder)
+            lake = daily.run_pipeline(spark, folder, users, codes, out, incremental=True)
     return lake.read(spark, daily.TIME_SERIES)
 
 

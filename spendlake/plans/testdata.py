@@ -14,6 +14,7 @@ from spendlake.functions import clean_category
 from spendlake.operators.cleaning import clean_users
 from spendlake.operators.enrich import add_category
 from spendlake.schemas import BRONZE_TRANSACTIONS, BRONZE_USERS
+from spendlake.session import stored_bytes
 
 # Part type -> category name. PROMO is left out, so that unknown codes occur.
 CATEGORY_OF_PART_TYPE = {
@@ -39,6 +40,13 @@ TABLES = {
 }
 
 
+#: A share of the orders: its number and how many there are.
+Share = tuple[int, int]
+WHOLE: Share = (0, 1)
+#: Bytes of order lines in a share, and shares at most. Only one share's shuffle files are on disk at a time.
+SHARE_BYTES, MOST_SHARES = 512 << 20, 8
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -65,10 +73,18 @@ def _amount_text() -> Column:
     return F.concat(sign, whole, F.lit("."), F.lpad((_cents() % 100).cast("string"), 2, "0"))
 
 
-def _order_lines(spark: SparkSession, sf_dir: str, with_part: bool) -> DataFrame:
+def order_shares(spark: SparkSession, sf_dir: str) -> list[Share]:
+    """The shares that raw transactions are made by, each in a pass of its own over the tables."""
+    shares = min(MOST_SHARES, max(1, -(-stored_bytes(table(spark, sf_dir, "lineitem")) // SHARE_BYTES)))
+    return [(number, shares) for number in range(shares)]
+
+
+def _order_lines(spark: SparkSession, sf_dir: str, with_part: bool, share: Share = WHOLE) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").join(
         table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
     )
+    if share != WHOLE:  # Spark filters both sides by it, before they are shuffled
+        lines = lines.filter(F.pmod(F.xxhash64("l_orderkey"), F.lit(share[1])) == share[0])
     if with_part:
         parts = table(spark, sf_dir, "part").select("p_partkey", "p_type")
         lines = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
@@ -108,25 +124,24 @@ def _line_column(name: str) -> Column:
     raise KeyError(name)
 
 
-def bronze_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bronze_transactions(spark: SparkSession, sf_dir: str, share: Share = WHOLE) -> DataFrame:
     """All columns as text, amounts with a dollar sign, as the raw files hold them."""
     text = {
         "date": F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"),
         "amount": _amount_text(),
     }
-    lines = _order_lines(spark, sf_dir, with_part=True)
+    lines = _order_lines(spark, sf_dir, True, share)
     names = BRONZE_TRANSACTIONS.fieldNames()
     return lines.select(*[text.get(n, _line_column(n)).alias(n) for n in names])
 
 
-def dirty_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dirty_transactions(spark: SparkSession, sf_dir: str, share: Share = WHOLE) -> DataFrame:
     """The same with rows that cleaning has to drop, told by the line's tax and return flag.
 
     A comma in the city makes a CSV line without quotes too long; further rows have an amount that
     is no number or out of bounds, or lack their id or their client.
     """
-    clean = bronze_transactions(spark, sf_dir)
-    lines = _order_lines(spark, sf_dir, with_part=True)
+    lines = _order_lines(spark, sf_dir, True, share)
     tax, flag = F.col("l_tax"), F.col("l_returnflag")
     text = {
         "date": F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"),
@@ -135,7 +150,7 @@ def dirty_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "id": F.when(~((tax == 0.05) & (flag == "N")), _line_column("id")),
         "client_id": F.when(~((tax == 0.04) & (flag == "R")), _line_column("client_id")),
     }
-    return lines.select(*[text.get(n, _line_column(n)).alias(n) for n in clean.columns])
+    return lines.select(*[text.get(n, _line_column(n)).alias(n) for n in BRONZE_TRANSACTIONS.fieldNames()])
 
 
 def dirty_users(spark: SparkSession, sf_dir: str) -> DataFrame:

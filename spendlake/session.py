@@ -7,7 +7,7 @@ import re
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -138,12 +138,16 @@ STATE_CONF = {
 }
 
 
+#: Shuffle files go when their execution ends, not when the driver happens to collect its garbage.
+SHUFFLE_CONF = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
 @contextmanager
-def rocksdb_state(spark: SparkSession) -> Iterator[None]:
-    """Streams started and states read inside keep their state in RocksDB; the session's settings come back."""
-    before = {key: spark.conf.get(key, None) for key in STATE_CONF}
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """The session's settings inside; those of before come back."""
+    before = {key: spark.conf.get(key, None) for key in values}
     try:
-        for key, value in STATE_CONF.items():
+        for key, value in values.items():
             spark.conf.set(key, value)
         yield
     finally:
@@ -151,6 +155,16 @@ def rocksdb_state(spark: SparkSession) -> Iterator[None]:
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
+def rocksdb_state(spark: SparkSession) -> AbstractContextManager[None]:
+    """Streams started and states read inside keep their state in RocksDB; the session's settings come back."""
+    return settings(spark, STATE_CONF)
+
+
+def shuffles_freed(spark: SparkSession) -> AbstractContextManager[None]:
+    """Tables written and streams started inside leave no shuffle files behind."""
+    return settings(spark, SHUFFLE_CONF)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 

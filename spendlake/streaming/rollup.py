@@ -48,6 +48,7 @@ def _replace(df: DataFrame, path: str, fmt: str, *partitions: str, rebalance: bo
     (
         (df.hint("rebalance", *partitions) if rebalance else df)
         .write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .option("compression", "zstd")
         .partitionBy(*partitions).save(path)
     )
 
