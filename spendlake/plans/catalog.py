@@ -699,7 +699,6 @@ def incremental_features(spark: SparkSession, sf: str) -> DataFrame:
 
 def stream_distinct(spark: SparkSession, sf: str) -> DataFrame:
     """Three deliveries: later ones repeat transactions, and bring some that are too late to be told from repeats."""
-    rows = materialize(testdata.dirty_transactions(spark, sf))
     date, held_back = F.col("date"), (F.col("merchant_state") == "S3") & F.col("date").between("1996", "1997")
     deliveries = (
         (date < "1999") & ~held_back,
@@ -708,9 +707,11 @@ def stream_distinct(spark: SparkSession, sf: str) -> DataFrame:
     )
     folder, out, checkpoint = (scratch_dir(spark) for _ in range(3))
     codes = read_mcc_json(spark, _mcc_file(spark))
-    for part in deliveries:
-        _deliver(rows.filter(part), folder)
-        stream_distinct_transactions(spark, folder, codes, out, checkpoint, delay="180 days").awaitTermination()
+    with shuffles_freed(spark):
+        staged = _staged(spark, sf, testdata.dirty_transactions, deliveries)
+        for number in range(len(deliveries)):
+            _deliver_staged(spark, staged, number, folder)
+            stream_distinct_transactions(spark, folder, codes, out, checkpoint, delay="180 days").awaitTermination()
     silver = read_table(spark, out).withColumn("date", F.date_format("date", "yyyy-MM-dd HH:mm:ss"))
     return silver.select("id", "date", "client_id")
 

@@ -7,7 +7,10 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from spendlake.operators import enrich
 from spendlake.plans import catalog, testdata
+from spendlake.schemas import BRONZE_TRANSACTIONS
+from spendlake.streaming import distinct, stream_distinct_transactions
 
 DAYS = ("1995-05-02", "1996-06-01", "1998-11-05", "1999-03-01", "2000-12-24", None)
 
@@ -64,7 +67,7 @@ def shuffle_files(spark):
     return {str(f) for d in dirs for f in Path(d).rglob("shuffle_*.data")}
 
 
-@pytest.mark.parametrize("query", (catalog.incremental_features,))
+@pytest.mark.parametrize("query", (catalog.incremental_features, catalog.stream_distinct))
 def test_no_shuffle_files_stay(spark, tables, query):
     before = shuffle_files(spark)
     query(spark, tables)
@@ -73,3 +76,38 @@ def test_no_shuffle_files_stay(spark, tables, query):
             break
         time.sleep(0.2)
     assert not left
+
+
+TEXTS = ("c", 'a "quoted" one', "", None, "two\nlines, a comma", " spaces ", "ü\\n", "7", None)
+
+
+def test_packed_texts_come_back(spark):
+    schema = "id string, date timestamp, amount double, " + ", ".join(f"{c} string" for c in distinct._TEXTS)
+    moment = dt.datetime(2020, 1, 1)
+    rows = [("a", moment, -0.1, *TEXTS), ("b", None, 1e-7, *[None] * len(TEXTS))]
+    frame = spark.createDataFrame(rows, schema).select(*BRONZE_TRANSACTIONS.fieldNames())
+    back = distinct._unpacked(distinct._packed(frame))
+    assert back.columns == frame.columns
+    assert sorted(back.collect()) == sorted(frame.collect())
+
+
+@pytest.mark.parametrize("small", (True, False))
+def test_distinct_state_is_stored_without_the_log_of_its_changes(spark, tmp_path, monkeypatch, small):
+    monkeypatch.setattr(enrich, "fits_broadcast", lambda _: small)
+    folder, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "state"))
+    codes = spark.createDataFrame([("5", "Taxi "), ("5", "Taxi "), (None, "none")], "mcc string, category_name string")
+
+    def deliver(*rows):
+        full = [(i, f"{d} 10:00:00", "c", "k", "$-1.50", None, "m", "", "S", "z", mcc, None) for i, d, mcc in rows]
+        spark.createDataFrame(full, BRONZE_TRANSACTIONS).coalesce(1).write.mode("append").csv(folder, header=True)
+        stream_distinct_transactions(spark, folder, codes, out, checkpoint, "10 days").awaitTermination()
+        found = spark.read.parquet(out)
+        assert found.columns == ["mcc", *[c for c in BRONZE_TRANSACTIONS.fieldNames() if c != "mcc"], "category_name"]
+        return sorted((r.id, r.date.day, r.category_name, r.amount) for r in found.collect())
+
+    first = deliver(("a", "2020-01-01", "5"), ("a", "2020-01-01", "5"), ("b", "2020-01-20", "6"))
+    assert first == [("a", 1, "TAXI", -1.5), ("b", 20, "UNKNOWN", -1.5)]
+    second = deliver(("b", "2020-01-20", "5"), ("late", "2020-01-05", "5"), ("c", "2020-01-21", "5"))
+    assert second == [*first, ("c", 21, "TAXI", -1.5)]
+    state = [f.suffix for f in Path(checkpoint, "state").rglob("*") if f.is_file()]
+    assert ".zip" in state and ".changelog" not in state
